@@ -79,8 +79,8 @@ def card_precision(
 
     types = dict(cards.dtypes)
     hits = (
-        leading.select(day, card, "label", "rank")
-        .groupBy(F.lit(0))
+        leading.select(day, card, "label", "rank", F.lit(0).alias("all_days"))
+        .groupBy("all_days")
         .applyInPandas(found, f"found_day {types[day]}, found_card {types[card]}")
     )
     hits_per_day = hits.groupBy(F.col("found_day").alias("hit_day")).agg(F.count(F.lit(1)).alias("hits"))

@@ -11,6 +11,7 @@ def local_session(name: str = "tidemark", cores: str = "*", shuffle: int = 8) ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.session.timeZone", "UTC")

@@ -233,7 +233,7 @@ def residual_histogram(t: SampleTables) -> DataFrame:
                  stddev_samp(residual) * pow(COUNT(*), -0.2) AS h FROM res),
     grid AS (SELECT CAST(g AS INTEGER) AS grid_point, lo + (hi - lo) * g / 199 AS position, n, h FROM s, range(200) r(g))
     SELECT grid_point, round(position, 4) AS position,
-           round(SUM(exp(-((position - residual) / h) ** 2 / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 12) AS density
+           round(SUM(exp(-(((position - residual) / h) ** 2) / 2)) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 12) AS density
     FROM grid, res GROUP BY grid_point, position""",
 )
 def residual_density(t: SampleTables) -> DataFrame:
