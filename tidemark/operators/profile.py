@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -59,22 +58,18 @@ def table_profile(df: DataFrame) -> DataFrame:
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pairwise correlation of numeric columns: a row per column, a column per column.
 
-    One pass: only the upper triangle is aggregated, and the square is laid out from it.
+    One pass: each row is repeated once per column, and a task folds it into one group per
+    column right away, so only the square itself is shuffled.  Nulls are left out pair by pair.
     """
     columns = list(columns or numeric_columns(df))
-    pairs = list(combinations_with_replacement(range(len(columns)), 2))
-    wide = df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    sums = wide.agg(*[F.corr(f"x{i}", f"x{j}").alias(f"r{i}_{j}") for i, j in pairs])
-    return _rows(
-        sums,
-        [
-            F.struct(
-                F.lit(c).alias("column_name"),
-                *[F.col(f"r{min(i, j)}_{max(i, j)}").alias(d) for j, d in enumerate(columns)],
-            )
-            for i, c in enumerate(columns)
-        ],
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+    square = (
+        values.select("v", F.posexplode("v").alias("i", "x"))
+        .groupBy("i")
+        .agg(*[F.corr("x", F.col("v")[j]).alias(c) for j, c in enumerate(columns)])
     )
+    names = F.array(*[F.lit(c) for c in columns])
+    return square.select(names[F.col("i")].alias("column_name"), *columns)
 
 
 def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

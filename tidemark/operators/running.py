@@ -17,28 +17,26 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CHUNK_ROWS = 1 << 20
 
 
-def range_buckets(df: DataFrame, key: str, buckets: int | None = None, alias: str = "bucket") -> DataFrame:
-    """Add a bucket number that never falls as ``key`` (a double) rises.
+def range_buckets(key: str, sample: DataFrame, buckets: int | None = None, alias: str = "bucket") -> Bucketizer:
+    """A transformer that adds a bucket number which never falls as ``key`` (a double) rises.
 
-    Cut points are approximate quantiles, found in one pass over the key column; only that
+    Cut points are approximate quantiles of ``key`` in ``sample``, found in one pass; only that
     list (at most ``buckets`` numbers, default the shuffle width) reaches the driver.  Uneven
     cuts would change balance, never results.
     """
     if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = df.approxQuantile(key, probabilities, 1 / (4 * buckets)) if probabilities else []
+    cuts = sample.approxQuantile(key, probabilities, 1 / (4 * buckets)) if probabilities else []
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    return Bucketizer(splits=splits, inputCol=key, outputCol=alias, handleInvalid="keep").transform(df)
+    return Bucketizer(splits=splits, inputCol=key, outputCol=alias, handleInvalid="keep")
 
 
 def order_key(df: DataFrame, day: str, tiebreak: str) -> Column:
     """A double that orders rows like (day, tiebreak), up to ties; ``tiebreak`` is numeric."""
-    low = df.agg(F.min(tiebreak)).scalar()
-    width = df.agg((F.max(tiebreak) - F.min(tiebreak) + 1).cast("double")).scalar()
-    return F.datediff(F.col(day), F.lit("1970-01-01").cast("date")) + (
-        (F.col(tiebreak) - low).cast("double") / width
-    )
+    low, high = F.min(tiebreak).cast("double"), F.max(tiebreak).cast("double")
+    span = df.agg(F.struct(low.alias("low"), (high - low + 1).alias("width")).alias("s")).scalar()
+    return F.unix_date(day) + (F.col(tiebreak).cast("double") - span["low"]) / span["width"]
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -80,7 +78,8 @@ def with_global_position(
     ``key`` is a double that rises with that order (see ``order_key``) and only serves to cut
     the frame; ``order`` must be a total order, or equal rows get an arbitrary rank.
     """
-    cut = range_buckets(df.withColumn("__key", key), "__key", buckets, "__bucket")
+    keyed = df.withColumn("__key", key)
+    cut = range_buckets("__key", keyed.select("__key"), buckets, "__bucket").transform(keyed)
     earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy("__bucket").count()
@@ -144,12 +143,10 @@ def group_quantiles(
     spread over all buckets, and no task holds the distinct values of a group.
     """
     by = list(by)
-    counted = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    points = running_totals(range_buckets(counted, "__value", buckets, "__bucket"), "__value", ["__n"], by, "__bucket")
+    known = df.filter(F.col(value).isNotNull()).withColumn("__value", F.col(value).cast("double"))
+    cut = range_buckets("__value", known.select("__value"), buckets, "__bucket")
+    counted = known.groupBy(*by, "__value").agg(F.count(F.lit(1)).alias("__n"))
+    points = running_totals(cut.transform(counted), "__value", ["__n"], by, "__bucket")
     sizes = df.groupBy(*[F.col(k).alias(f"__{k}") for k in by]).agg(F.count(value).alias("__size"))
     ranked = points.join(sizes, _same(points, sizes, [(k, f"__{k}") for k in by])).withColumn(
         "__first", F.col("running___n") - F.col("__n")

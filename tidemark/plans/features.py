@@ -6,9 +6,10 @@ over windows that end ``delay`` days ago, because frauds become known that late.
 
 The features are defined on a dense calendar (one row per entity and day).  No such calendar is
 built here: transactions are aggregated to the days that occur, and windows run over day numbers,
-which gives the same values because absent days add nothing.  Every exchange carries either
-aggregated rows or the two sides of an equi-join, which adaptive execution can split when one
-customer or terminal holds a large part of the data.
+which gives the same values because absent days add nothing.  Whole transactions are exchanged
+twice: by customer-day for the running totals, where days too large for one task are cut into
+seconds, and by terminal-day for the risk, a plain equi-join that adaptive execution splits when
+one terminal holds a large part of the data.  All other exchanges carry aggregated rows.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from tidemark.operators.joins import calendar_spine, spine_bounds, spine_totals
 
 WINDOWS = (1, 7, 30)
 DELAY = 7
-SLICE_MINUTES = 15
+HOT_ROWS = 1_000_000       # rows of one customer-day that one task may sort
+MAX_HOT_DAYS = 100_000
+WHOLE_DAY = -1
 
 KEYS = ["transaction_id", "tx_datetime", "customer_id", "terminal_id"]
 INPUT_FEATURES = [
@@ -115,88 +118,102 @@ def _add(a: Column, b: Column) -> Column:
     return F.when(a.isNull(), b).otherwise(a + F.coalesce(b, F.lit(0)))
 
 
-_SLICE_KEYS = ["customer_id", "tx_date", "day_slice"]
+_SLICE = ["customer_id", "tx_date", "day_slice"]
 
 
-def _moments(tx: DataFrame, slice_minutes: int) -> DataFrame:
-    """Transactions per customer and distinct timestamp, with the slice of the day it falls in."""
-    minute = F.hour("tx_datetime") * 60 + F.minute("tx_datetime")
-    return tx.groupBy(
-        "customer_id", F.to_date("tx_datetime").alias("tx_date"),
-        F.floor(minute / slice_minutes).alias("day_slice"), "tx_datetime",
-    ).agg(
-        F.count("customer_id").alias("n"), F.sum(_paid()).alias("n_paid"), F.sum("tx_amount").alias("amount")
-    )
-
-
-def _slices(moments: DataFrame) -> DataFrame:
-    return moments.groupBy(*_SLICE_KEYS).agg(*[F.sum(c).alias(c) for c in ("n", "n_paid", "amount")])
+def hot_customer_days(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Customer-days with too many transactions for one task.
 
-
-def _earlier_today() -> list[Column]:
-    """Totals of the slices of the day before this one."""
-    frame = (
-        Window.partitionBy("customer_id", "tx_date").orderBy("day_slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    A day counts as hot above ``hot_rows`` rows and above a 1/MAX_HOT_DAYS share of the data, so
+    there are fewer than MAX_HOT_DAYS of them however large the data is.
+    """
+    limit = F.greatest(F.lit(hot_rows), tx.agg(F.count(F.lit(1))).scalar() / F.lit(MAX_HOT_DAYS))
+    return (
+        tx.groupBy("customer_id", F.to_date("tx_datetime").alias("tx_date"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > limit)
+        .select("customer_id", "tx_date")
     )
-    return [F.sum("n").over(frame).alias("carried_n"), F.sum("amount").over(frame).alias("carried_amount")]
 
 
-def _so_far(moments: DataFrame, carried: DataFrame) -> DataFrame:
-    """Moments with the day's totals up to and including them.
+def with_day_so_far(
+    tx: DataFrame, day_features: DataFrame | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add the number and amount of a customer's transactions of the day up to each one.
 
-    Totals of whole earlier slices are carried over, so a task only ever sorts one slice of
-    one customer's day.
+    Transactions at the same moment count each other.  A hot customer-day is cut into seconds:
+    its tasks sort one second each, and totals of earlier seconds are carried over.  All other
+    customer-days are one slice.  ``day_features`` (one row per customer and day) join on the
+    same exchange, which drops transactions of days they lack.
     """
-    frame = Window.partitionBy(*_SLICE_KEYS).orderBy("tx_datetime").rowsBetween(Window.unboundedPreceding, 0)
-    inside = moments.select(
-        *_SLICE_KEYS, "tx_datetime",
-        F.sum("n").over(frame).alias("slice_n"), F.sum("amount").over(frame).alias("slice_amount"),
+    day = ["customer_id", "tx_date"]
+    dated = tx.withColumn("tx_date", F.to_date("tx_datetime"))
+    # Fewer than MAX_HOT_DAYS rows, so the broadcast is bounded.
+    hot = F.broadcast(hot_customer_days(tx, hot_rows).withColumn("hot", F.lit(True)))
+    second = F.hour("tx_datetime") * 3600 + F.minute("tx_datetime") * 60 + F.second("tx_datetime")
+
+    before = Window.partitionBy(*day).orderBy("day_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        dated.join(hot, day)
+        .groupBy(*day, second.alias("day_slice"))
+        .agg(F.count("customer_id").alias("n"), F.sum("tx_amount").alias("amount"))
+        .select(
+            *_SLICE, F.sum("n").over(before).alias("carried_n"), F.sum("amount").over(before).alias("carried_amount")
+        )
+    )
+    if day_features is None:
+        context, how = carried, "left"
+    else:
+        context, how = day_features.join(carried, day, "left"), "inner"
+        context = context.withColumn("day_slice", F.coalesce("day_slice", F.lit(WHOLE_DAY)))
+
+    until_now = Window.partitionBy(*_SLICE).orderBy("tx_datetime").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    sliced = dated.join(hot, day, "left").withColumn(
+        "day_slice", F.when(F.col("hot"), second).otherwise(F.lit(WHOLE_DAY))
+    )
+    inside = sliced.drop("hot").withColumns(
+        {"slice_n": F.count("customer_id").over(until_now), "slice_amount": F.sum("tx_amount").over(until_now)}
     )
     return (
-        inside.join(carried, _SLICE_KEYS)
+        inside.join(context, _SLICE, how)
         .withColumns(
             {
                 "cur_day_trx": F.col("slice_n") + F.coalesce("carried_n", F.lit(0)),
                 "cur_day_amt": _add(F.col("carried_amount"), F.col("slice_amount")),
             }
         )
-        .drop("slice_n", "slice_amount", "carried_n", "carried_amount")
+        .drop("day_slice", "slice_n", "slice_amount", "carried_n", "carried_amount")
     )
 
 
-def customer_day_so_far(tx: DataFrame, slice_minutes: int = SLICE_MINUTES) -> DataFrame:
-    """Number and amount of a customer's transactions of the day up to each moment."""
-    moments = _moments(tx, slice_minutes)
-    carried = _slices(moments).select(*_SLICE_KEYS, *_earlier_today())
-    return _so_far(moments, carried).select("customer_id", "tx_datetime", "cur_day_trx", "cur_day_amt")
-
-
-def customer_moments(
-    tx: DataFrame, windows: Sequence[int] = WINDOWS, slice_minutes: int = SLICE_MINUTES
-) -> DataFrame:
-    """Behaviour features per customer and moment (distinct timestamp) of a transaction."""
-    moments = _moments(tx, slice_minutes)
-    by_day = Window.partitionBy("customer_id").orderBy("day_number")
-    previous = []
+def customer_days(tx: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """Number and amount of paid transactions in the windows before each customer-day that occurs."""
+    by_day = Window.partitionBy("customer_id").orderBy(_day_number())
+    columns = []
     for w in windows:
         frame = by_day.rangeBetween(-w, -1)
-        previous += [
-            F.coalesce(F.sum("n_paid").over(frame), F.lit(0)).alias(f"prev_n_{w}"),
-            F.coalesce(F.sum("amount").over(frame), F.lit(0)).alias(f"prev_amount_{w}"),
+        columns += [
+            F.coalesce(F.sum("no_trx").over(frame), F.lit(0)).alias(f"prev_n_{w}"),
+            F.coalesce(F.sum("tot_amount").over(frame), F.lit(0)).alias(f"prev_amount_{w}"),
         ]
-    carried = _slices(moments).withColumn("day_number", _day_number()).select(
-        *_SLICE_KEYS, *_earlier_today(), *previous
-    )
-    features = []
+    return customer_daily(tx).select("customer_id", "tx_date", *columns)
+
+
+def with_customer_behaviour(
+    rows: DataFrame, history: DataFrame, windows: Sequence[int] = WINDOWS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add the behaviour features to ``rows``; ``history`` holds all transactions."""
+    current = with_day_so_far(rows, customer_days(history, windows), hot_rows)
+    features = {}
     for w in windows:
         count = F.col(f"prev_n_{w}") + F.col("cur_day_trx")
         amount = F.col(f"prev_amount_{w}") + F.col("cur_day_amt")
-        features += [
-            count.alias(f"cust_cnt_tx_{w}"),
-            (amount.cast("double") / count).alias(f"cust_avg_amount_{w}"),
-        ]
-    return _so_far(moments, carried).select("customer_id", "tx_datetime", *features)
+        features[f"cust_cnt_tx_{w}"] = count
+        features[f"cust_avg_amount_{w}"] = amount.cast("double") / count
+    previous = [f"prev_{c}_{w}" for c in ("n", "amount") for w in windows]
+    return current.withColumns(features).drop("cur_day_trx", "cur_day_amt", *previous)
 
 
 def terminal_days(
@@ -207,8 +224,7 @@ def terminal_days(
     On the first day of the data there is no history at all: counts are null and the risk is 0.
     """
     first_day, _ = spine_bounds(tx, "tx_datetime")
-    by_day = Window.partitionBy("terminal_id").orderBy("day_number")
-    daily = terminal_daily(tx).withColumn("day_number", _day_number())
+    by_day = Window.partitionBy("terminal_id").orderBy(_day_number())
     columns = []
     for w in windows:
         frame = by_day.rangeBetween(-_reach(w, delay, literal_reference), -(delay + 1))
@@ -216,7 +232,7 @@ def terminal_days(
             F.coalesce(F.sum("no_trx").over(frame), F.lit(0)).alias(f"n_{w}"),
             F.coalesce(F.sum("nb_fraud").over(frame), F.lit(0)).alias(f"fraud_{w}"),
         ]
-    return daily.select("terminal_id", "tx_date", *columns).select(
+    return terminal_daily(tx).select("terminal_id", "tx_date", *columns).select(
         "terminal_id",
         "tx_date",
         *[
@@ -237,7 +253,7 @@ def feature_table(
     delay: int = DELAY,
     include_last_day: bool = False,
     literal_reference: bool = False,
-    slice_minutes: int = SLICE_MINUTES,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Transactions with time flags, customer behaviour and terminal risk.
 
@@ -249,13 +265,8 @@ def feature_table(
     rows = with_time_flags(tx)
     if not include_last_day:
         rows = rows.filter(F.col("tx_datetime") < last_day.cast("timestamp_ntz"))
-    moments = customer_moments(tx, windows, slice_minutes)
     risk = terminal_days(tx, windows, delay, literal_reference)
-    joined = (
-        rows.join(moments, ["customer_id", "tx_datetime"])
-        .withColumn("tx_date", F.to_date("tx_datetime"))
-        .join(risk, ["terminal_id", "tx_date"])
-    )
+    joined = with_customer_behaviour(rows, tx, windows, hot_rows).join(risk, ["terminal_id", "tx_date"])
     return joined.select(
         *KEYS, "tx_time_seconds", "tx_time_days", F.col("tx_amount").cast("double").alias("tx_amount"),
         "tx_fraud", "tx_fraud_scenario", "tx_during_weekend", "tx_during_night",

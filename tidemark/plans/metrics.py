@@ -16,11 +16,12 @@ from tidemark.operators.topk import top_k_per_group
 
 def _threshold_points(scored: DataFrame, label: str, score: str, buckets: int | None) -> DataFrame:
     """Positives and negatives per distinct score, with running totals from the highest down."""
-    points = (
-        scored.groupBy((-F.col(score).cast("double")).alias("below"))
-        .agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+    rows = scored.select((-F.col(score).cast("double")).alias("below"), F.col(label).alias("label"))
+    points = rows.groupBy("below").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
-    return running_totals(range_buckets(points, "below", buckets), "below", ["pos", "neg"])
+    cut = range_buckets("below", rows.select("below"), buckets)
+    return running_totals(cut.transform(points), "below", ["pos", "neg"])
 
 
 def ranking_metrics(

@@ -149,8 +149,7 @@ def terminal_daily_windows_literal(t: SampleTables) -> DataFrame:
                          RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )
 def running_day_totals(t: SampleTables) -> DataFrame:
-    tx = t.transactions()
-    return tx.join(feat.customer_day_so_far(tx), ["customer_id", "tx_datetime"]).select(
+    return feat.with_day_so_far(t.transactions()).select(
         "transaction_id", "cur_day_trx", F.col("cur_day_amt").cast("double").alias("cur_day_amt")
     )
 
