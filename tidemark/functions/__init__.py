@@ -14,16 +14,19 @@ from tidemark.functions.dates import (
     seconds_since,
 )
 from tidemark.functions.values import (
+    from_units,
     hash_fraction,
     iff,
     ratio_to_report,
     row_json,
     row_object,
+    whole_units,
     zero_if_null,
 )
 
 __all__ = [
     "as_bound", "as_date_bound", "calendar_days", "day_name", "day_of_week", "day_start",
-    "hash_fraction", "iff", "is_night", "is_weekend", "month_name", "parse_us_date",
-    "ratio_to_report", "row_json", "row_object", "seconds_since", "zero_if_null",
+    "from_units", "hash_fraction", "iff", "is_night", "is_weekend", "month_name", "parse_us_date",
+    "ratio_to_report", "row_json", "row_object", "seconds_since", "whole_units",
+    "zero_if_null",
 ]

@@ -16,6 +16,20 @@ def zero_if_null(c: Column | str) -> Column:
     return F.zeroifnull(c)
 
 
+def whole_units(c: Column | str, per_one: int | None = 100) -> Column:
+    """An amount in whole minor units (cents for 100), so that sums are exact in any order.
+
+    Only for amounts that have no finer part; ``None`` leaves the amount as it is.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return c if per_one is None else F.rint(c * F.lit(per_one)).cast("long")
+
+
+def from_units(c: Column, per_one: int | None = 100) -> Column:
+    """The amount behind a sum of ``whole_units``."""
+    return c.cast("double") if per_one is None else c / F.lit(per_one)
+
+
 def row_object() -> Column:
     """The whole row as one struct value."""
     return F.struct("*")

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions import is_night, is_weekend
+from tidemark.functions import from_units, is_night, is_weekend, whole_units
 from tidemark.operators.joins import calendar_spine, spine_bounds, spine_totals
 
 WINDOWS = (1, 7, 30)
@@ -50,10 +50,15 @@ def _paid() -> Column:
     return F.when(F.col("tx_amount") > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
 
 
-def customer_daily(tx: DataFrame) -> DataFrame:
-    """Amount and number of paid transactions per customer and day that occurs."""
+def customer_daily(tx: DataFrame, per_one: int | None = None) -> DataFrame:
+    """Amount and number of paid transactions per customer and day that occurs.
+
+    With ``per_one`` (here and below) amounts are summed in whole minor units, see
+    ``whole_units``.
+    """
+    amount = whole_units(F.coalesce("tx_amount", F.lit(0)), per_one)
     return tx.groupBy("customer_id", F.to_date("tx_datetime").alias("tx_date")).agg(
-        F.sum(F.coalesce("tx_amount", F.lit(0))).alias("tot_amount"), F.sum(_paid()).alias("no_trx")
+        F.sum(amount).alias("tot_amount"), F.sum(_paid()).alias("no_trx")
     )
 
 
@@ -64,10 +69,12 @@ def terminal_daily(tx: DataFrame) -> DataFrame:
     )
 
 
-def dense_customer_daily(tx: DataFrame, include_last_day: bool = False) -> DataFrame:
+def dense_customer_daily(
+    tx: DataFrame, include_last_day: bool = False, per_one: int | None = None
+) -> DataFrame:
     """Customer totals on every day of the calendar, 0 where nothing happened."""
     spine = calendar_spine(tx.select("customer_id").distinct(), tx, "tx_datetime", include_last_day=include_last_day)
-    return spine_totals(spine, customer_daily(tx), ["customer_id", "tx_date"], ["tot_amount", "no_trx"])
+    return spine_totals(spine, customer_daily(tx, per_one), ["customer_id", "tx_date"], ["tot_amount", "no_trx"])
 
 
 def dense_terminal_daily(tx: DataFrame, include_last_day: bool = False) -> DataFrame:
@@ -137,7 +144,8 @@ def hot_customer_days(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 
 def with_day_so_far(
-    tx: DataFrame, day_features: DataFrame | None = None, hot_rows: int = HOT_ROWS
+    tx: DataFrame, day_features: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+    per_one: int | None = None,
 ) -> DataFrame:
     """Add the number and amount of a customer's transactions of the day up to each one.
 
@@ -147,6 +155,7 @@ def with_day_so_far(
     same exchange, which drops transactions of days they lack.
     """
     day = ["customer_id", "tx_date"]
+    amount = whole_units("tx_amount", per_one)
     dated = tx.withColumn("tx_date", F.to_date("tx_datetime"))
     # Fewer than MAX_HOT_DAYS rows, so the broadcast is bounded.
     hot = F.broadcast(hot_customer_days(tx, hot_rows).withColumn("hot", F.lit(True)))
@@ -156,7 +165,7 @@ def with_day_so_far(
     carried = (
         dated.join(hot, day)
         .groupBy(*day, second.alias("day_slice"))
-        .agg(F.count("customer_id").alias("n"), F.sum("tx_amount").alias("amount"))
+        .agg(F.count("customer_id").alias("n"), F.sum(amount).alias("amount"))
         .select(
             *_SLICE, F.sum("n").over(before).alias("carried_n"), F.sum("amount").over(before).alias("carried_amount")
         )
@@ -174,7 +183,7 @@ def with_day_so_far(
         "day_slice", F.when(F.col("hot"), second).otherwise(F.lit(WHOLE_DAY))
     )
     inside = sliced.drop("hot").withColumns(
-        {"slice_n": F.count("customer_id").over(until_now), "slice_amount": F.sum("tx_amount").over(until_now)}
+        {"slice_n": F.count("customer_id").over(until_now), "slice_amount": F.sum(amount).over(until_now)}
     )
     return (
         inside.join(context, _SLICE, how)
@@ -188,7 +197,9 @@ def with_day_so_far(
     )
 
 
-def customer_days(tx: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
+def customer_days(
+    tx: DataFrame, windows: Sequence[int] = WINDOWS, per_one: int | None = None
+) -> DataFrame:
     """Number and amount of paid transactions in the windows before each customer-day that occurs."""
     by_day = Window.partitionBy("customer_id").orderBy(_day_number())
     columns = []
@@ -198,20 +209,21 @@ def customer_days(tx: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
             F.coalesce(F.sum("no_trx").over(frame), F.lit(0)).alias(f"prev_n_{w}"),
             F.coalesce(F.sum("tot_amount").over(frame), F.lit(0)).alias(f"prev_amount_{w}"),
         ]
-    return customer_daily(tx).select("customer_id", "tx_date", *columns)
+    return customer_daily(tx, per_one).select("customer_id", "tx_date", *columns)
 
 
 def with_customer_behaviour(
-    rows: DataFrame, history: DataFrame, windows: Sequence[int] = WINDOWS, hot_rows: int = HOT_ROWS
+    rows: DataFrame, history: DataFrame, windows: Sequence[int] = WINDOWS, hot_rows: int = HOT_ROWS,
+    per_one: int | None = None,
 ) -> DataFrame:
     """Add the behaviour features to ``rows``; ``history`` holds all transactions."""
-    current = with_day_so_far(rows, customer_days(history, windows), hot_rows)
+    current = with_day_so_far(rows, customer_days(history, windows, per_one), hot_rows, per_one)
     features = {}
     for w in windows:
         count = F.col(f"prev_n_{w}") + F.col("cur_day_trx")
         amount = F.col(f"prev_amount_{w}") + F.col("cur_day_amt")
         features[f"cust_cnt_tx_{w}"] = count
-        features[f"cust_avg_amount_{w}"] = amount.cast("double") / count
+        features[f"cust_avg_amount_{w}"] = from_units(amount, per_one) / count
     previous = [f"prev_{c}_{w}" for c in ("n", "amount") for w in windows]
     return current.withColumns(features).drop("cur_day_trx", "cur_day_amt", *previous)
 
@@ -254,6 +266,7 @@ def feature_table(
     include_last_day: bool = False,
     literal_reference: bool = False,
     hot_rows: int = HOT_ROWS,
+    per_one: int | None = None,
 ) -> DataFrame:
     """Transactions with time flags, customer behaviour and terminal risk.
 
@@ -266,7 +279,7 @@ def feature_table(
     if not include_last_day:
         rows = rows.filter(F.col("tx_datetime") < last_day.cast("timestamp_ntz"))
     risk = terminal_days(tx, windows, delay, literal_reference)
-    joined = with_customer_behaviour(rows, tx, windows, hot_rows).join(risk, ["terminal_id", "tx_date"])
+    joined = with_customer_behaviour(rows, tx, windows, hot_rows, per_one).join(risk, ["terminal_id", "tx_date"])
     return joined.select(
         *KEYS, "tx_time_seconds", "tx_time_days", F.col("tx_amount").cast("double").alias("tx_amount"),
         "tx_fraud", "tx_fraud_scenario", "tx_during_weekend", "tx_during_night",

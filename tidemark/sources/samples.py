@@ -9,7 +9,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.functions import seconds_since
+from tidemark.functions import seconds_since, whole_units
 
 ORIGIN = dt.date(2024, 1, 1)          # day 0 of the transaction clock
 BOOKING_CUT = dt.date(1998, 7, 1)     # first booking day of the second booking relation
@@ -35,7 +35,7 @@ class SampleTables:
             F.col("ts").alias("tx_datetime"),
             F.col("user_id").alias("customer_id"),
             F.get_json_object("props", "$.k").cast("long").alias("terminal_id"),
-            F.col("value").cast("decimal(18,2)").alias("tx_amount"),
+            F.col("value").alias("tx_amount"),
             seconds_since(ORIGIN, "ts").alias("tx_time_seconds"),
             F.datediff(F.to_date("ts"), F.lit(ORIGIN)).cast("long").alias("tx_time_days"),
             flag.alias("tx_fraud"),
@@ -76,14 +76,17 @@ class SampleTables:
         )
 
     def bookings(self) -> dict[str, DataFrame]:
-        """Two booking relations (different column order) that together hold every order."""
+        """Two booking relations (different column order) that together hold every order.
+
+        The cost is in whole cents.
+        """
         orders = self.table("orders")
         columns = [
             F.col("o_custkey").alias("id"),
             F.col("o_orderkey").alias("booking_reference"),
             F.col("o_orderpriority").alias("hotel"),
             F.to_date("o_orderdate").alias("booking_date"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("cost"),
+            whole_units("o_totalprice").alias("cost"),
         ]
         early = F.col("o_orderdate") < F.lit(str(BOOKING_CUT)).cast("timestamp_ntz")
         return {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.operators.running import order_key, with_global_position
 from tidemark.plans import bookings as book
@@ -16,9 +16,9 @@ def _prepped(t: SampleTables) -> DataFrame:
     return book.prepped_data(book.customer(t.booking_customers()), book.combined_bookings(t.bookings()))
 
 
-@query("combined_bookings", f"WITH {BOOKINGS} SELECT * REPLACE (CAST(cost AS DOUBLE) AS cost) FROM combined")
+@query("combined_bookings", f"WITH {BOOKINGS} SELECT * FROM combined")
 def combined_bookings(t: SampleTables) -> DataFrame:
-    return book.combined_bookings(t.bookings()).withColumn("cost", F.col("cost").cast("double"))
+    return book.combined_bookings(t.bookings())
 
 
 @query("booking_customers", f"WITH {BOOKINGS} SELECT * FROM customers")
@@ -26,9 +26,9 @@ def booking_customers(t: SampleTables) -> DataFrame:
     return book.customer(t.booking_customers())
 
 
-@query("prepped_bookings", f"WITH {BOOKINGS} SELECT * REPLACE (CAST(cost AS DOUBLE) AS cost) FROM prepped")
+@query("prepped_bookings", f"WITH {BOOKINGS} SELECT * FROM prepped")
 def prepped_bookings(t: SampleTables) -> DataFrame:
-    return _prepped(t).withColumn("cost", F.col("cost").cast("double"))
+    return _prepped(t)
 
 
 @query(

@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions import calendar_days, ratio_to_report
+from tidemark.functions import calendar_days, from_units, ratio_to_report
 from tidemark.operators.joins import calendar_spine
 from tidemark.operators.materialise import cut_lineage, shared_folder
 from tidemark.operators.profile import correlation_matrix, describe
@@ -24,6 +24,7 @@ from tidemark.sources.samples import SampleTables
 from tidemark.suite.base import query
 from tidemark.suite.sqltext import CUST_DAY, DAYS, TX, features, split_by_loop, term_day
 
+CENTS = 100
 START = dt.date(2024, 1, 8)
 START_SQL = "2024-01-08 00:00:00"
 K = 20
@@ -32,12 +33,16 @@ SCORE_SQL = "floor(CAST(tx_amount AS DOUBLE) / 5) / 100.0"
 
 def _score() -> Column:
     """A fixed score with many ties, so that its quality can be checked exactly."""
-    return F.floor(F.col("tx_amount").cast("double") / 5) / 100.0
+    return F.floor(F.col("tx_amount") / 5) / 100.0
+
+
+def _features(t: SampleTables, **options) -> DataFrame:
+    return feat.feature_table(t.transactions(), per_one=CENTS, **options)
 
 
 @query("transactions", f"WITH {TX} SELECT * EXCLUDE (tx_amount), CAST(tx_amount AS DOUBLE) AS tx_amount FROM tx")
 def transactions(t: SampleTables) -> DataFrame:
-    return feat.with_time_flags(t.transactions()).withColumn("tx_amount", F.col("tx_amount").cast("double"))
+    return feat.with_time_flags(t.transactions())
 
 
 @query(
@@ -113,7 +118,8 @@ def customer_calendar(t: SampleTables) -> DataFrame:
     SELECT customer_id, tx_date, CAST(tot_amount AS DOUBLE) AS tot_amount, no_trx FROM cust_daily""",
 )
 def customer_daily_totals(t: SampleTables) -> DataFrame:
-    return feat.dense_customer_daily(t.transactions()).withColumn("tot_amount", F.col("tot_amount").cast("double"))
+    daily = feat.dense_customer_daily(t.transactions(), per_one=CENTS)
+    return daily.withColumn("tot_amount", from_units(F.col("tot_amount"), CENTS))
 
 
 @query(
@@ -127,8 +133,9 @@ def customer_daily_totals(t: SampleTables) -> DataFrame:
     FROM cust_feat""",
 )
 def customer_daily_windows(t: SampleTables) -> DataFrame:
-    windows = feat.customer_day_windows(feat.dense_customer_daily(t.transactions()))
-    return windows.withColumns({c: F.col(c).cast("double") for c in windows.columns if "amt" in c or "amount" in c})
+    windows = feat.customer_day_windows(feat.dense_customer_daily(t.transactions(), per_one=CENTS))
+    amounts = ["tot_amount", *[f"cust_tot_amt_prev_{w}" for w in feat.WINDOWS]]
+    return windows.withColumns({c: from_units(F.col(c), CENTS) for c in amounts})
 
 
 @query("terminal_daily_windows", f"WITH {TX}, {DAYS}, {term_day(False)} SELECT * FROM term_feat")
@@ -149,19 +156,19 @@ def terminal_daily_windows_literal(t: SampleTables) -> DataFrame:
                          RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )
 def running_day_totals(t: SampleTables) -> DataFrame:
-    return feat.with_day_so_far(t.transactions()).select(
-        "transaction_id", "cur_day_trx", F.col("cur_day_amt").cast("double").alias("cur_day_amt")
+    return feat.with_day_so_far(t.transactions(), per_one=CENTS).select(
+        "transaction_id", "cur_day_trx", from_units(F.col("cur_day_amt"), CENTS).alias("cur_day_amt")
     )
 
 
 @query("feature_table", f"WITH {features(False)} SELECT * FROM features")
 def feature_table(t: SampleTables) -> DataFrame:
-    return feat.feature_table(t.transactions())
+    return _features(t)
 
 
 @query("feature_table_literal", f"WITH {features(True)} SELECT * FROM features")
 def feature_table_literal(t: SampleTables) -> DataFrame:
-    return feat.feature_table(t.transactions(), literal_reference=True)
+    return _features(t, literal_reference=True)
 
 
 @query(
@@ -179,12 +186,12 @@ def _split(t: SampleTables, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 @query("split_train", f"WITH {features(False)}, {split_by_loop('features', START_SQL)} SELECT * FROM train")
 def split_train(t: SampleTables) -> DataFrame:
-    return _split(t, feat.feature_table(t.transactions()))[0]
+    return _split(t, _features(t))[0]
 
 
 @query("split_test", f"WITH {features(False)}, {split_by_loop('features', START_SQL)} SELECT * FROM test")
 def split_test(t: SampleTables) -> DataFrame:
-    return _split(t, feat.feature_table(t.transactions()))[1]
+    return _split(t, _features(t))[1]
 
 
 @query(
@@ -229,7 +236,7 @@ _CORR_SQL = " UNION ALL ".join(
     f"WITH {features(False)}, {split_by_loop('features', START_SQL)} {_CORR_SQL}",
 )
 def feature_correlations(t: SampleTables) -> DataFrame:
-    rows = study_window(feat.feature_table(t.transactions()), START)
+    rows = study_window(_features(t), START)
     square = correlation_matrix(rows, _CORR)
     return square.select("column_name", *[F.round(c, 6).alias(c) for c in _CORR])
 
@@ -243,7 +250,7 @@ def feature_correlations(t: SampleTables) -> DataFrame:
     ),
 )
 def feature_statistics(t: SampleTables) -> DataFrame:
-    rows = study_window(feat.feature_table(t.transactions()), START)
+    rows = study_window(_features(t), START)
     return describe(rows, _CORR).withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
 
 
@@ -338,7 +345,7 @@ def card_precision_by_day(t: SampleTables) -> DataFrame:
 )
 def detected_card_maxima(t: SampleTables) -> DataFrame:
     return t.transactions().groupBy("customer_id").agg(
-        F.max("tx_amount").cast("double").alias("tx_amount"), F.max("tx_fraud").alias("tx_fraud"),
+        F.max("tx_amount").alias("tx_amount"), F.max("tx_fraud").alias("tx_fraud"),
         F.max("tx_datetime").alias("tx_datetime"),
     )
 
@@ -361,7 +368,7 @@ def logistic_scores(t: SampleTables) -> DataFrame:
 
 
 def _fitted(t: SampleTables, trees: int, depth: int):
-    table = feat.feature_table(t.transactions())
+    table = _features(t)
     train, test = _split(t, table)
     return fit_forest(train, trees=trees, depth=depth), table, test
 

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions import (
-    as_bound, as_date_bound, calendar_days, day_name, day_of_week, day_start, iff, is_night, is_weekend,
-    month_name, parse_us_date, ratio_to_report, row_json, row_object, zero_if_null,
+    as_bound, as_date_bound, calendar_days, day_name, day_of_week, day_start, from_units, iff, is_night, is_weekend,
+    month_name, parse_us_date, ratio_to_report, row_json, row_object, whole_units, zero_if_null,
 )
 from tidemark.operators.filters import date_range, numeric_columns
 from tidemark.operators.joins import without
@@ -218,7 +218,7 @@ _DAILY_SPEND = """d AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, SUM(
 
 def _daily_spend(t: SampleTables) -> DataFrame:
     return t.table("orders").groupBy(F.col("o_custkey").alias("buyer"), F.to_date("o_orderdate").alias("day")).agg(
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("spent")
+        from_units(F.sum(whole_units("o_totalprice"))).alias("spent")
     )
 
 
@@ -230,7 +230,7 @@ def _daily_spend(t: SampleTables) -> DataFrame:
 def join_composite(t: SampleTables) -> DataFrame:
     orders, daily = t.table("orders"), _daily_spend(t)
     on = (F.col("o_custkey") == F.col("buyer")) & (F.to_date("o_orderdate") == F.col("day"))
-    return orders.join(daily, on).select("o_orderkey", F.col("spent").cast("double").alias("spent"))
+    return orders.join(daily, on).select("o_orderkey", "spent")
 
 
 @query(
@@ -241,7 +241,7 @@ def join_composite(t: SampleTables) -> DataFrame:
 def join_outer(t: SampleTables) -> DataFrame:
     on = (F.col("c_custkey") == F.col("buyer")) & (F.col("day") < F.lit(dt.date(1997, 1, 1)))
     return t.table("customer").join(_daily_spend(t), on, "left").select(
-        "c_custkey", "day", F.coalesce("spent", F.lit(0)).cast("double").alias("spent")
+        "c_custkey", "day", F.coalesce("spent", F.lit(0.0)).alias("spent")
     )
 
 
@@ -279,10 +279,9 @@ def group_count(t: SampleTables) -> DataFrame:
            CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price FROM lineitem GROUP BY ALL""",
 )
 def group_sums(t: SampleTables) -> DataFrame:
-    money = "decimal(18,2)"
     return t.table("lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.sum(F.col("l_quantity").cast(money)).cast("double").alias("sum_qty"),
-        F.sum(F.col("l_extendedprice").cast(money)).cast("double").alias("sum_price"),
+        from_units(F.sum(whole_units("l_quantity"))).alias("sum_qty"),
+        from_units(F.sum(whole_units("l_extendedprice"))).alias("sum_price"),
     )
 
 
@@ -298,7 +297,7 @@ def count_distinct(t: SampleTables) -> DataFrame:
            round(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 6) AS mean FROM orders""",
 )
 def global_statistics(t: SampleTables) -> DataFrame:
-    total = F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double")
+    total = from_units(F.sum(whole_units("o_totalprice")))
     return t.table("orders").agg(
         F.min("o_totalprice").alias("low"), F.max("o_totalprice").alias("high"),
         F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"),
@@ -396,7 +395,7 @@ _FLOW = "d AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day, SUM(CAST(l_qua
 )
 def lag_and_trailing_sums(t: SampleTables) -> DataFrame:
     daily = t.table("lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("day")).agg(
-        F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("qty")
+        F.sum(whole_units("l_quantity", 1)).alias("qty")
     )
     by_day = Window.partitionBy("l_suppkey").orderBy("day")
     by_number = Window.partitionBy("l_suppkey").orderBy(F.unix_date("day"))

@@ -132,11 +132,11 @@ WEATHER = """weather AS (
 
 BOOKINGS = """bookings_1 AS (
   SELECT o_custkey AS id, o_orderkey AS booking_reference, o_orderpriority AS hotel,
-         CAST(o_orderdate AS DATE) AS booking_date, CAST(o_totalprice AS DECIMAL(18,2)) AS cost
+         CAST(o_orderdate AS DATE) AS booking_date, CAST(round(o_totalprice * 100) AS BIGINT) AS cost
   FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01'),
 bookings_2 AS (
   SELECT o_custkey AS id, o_orderkey AS booking_reference, o_orderpriority AS hotel,
-         CAST(o_orderdate AS DATE) AS booking_date, CAST(o_totalprice AS DECIMAL(18,2)) AS cost
+         CAST(o_orderdate AS DATE) AS booking_date, CAST(round(o_totalprice * 100) AS BIGINT) AS cost
   FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-01'),
 combined AS (
   SELECT *, 'bookings_1' AS source_relation FROM bookings_1
