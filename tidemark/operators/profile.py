@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.filters import numeric_columns
 
+CORRELATION_BLOCK = 8
+
 
 def _rows(df: DataFrame, structs: Sequence[Column]) -> DataFrame:
     """One wide row to one row per struct."""
@@ -55,18 +57,41 @@ def table_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def correlation(x: str | Column, y: str | Column) -> Column:
+    """Correlation of two columns over the rows that have both; null if either does not vary.
+
+    Spark's own ``corr`` raises an error on a constant column in ANSI mode.
+    """
+    spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+    return F.regr_sxy(y, x) / F.nullif(spread, F.lit(0.0))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pairwise correlation of numeric columns: a row per column, a column per column.
 
-    One pass: each row is repeated once per column, and a task folds it into one group per
-    column right away, so only the square itself is shuffled.  Nulls are left out pair by pair.
+    One pass: each row is repeated for every column and block of partner columns, and a task
+    folds it into one group per column and block right away, so only the square itself is
+    shuffled.  Blocks keep the aggregate narrow enough for generated code.
     """
     columns = list(columns or numeric_columns(df))
+    starts = range(0, len(columns), CORRELATION_BLOCK)
     values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
-    square = (
-        values.select("v", F.posexplode("v").alias("i", "x"))
-        .groupBy("i")
-        .agg(*[F.corr("x", F.col("v")[j]).alias(c) for j, c in enumerate(columns)])
+    partners = [
+        F.struct(
+            F.lit(start).alias("start"),
+            *[F.get("v", F.lit(start + k)).alias(f"y{k}") for k in range(CORRELATION_BLOCK)],
+        )
+        for start in starts
+    ]
+    pairs = values.select("v", F.posexplode("v").alias("i", "x")).select("i", "x", F.inline(F.array(*partners)))
+    parts = pairs.groupBy("i", "start").agg(
+        *[correlation("x", f"y{k}").alias(f"r{k}") for k in range(CORRELATION_BLOCK)]
+    )
+    square = parts.groupBy("i").agg(
+        *[
+            F.max(F.when(F.col("start") == j - j % CORRELATION_BLOCK, F.col(f"r{j % CORRELATION_BLOCK}"))).alias(c)
+            for j, c in enumerate(columns)
+        ]
     )
     names = F.array(*[F.lit(c) for c in columns])
     return square.select(names[F.col("i")].alias("column_name"), *columns)

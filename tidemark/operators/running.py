@@ -28,7 +28,7 @@ def range_buckets(key: str, sample: DataFrame, buckets: int | None = None, alias
         buckets = int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     probabilities = [i / buckets for i in range(1, buckets)]
     cuts = sample.approxQuantile(key, probabilities, 1 / (4 * buckets)) if probabilities else []
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     return Bucketizer(splits=splits, inputCol=key, outputCol=alias, handleInvalid="keep")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 
 
 def read_headerless_csv(
-    spark: SparkSession, path: str, schema: StructType, partitions: int | None = None
+    spark: SparkSession, path: str, schema: StructType | str, partitions: int | None = None
 ) -> DataFrame:
     """CSV (plain or gzip) without header; columns by position.
 
@@ -20,7 +20,7 @@ def read_headerless_csv(
     return df.repartition(partitions) if partitions else df
 
 
-def load_directory(spark: SparkSession, path: str, schema: StructType, pattern: str = "*.csv.gz") -> DataFrame:
+def load_directory(spark: SparkSession, path: str, schema: StructType | str, pattern: str = "*.csv.gz") -> DataFrame:
     """Bulk load: files of a directory whose name fits ``pattern``, first line of each skipped.
 
     Columns go by position, whatever the header line says.
@@ -35,7 +35,7 @@ def load_directory(spark: SparkSession, path: str, schema: StructType, pattern:
     )
 
 
-def load_seed(spark: SparkSession, path: str, schema: StructType, view: str | None = None) -> DataFrame:
+def load_seed(spark: SparkSession, path: str, schema: StructType | str, view: str | None = None) -> DataFrame:
     """A small CSV with header and known types, optionally published as a view."""
     df = spark.read.schema(schema).option("header", True).csv(path)
     if view:

@@ -24,7 +24,7 @@ def rows_frame(spark: SparkSession, rows: Sequence, schema: StructType | Sequenc
 
 
 def create_table(
-    spark: SparkSession, name: str, schema: StructType, *, replace: bool = False, temporary: bool = False
+    spark: SparkSession, name: str, schema: StructType | str, *, replace: bool = False, temporary: bool = False
 ) -> None:
     """Define an empty typed table; ``replace`` drops what is there, ``temporary`` makes a view."""
     if temporary:
@@ -32,7 +32,8 @@ def create_table(
         return
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, schema=schema, source="parquet")
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    spark.catalog.createTable(name, schema=fields, source="parquet")
 
 
 def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None:

@@ -9,7 +9,7 @@ from tidemark.plans.trips import daily_rollup
 
 
 def refresh_daily_rollup(
-    spark: SparkSession, arrivals: str, schema: StructType, rollup: str, progress: str,
+    spark: SparkSession, arrivals: str, schema: StructType | str, rollup: str, progress: str,
     max_files: int | None = None,
 ) -> None:
     """Count the trips of files not yet seen and add them to the rollup, then stop.

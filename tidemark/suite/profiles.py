@@ -119,7 +119,7 @@ def spend_correlations(t: SampleTables) -> DataFrame:
     f"WITH {SPEND} SELECT round(corr(spent, session_length), 6) AS r FROM spend",
 )
 def spend_pair_correlation(t: SampleTables) -> DataFrame:
-    return t.spend().agg(F.round(F.corr("spent", "session_length"), 6).alias("r"))
+    return t.spend().agg(F.round(profile.correlation("spent", "session_length"), 6).alias("r"))
 
 
 @query(

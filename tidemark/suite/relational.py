@@ -12,6 +12,7 @@ from tidemark.functions import (
 )
 from tidemark.operators.filters import date_range, numeric_columns
 from tidemark.operators.joins import without
+from tidemark.operators.profile import correlation
 from tidemark.operators.sets import union_distinct, union_relations
 from tidemark.operators.topk import top_k
 from tidemark.sources.samples import SampleTables
@@ -357,7 +358,7 @@ def group_maxima(t: SampleTables) -> DataFrame:
     "SELECT l_returnflag, round(corr(l_quantity, l_extendedprice), 6) AS r FROM lineitem GROUP BY l_returnflag",
 )
 def group_correlation(t: SampleTables) -> DataFrame:
-    return t.table("lineitem").groupBy("l_returnflag").agg(F.round(F.corr("l_quantity", "l_extendedprice"), 6).alias("r"))
+    return t.table("lineitem").groupBy("l_returnflag").agg(F.round(correlation("l_quantity", "l_extendedprice"), 6).alias("r"))
 
 
 # Windows -----------------------------------------------------------------------------------
