@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.running import (
-    group_quantiles, moving_average, order_key, range_buckets, running_totals, with_global_position,
+    group_quantiles, moving_average, order_key, range_buckets, running_totals, with_position,
 )
 from tidemark.operators.topk import sample_rows, top_k, top_k_per_group
 
@@ -30,7 +30,7 @@ def ordered(bookings):
 
 @pytest.mark.parametrize("buckets", [1, 3, 40])
 def test_global_position(spark, bookings, buckets):
-    got = with_global_position(bookings, ["day", "ref"], order_key(bookings, "day", "ref"), buckets=buckets)
+    got = with_position(bookings, ["day", "ref"], order_key(bookings, "day", "ref"), buckets=buckets)
     want = {r[1]: i for i, r in enumerate(ordered(bookings))}
     assert {r["ref"]: r["position"] for r in got.collect()} == want
 
@@ -53,8 +53,10 @@ def test_moving_average_needs_a_long_enough_chunk(spark, bookings):
         moving_average(bookings, "cost", 30, ["day"], key=F.lit(1.0), chunk_rows=10)
 
 
-def test_moving_average_by_group(spark, bookings):
-    got = moving_average(bookings, "cost", 5, ["day", "ref"], by=["hotel"])
+@pytest.mark.parametrize("chunk_rows", [5, 37, 10**6])
+def test_moving_average_by_group(spark, bookings, chunk_rows):
+    key = order_key(bookings, "day", "ref")
+    got = moving_average(bookings, "cost", 5, ["day", "ref"], key, by=["hotel"], chunk_rows=chunk_rows)
     result = {r["ref"]: r["moving_avg"] for r in got.collect()}
     for hotel in "abc":
         data = [r for r in ordered(bookings) if r[2] == hotel]
@@ -72,6 +74,12 @@ def test_running_totals_keep_null_groups(spark):
     assert rows(got) == rows(spark.createDataFrame([(None, 1.0, 2), (None, 2.0, 5), ("x", 1.0, 5), ("x", 3.0, 12)], "g string, o double, n bigint"))
 
 
+def test_position_within_groups_with_null_keys(spark):
+    df = spark.createDataFrame([("a", 3.0), (None, 2.0), ("a", 1.0), (None, 5.0), (None, 4.0)], "g string, o double")
+    got = with_position(df, ["o"], F.col("o"), ["g"], buckets=3)
+    assert rows(got) == rows(spark.createDataFrame([("a", 1.0, 0), ("a", 3.0, 1), (None, 2.0, 0), (None, 4.0, 1), (None, 5.0, 2)], "g string, o double, p bigint"))
+
+
 @pytest.mark.parametrize("buckets", [1, 4, 64])
 def test_group_quantiles_with_one_large_group(spark, buckets):
     rng = random.Random(2)

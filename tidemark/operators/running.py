@@ -8,8 +8,6 @@ a small table of bucket totals carries the result across the cuts.  The answers
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -39,57 +37,70 @@ def order_key(df: DataFrame, day: str, tiebreak: str) -> Column:
     return F.unix_date(day) + (F.col(tiebreak).cast("double") - span["low"]) / span["width"]
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(and_, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+def _keyed(df: DataFrame, by: Sequence[str], bucket: str) -> tuple[DataFrame, list[str]]:
+    """The frame with its group as one struct column, and the join keys of group and bucket.
+
+    A struct compares equal to another with the same nulls, so groups with a null key meet in a
+    plain equi-join and share the exchange of the window before it.
+    """
+    if not by:
+        return df, [bucket]
+    return df.withColumn("__group", F.struct(*by)), ["__group", bucket]
 
 
 def running_totals(
     points: DataFrame, order: str, totals: Sequence[str], by: Sequence[str] = (), bucket: str = "bucket"
 ) -> DataFrame:
-    """Add ``running_<c>``: the total of ``c`` over all points of the group up to this one.
+    """Add ``running_<c>``, the total of ``c`` over all points of the group up to this one, and
+    ``total_<c>``, that of the whole group.
 
     ``points`` holds one row per (group, order value): aggregate first, so that equal order
     values are one row.  ``bucket`` cuts each group along ``order``.  The table of bucket totals
     has one row per group and bucket, however many points there are.
     """
-    by = list(by)
-    in_bucket = Window.partitionBy(*by, bucket).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    keyed, keys = _keyed(points, by, bucket)
+    groups = keys[:-1]
+    in_bucket = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        points.groupBy(*by, bucket)
+        keyed.groupBy(*keys)
         .agg(*[F.sum(c).alias(c) for c in totals])
         .select(
-            *[F.col(k).alias(f"__{k}") for k in [*by, bucket]],
-            *[F.sum(c).over(earlier).alias(f"__before_{c}") for c in totals],
+            *keys,
+            *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__before_{c}") for c in totals],
+            *[F.sum(c).over(Window.partitionBy(*groups)).alias(f"total_{c}") for c in totals],
         )
     )
-    inside = points.withColumns({f"running_{c}": F.sum(c).over(in_bucket) for c in totals})
-    joined = inside.join(carried, _same(inside, carried, [(k, f"__{k}") for k in [*by, bucket]]))
-    return joined.withColumns(
-        {f"running_{c}": F.col(f"running_{c}") + F.coalesce(f"__before_{c}", F.lit(0)) for c in totals}
-    ).drop(*[c for c in carried.columns])
+    inside = keyed.withColumns({f"running_{c}": F.sum(c).over(in_bucket) for c in totals})
+    return (
+        inside.join(carried, keys)
+        .withColumns({f"running_{c}": F.col(f"running_{c}") + F.col(f"__before_{c}") for c in totals})
+        .drop("__group", *[f"__before_{c}" for c in totals])
+    )
 
 
-def with_global_position(
-    df: DataFrame, order: Sequence[str], key: Column, alias: str = "position", buckets: int | None = None
+def with_position(
+    df: DataFrame, order: Sequence[str], key: Column, by: Sequence[str] = (), alias: str = "position",
+    buckets: int | None = None,
 ) -> DataFrame:
-    """Add the 0-based rank of each row in the total order ``order`` over the whole frame.
+    """Add the 0-based rank of each row in the order ``order``, over the whole frame or within ``by``.
 
     ``key`` is a double that rises with that order (see ``order_key``) and only serves to cut
     the frame; ``order`` must be a total order, or equal rows get an arbitrary rank.
     """
-    keyed = df.withColumn("__key", key)
-    cut = range_buckets("__key", keyed.select("__key"), buckets, "__bucket").transform(keyed)
-    earlier = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy("__bucket").count()
-        .select(F.col("__bucket").alias("__b"), F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__offset"))
+    ranged = df.withColumn("__key", key)
+    cut = range_buckets("__key", ranged.select("__key"), buckets, "__bucket").transform(ranged)
+    keyed, keys = _keyed(cut, by, "__bucket")
+    earlier = Window.partitionBy(*keys[:-1]).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
+        *keys, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__offset")
     )
-    inside = cut.withColumn("__rank", F.row_number().over(Window.partitionBy("__bucket").orderBy(*order)))
+    in_bucket = Window.partitionBy(*keys).orderBy(*order)
     return (
-        inside.join(offsets, inside["__bucket"].eqNullSafe(offsets["__b"]))
-        .withColumn(alias, (F.col("__offset") + F.col("__rank") - 1).cast("long"))
-        .drop("__key", "__bucket", "__b", "__offset", "__rank")
+        keyed.withColumn("__rank", F.row_number().over(in_bucket))
+        .join(offsets, keys)
+        .withColumn(alias, F.col("__offset") + F.col("__rank") - 1)
+        .drop("__group", "__key", "__bucket", "__offset", "__rank")
     )
 
 
@@ -98,42 +109,33 @@ def moving_average(
     value: str,
     rows: int,
     order: Sequence[str],
-    key: Column | None = None,
+    key: Column,
     by: Sequence[str] = (),
     alias: str = "moving_avg",
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Average of ``value`` over the current and the ``rows - 1`` preceding rows.
 
-    With ``by`` a window per group is used.  Without it the order is global: rows are ranked,
-    cut into chunks of ``chunk_rows``, and each chunk also receives the last ``rows - 1`` rows
-    of the one before, so that its first averages are complete.
+    Rows are ranked, over the whole frame or within ``by``, and cut into chunks of
+    ``chunk_rows``.  Each chunk also receives the last ``rows - 1`` rows of the one before, so
+    that its first averages are complete.
     """
-    if by:
-        frame = Window.partitionBy(*by).orderBy(*order).rowsBetween(-(rows - 1), 0)
-        return df.withColumn(alias, _mean(value, frame))
-    if key is None:
-        raise ValueError("a global moving average needs a numeric order key")
     if chunk_rows < rows:
         raise ValueError("a chunk must be at least as long as the frame")
-    ranked = with_global_position(df, order, key, "__position")
+    ranked = with_position(df, order, key, by, "__position")
     chunk = F.floor(F.col("__position") / chunk_rows)
     near_end = F.col("__position") % chunk_rows >= chunk_rows - (rows - 1)
     homes = F.when(near_end, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
-    frame = Window.partitionBy("__chunk").orderBy("__position").rowsBetween(-(rows - 1), 0)
+    frame = Window.partitionBy(*by, "__chunk").orderBy("__position").rowsBetween(-(rows - 1), 0)
+    mean = F.sum(value).over(frame).cast("double") / F.nullif(F.count(value).over(frame), F.lit(0))
     return (
         ranked.withColumn("__chunk", F.explode(homes))
-        .withColumn(alias, _mean(value, frame))
+        .withColumn(alias, mean)
         .filter(F.col("__chunk") == chunk)
         .drop("__position", "__chunk")
     )
 
 
-def _mean(value: str, frame) -> Column:
-    total, count = F.sum(value).over(frame), F.count(value).over(frame)
-    return total.cast("double") / F.nullif(count, F.lit(0))
-
-
 def group_quantiles(
     df: DataFrame, value: str, by: Sequence[str], quantiles: dict[str, float], buckets: int | None = None
 ) -> DataFrame:
@@ -142,13 +144,10 @@ def group_quantiles(
     Equal values are counted first, then ranked with ``running_totals``: a group of any size is
     spread over all buckets, and no task holds the distinct values of a group.
     """
-    by = list(by)
     known = df.filter(F.col(value).isNotNull()).withColumn("__value", F.col(value).cast("double"))
     cut = range_buckets("__value", known.select("__value"), buckets, "__bucket")
     counted = known.groupBy(*by, "__value").agg(F.count(F.lit(1)).alias("__n"))
-    points = running_totals(cut.transform(counted), "__value", ["__n"], by, "__bucket")
-    sizes = df.groupBy(*[F.col(k).alias(f"__{k}") for k in by]).agg(F.count(value).alias("__size"))
-    ranked = points.join(sizes, _same(points, sizes, [(k, f"__{k}") for k in by])).withColumn(
+    points = running_totals(cut.transform(counted), "__value", ["__n"], by, "__bucket").withColumn(
         "__first", F.col("running___n") - F.col("__n")
     )
 
@@ -156,23 +155,15 @@ def group_quantiles(
         here = (F.col("__first") <= rank) & (rank < F.col("running___n"))
         return F.max(F.when(here, F.col("__value")))
 
-    picks = []
+    picks, results = [], []
     for name, q in quantiles.items():
-        rank = (F.col("__size") - 1) * F.lit(q)
+        rank = (F.col("total___n") - 1) * F.lit(q)
         picks += [
             at(F.floor(rank)).alias(f"__{name}_low"),
             at(F.ceil(rank)).alias(f"__{name}_high"),
             F.max(rank - F.floor(rank)).alias(f"__{name}_part"),
         ]
-    picked = ranked.groupBy(*by).agg(F.max("__size").alias("n"), *picks)
-    return picked.select(
-        *by,
-        "n",
-        *[
-            (
-                F.col(f"__{name}_low")
-                + (F.col(f"__{name}_high") - F.col(f"__{name}_low")) * F.col(f"__{name}_part")
-            ).alias(name)
-            for name in quantiles
-        ],
-    )
+        low, high = F.col(f"__{name}_low"), F.col(f"__{name}_high")
+        results.append((low + (high - low) * F.col(f"__{name}_part")).alias(name))
+    picked = points.groupBy(*by).agg(F.max("total___n").alias("n"), *picks)
+    return picked.select(*by, "n", *results)

@@ -41,7 +41,7 @@ def average_cost(
     order = ["booking_date", "booking_reference"]
     averaged = moving_average(
         prepped, "cost", rows, order,
-        key=None if by_hotel else order_key(prepped, *order),
+        key=order_key(prepped, *order),
         by=["hotel"] if by_hotel else [],
         alias="avg_cost_30", chunk_rows=chunk_rows,
     )

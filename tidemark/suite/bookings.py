@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators.running import order_key, with_global_position
+from tidemark.operators.running import order_key, with_position
 from tidemark.plans import bookings as book
 from tidemark.plans.models import run_models
 from tidemark.sources.samples import SampleTables
@@ -63,7 +63,7 @@ def moving_average_cost_by_hotel(t: SampleTables) -> DataFrame:
 def booking_row_numbers(t: SampleTables) -> DataFrame:
     combined = book.combined_bookings(t.bookings())
     order = ["booking_date", "booking_reference"]
-    return with_global_position(combined, order, order_key(combined, *order)).select("booking_reference", "position")
+    return with_position(combined, order, order_key(combined, *order)).select("booking_reference", "position")
 
 
 @query("booking_model_run", f"WITH {BOOKINGS} " + _AVERAGE.format(partition=""))

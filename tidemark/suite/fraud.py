@@ -368,7 +368,7 @@ def logistic_scores(t: SampleTables) -> DataFrame:
 
 
 def _fitted(t: SampleTables, trees: int, depth: int):
-    table = _features(t)
+    table = cut_lineage(_features(t))      # training passes over it many times
     train, test = _split(t, table)
     return fit_forest(train, trees=trees, depth=depth), table, test
 
