@@ -69,7 +69,7 @@ def test_running_totals_keep_null_groups(spark):
     points = spark.createDataFrame(
         [(None, 1.0, 2), (None, 2.0, 3), ("x", 1.0, 5), ("x", 3.0, 7)], "g string, o double, n bigint"
     )
-    cut = range_buckets("o", points, 3).transform(points)
+    cut = range_buckets("o", points, 3)(points)
     got = running_totals(cut, "o", ["n"], ["g"]).select("g", "o", "running_n")
     assert rows(got) == rows(spark.createDataFrame([(None, 1.0, 2), (None, 2.0, 5), ("x", 1.0, 5), ("x", 3.0, 12)], "g string, o double, n bigint"))
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import posixpath
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -78,19 +80,22 @@ def shared_folder(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``; only a local session without one gets a
     temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """The frame, computed once and kept as files in the session's checkpoint folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """The frame, computed once and read back from parquet files in the shared folder.
+
+    For frames that several later passes read: lost executors lose nothing, and each pass
+    reads only the columns and row groups it needs.
+    """
+    path = posixpath.join(shared_folder(df.sparkSession), f"stored-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ a small table of bucket totals carries the result across the cuts.  The answers
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 CHUNK_ROWS = 1 << 20
 
 
-def range_buckets(key: str, sample: DataFrame, buckets: int | None = None, alias: str = "bucket") -> Bucketizer:
-    """A transformer that adds a bucket number which never falls as ``key`` (a double) rises.
+def range_buckets(
+    key: str, sample: DataFrame, buckets: int | None = None, alias: str = "bucket"
+) -> Callable[[DataFrame], DataFrame]:
+    """A step that adds a bucket number which never falls as ``key`` (a double) rises.
 
     Cut points are approximate quantiles of ``key`` in ``sample``, found in one pass; only that
     list (at most ``buckets`` numbers, default the shuffle width) reaches the driver.  Uneven
@@ -27,7 +29,8 @@ def range_buckets(key: str, sample: DataFrame, buckets: int | None = None, alias
     probabilities = [i / buckets for i in range(1, buckets)]
     cuts = sample.approxQuantile(key, probabilities, 1 / (4 * buckets)) if probabilities else []
     splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
-    return Bucketizer(splits=splits, inputCol=key, outputCol=alias, handleInvalid="keep")
+    cut = Bucketizer(splits=splits, inputCol=key, outputCol=alias, handleInvalid="keep")
+    return lambda df: cut.transform(df).withColumn(alias, F.col(alias).cast("int"))
 
 
 def order_key(df: DataFrame, day: str, tiebreak: str) -> Column:
@@ -89,7 +92,7 @@ def with_position(
     the frame; ``order`` must be a total order, or equal rows get an arbitrary rank.
     """
     ranged = df.withColumn("__key", key)
-    cut = range_buckets("__key", ranged.select("__key"), buckets, "__bucket").transform(ranged)
+    cut = range_buckets("__key", ranged.select("__key"), buckets, "__bucket")(ranged)
     keyed, keys = _keyed(cut, by, "__bucket")
     earlier = Window.partitionBy(*keys[:-1]).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(
@@ -147,7 +150,7 @@ def group_quantiles(
     known = df.filter(F.col(value).isNotNull()).withColumn("__value", F.col(value).cast("double"))
     cut = range_buckets("__value", known.select("__value"), buckets, "__bucket")
     counted = known.groupBy(*by, "__value").agg(F.count(F.lit(1)).alias("__n"))
-    points = running_totals(cut.transform(counted), "__value", ["__n"], by, "__bucket").withColumn(
+    points = running_totals(cut(counted), "__value", ["__n"], by, "__bucket").withColumn(
         "__first", F.col("running___n") - F.col("__n")
     )
 

@@ -21,7 +21,7 @@ def _threshold_points(scored: DataFrame, label: str, score: str, buckets: int |
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
     cut = range_buckets("below", rows.select("below"), buckets)
-    return running_totals(cut.transform(points), "below", ["pos", "neg"])
+    return running_totals(cut(points), "below", ["pos", "neg"])
 
 
 def ranking_metrics(

@@ -191,7 +191,7 @@ def split_train(t: SampleTables) -> DataFrame:
 
 @query("split_test", f"WITH {features(False)}, {split_by_loop('features', START_SQL)} SELECT * FROM test")
 def split_test(t: SampleTables) -> DataFrame:
-    return _split(t, _features(t))[1]
+    return _split(t, cut_lineage(study_window(_features(t), START)))[1]
 
 
 @query(
@@ -368,7 +368,7 @@ def logistic_scores(t: SampleTables) -> DataFrame:
 
 
 def _fitted(t: SampleTables, trees: int, depth: int):
-    table = cut_lineage(_features(t))      # training passes over it many times
+    table = cut_lineage(_features(t))      # read many times by the training
     train, test = _split(t, table)
     return fit_forest(train, trees=trees, depth=depth), table, test
 
