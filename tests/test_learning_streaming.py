@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidemark.operators import materialise as mat
 from tidemark.plans import learning, regression as reg
 from tidemark.plans.features import INPUT_FEATURES, KEYS, feature_table
 from tidemark.plans.metrics import ranking_metrics
@@ -48,6 +49,21 @@ def test_shipped_forest_equals_the_model(spark, fitted, tmp_path):
     assert rows(by_sql) == rows(by_udf)
 
 
+def test_saved_features_snapshot_split_and_score(spark):
+    """The whole way: store features by time, freeze the study window, split, train, score."""
+    features = feature_table(SampleTables(spark, "/root/testdata/sf0.01").transactions(), per_one=100)
+    mat.write_sorted(features, "trx_features", "tx_datetime", files=4)
+    start = dt.date(2024, 1, 8)
+    name, frozen = mat.snapshot(spark, "trx_features", dt.datetime(2024, 2, 1), where=F.col("tx_datetime") >= "2024-01-08")
+    mat.drop_table(spark, "trx_features")
+    train, test = delayed_split(study_window(frozen, start), start)
+    model = learning.fit_forest(train, trees=5, depth=4)
+    scored = learning.score_frame(model, test)
+    assert scored.count() == test.count() > 0
+    assert scored.filter(~F.col("score").between(0, 1)).count() == 0
+    mat.drop_table(spark, name)
+
+
 def test_least_squares_equals_numpy(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 4)) * [1, 5, 0.1, 100]

@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.functions import calendar_days, day_of_week, hash_fraction, ratio_to_report
+from tidemark.functions import calendar_days, day_of_week, hash_below, ratio_to_report
 from tidemark.operators import filters, profile, quality
 from tidemark.operators.joins import calendar_spine
 from tidemark.operators.sets import union_distinct, union_relations
@@ -203,7 +203,7 @@ def test_describe_and_profile(spark):
 
 def test_hash_split_does_not_depend_on_partitioning(spark):
     df = spark.range(2000)
-    part = F.when(hash_fraction(["id"], 101) < 0.7, 1).otherwise(0).alias("p")
+    part = F.when(hash_below(["id"], 101, 0.7), 1).otherwise(0).alias("p")
     one = rows(df.coalesce(1).select("id", part))
     assert one == rows(df.repartition(7).select("id", part))
     assert 0.65 < sum(r[1] for r in one) / 2000 < 0.75

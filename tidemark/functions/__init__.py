@@ -15,7 +15,7 @@ from tidemark.functions.dates import (
 )
 from tidemark.functions.values import (
     from_units,
-    hash_fraction,
+    hash_below,
     iff,
     ratio_to_report,
     row_json,
@@ -26,7 +26,7 @@ from tidemark.functions.values import (
 
 __all__ = [
     "as_bound", "as_date_bound", "calendar_days", "day_name", "day_of_week", "day_start",
-    "from_units", "hash_fraction", "iff", "is_night", "is_weekend", "month_name", "parse_us_date",
+    "from_units", "hash_below", "iff", "is_night", "is_weekend", "month_name", "parse_us_date",
     "ratio_to_report", "row_json", "row_object", "seconds_since", "whole_units",
     "zero_if_null",
 ]

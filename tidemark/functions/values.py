@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -56,11 +57,14 @@ def ratio_to_report(
     return df.withColumn(alias, share * F.lit(float(scale)))
 
 
-def hash_fraction(keys: Sequence[str], seed: int) -> Column:
-    """A value in [0, 1) fixed by the key values and the seed.
+def hash_below(keys: Sequence[str], seed: int, fraction: float) -> Column:
+    """True for about ``fraction`` of all keys; the answer for a key depends on it and the seed only.
 
     Built on MD5 so that any engine can recompute the same split; it does not depend on
-    partitioning, task order or re-execution, unlike a random sample.
+    partitioning, task order or re-execution, unlike a random sample.  The first 32 bits are
+    compared as fixed-width hex text, which orders like the number.
     """
+    if fraction >= 1:
+        return F.lit(True)
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(4294967296.0)
+    return F.substring(F.md5(text), 1, 8) < F.lit(f"{math.ceil(fraction * 2**32):08x}")

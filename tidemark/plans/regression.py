@@ -8,14 +8,14 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.functions import hash_fraction
+from tidemark.functions import hash_below
 
 
 def split_by_key(
     df: DataFrame, keys: Sequence[str], train_fraction: float = 0.7, seed: int = 101
 ) -> tuple[DataFrame, DataFrame]:
     """Training and test rows; a row's side depends only on its key and the seed."""
-    in_train = hash_fraction(keys, seed) < F.lit(train_fraction)
+    in_train = hash_below(keys, seed, train_fraction)
     return df.filter(in_train), df.filter(~in_train)
 
 
