@@ -105,6 +105,26 @@ def test_cutting_hot_days_changes_nothing(spark, skewed):
     assert rows(whole) == rows(cut)
 
 
+def test_a_third_of_all_rows_at_one_moment(spark):
+    copies = [(i, 1, 9, 1, 1, 2.5, 0) for i in range(300)]
+    others = [(300 + i, i % 4, i % 24, 2 + i % 5, 1, 1, 0) for i in range(600)]
+    tx = make(spark, copies + others)
+    cut = feat.feature_table(tx, per_one=100, hot_rows=100)
+    assert rows(feat.hot_customer_days(tx, 100)) == [(1, dt.date(2024, 3, 2))]
+    assert rows(cut) == rows(feat.feature_table(tx, per_one=100))
+    assert by_id(cut)[7]["cust_cnt_tx_1"] == 300
+
+
+def test_unknown_amounts_leave_the_average_open(spark):
+    tx = make(spark, [(1, 0, 5, 1, 1, 2, 0), (2, 0, 6, 1, 1, 4, 0), (3, 0, 7, 1, 1, 6, 0), (9, 2, 0, 2, 1, 1, 0)])
+    tx = tx.withColumn("tx_amount", F.when(F.col("transaction_id") != 2, F.col("tx_amount")))
+    tx = tx.withColumn("tx_amount", F.when(F.col("transaction_id") != 1, F.col("tx_amount")))
+    for hot_rows in (1, 10**6):
+        got = by_id(feat.feature_table(tx, per_one=100, hot_rows=hot_rows))
+        assert got[1]["cust_avg_amount_1"] is None and got[2]["cust_avg_amount_1"] is None
+        assert got[3]["cust_avg_amount_1"] == pytest.approx(2.0) and got[3]["cust_cnt_tx_1"] == 3
+
+
 def test_sparse_windows_equal_dense_ones(spark, skewed):
     dense = feat.customer_day_windows(feat.dense_customer_daily(skewed, include_last_day=True, per_one=100))
     sparse = feat.customer_days(skewed, per_one=100)

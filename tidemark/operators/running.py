@@ -74,7 +74,9 @@ def running_totals(
             *[F.sum(c).over(Window.partitionBy(*groups)).alias(f"total_{c}") for c in totals],
         )
     )
-    inside = keyed.withColumns({f"running_{c}": F.sum(c).over(in_bucket) for c in totals})
+    inside = keyed.withColumns(
+        {f"running_{c}": F.coalesce(F.sum(c).over(in_bucket), F.lit(0)) for c in totals}
+    )
     return (
         inside.join(carried, keys)
         .withColumns({f"running_{c}": F.col(f"running_{c}") + F.col(f"__before_{c}") for c in totals})

@@ -7,9 +7,9 @@ over windows that end ``delay`` days ago, because frauds become known that late.
 The features are defined on a dense calendar (one row per entity and day).  No such calendar is
 built here: transactions are aggregated to the days that occur, and windows run over day numbers,
 which gives the same values because absent days add nothing.  Whole transactions are exchanged
-twice: by customer-day for the running totals, where days too large for one task are cut into
-seconds, and by terminal-day for the risk, a plain equi-join that adaptive execution splits when
-one terminal holds a large part of the data.  All other exchanges carry aggregated rows.
+twice: by customer-day for the running totals, where days too large for one task go another way,
+and by terminal-day for the risk, a plain equi-join that adaptive execution splits when one
+terminal holds a large part of the data.  All other exchanges carry aggregated rows.
 """
 
 from __future__ import annotations
@@ -20,12 +20,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import from_units, is_night, is_weekend, whole_units
 from tidemark.operators.joins import calendar_spine, spine_bounds, spine_totals
+from tidemark.operators.running import running_totals
 
 WINDOWS = (1, 7, 30)
 DELAY = 7
 HOT_ROWS = 1_000_000       # rows of one customer-day that one task may sort
 MAX_HOT_DAYS = 100_000
-WHOLE_DAY = -1
+CUSTOMER_DAY = ["customer_id", "tx_date"]
 
 KEYS = ["transaction_id", "tx_datetime", "customer_id", "terminal_id"]
 INPUT_FEATURES = [
@@ -120,14 +121,6 @@ def terminal_day_windows(
     return dense.select("*", *[c.alias(n) for n, c in columns.items()])
 
 
-def _add(a: Column, b: Column) -> Column:
-    """Sum that is null only if both parts are."""
-    return F.when(a.isNull(), b).otherwise(a + F.coalesce(b, F.lit(0)))
-
-
-_SLICE = ["customer_id", "tx_date", "day_slice"]
-
-
 def hot_customer_days(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Customer-days with too many transactions for one task.
 
@@ -143,58 +136,56 @@ def hot_customer_days(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
+def _hot_moments(tx: DataFrame, per_one: int | None) -> DataFrame:
+    """Day totals up to each distinct timestamp of hot customer-days.
+
+    Transactions at one timestamp are added up first, so a second holds at most a million
+    rows, and the totals of earlier seconds are carried over: no task sees a whole day.
+    """
+    second = F.hour("tx_datetime") * 3600 + F.minute("tx_datetime") * 60 + F.second("tx_datetime")
+    moments = tx.groupBy(*CUSTOMER_DAY, "tx_datetime", second.alias("second")).agg(
+        F.count("customer_id").alias("n"),
+        F.count("tx_amount").alias("known"),
+        F.coalesce(F.sum(whole_units("tx_amount", per_one)), F.lit(0)).alias("amount"),
+    )
+    totals = running_totals(moments, "tx_datetime", ["n", "known", "amount"], CUSTOMER_DAY, "second")
+    return totals.select(
+        *CUSTOMER_DAY, "tx_datetime", F.col("running_n").alias("cur_day_trx"),
+        F.when(F.col("running_known") > 0, F.col("running_amount")).alias("cur_day_amt"),
+    )
+
+
 def with_day_so_far(
     tx: DataFrame, day_features: DataFrame | None = None, hot_rows: int = HOT_ROWS,
     per_one: int | None = None,
 ) -> DataFrame:
     """Add the number and amount of a customer's transactions of the day up to each one.
 
-    Transactions at the same moment count each other.  A hot customer-day is cut into seconds:
-    its tasks sort one second each, and totals of earlier seconds are carried over.  All other
-    customer-days are one slice.  ``day_features`` (one row per customer and day) join on the
-    same exchange, which drops transactions of days they lack.
+    Transactions at the same moment count each other.  Ordinary customer-days are one window
+    partition each.  Hot ones take another way: their totals are worked out per moment and
+    joined back, an equi-join that adaptive execution can split; without hot days that branch
+    is empty and drops out at run time.  ``day_features`` (one row per customer and day) are
+    joined on the way, which drops transactions of days they lack.
     """
-    day = ["customer_id", "tx_date"]
-    amount = whole_units("tx_amount", per_one)
     dated = tx.withColumn("tx_date", F.to_date("tx_datetime"))
     # Fewer than MAX_HOT_DAYS rows, so the broadcast is bounded.
-    hot = F.broadcast(hot_customer_days(tx, hot_rows).withColumn("hot", F.lit(True)))
-    second = F.hour("tx_datetime") * 3600 + F.minute("tx_datetime") * 60 + F.second("tx_datetime")
-
-    before = Window.partitionBy(*day).orderBy("day_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        dated.join(hot, day)
-        .groupBy(*day, second.alias("day_slice"))
-        .agg(F.count("customer_id").alias("n"), F.sum(amount).alias("amount"))
-        .select(
-            *_SLICE, F.sum("n").over(before).alias("carried_n"), F.sum("amount").over(before).alias("carried_amount")
-        )
-    )
-    if day_features is None:
-        context, how = carried, "left"
-    else:
-        context, how = day_features.join(carried, day, "left"), "inner"
-        context = context.withColumn("day_slice", F.coalesce("day_slice", F.lit(WHOLE_DAY)))
+    hot = F.broadcast(hot_customer_days(tx, hot_rows))
+    hot_tx = dated.join(hot, CUSTOMER_DAY, "left_semi")
+    moments = _hot_moments(hot_tx, per_one)
 
-    until_now = Window.partitionBy(*_SLICE).orderBy("tx_datetime").rangeBetween(
+    until_now = Window.partitionBy(*CUSTOMER_DAY).orderBy("tx_datetime").rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    sliced = dated.join(hot, day, "left").withColumn(
-        "day_slice", F.when(F.col("hot"), second).otherwise(F.lit(WHOLE_DAY))
-    )
-    inside = sliced.drop("hot").withColumns(
-        {"slice_n": F.count("customer_id").over(until_now), "slice_amount": F.sum(amount).over(until_now)}
-    )
-    return (
-        inside.join(context, _SLICE, how)
-        .withColumns(
-            {
-                "cur_day_trx": F.col("slice_n") + F.coalesce("carried_n", F.lit(0)),
-                "cur_day_amt": _add(F.col("carried_amount"), F.col("slice_amount")),
-            }
-        )
-        .drop("day_slice", "slice_n", "slice_amount", "carried_n", "carried_amount")
+    ordinary = dated.join(hot, CUSTOMER_DAY, "left_anti").withColumns(
+        {
+            "cur_day_trx": F.count("customer_id").over(until_now),
+            "cur_day_amt": F.sum(whole_units("tx_amount", per_one)).over(until_now),
+        }
     )
+    if day_features is not None:
+        ordinary = ordinary.join(day_features, CUSTOMER_DAY)
+        moments = moments.join(day_features, CUSTOMER_DAY)
+    return ordinary.unionByName(hot_tx.join(moments, [*CUSTOMER_DAY, "tx_datetime"]))
 
 
 def customer_days(
