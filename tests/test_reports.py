@@ -9,11 +9,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar_days, day_of_week, hash_below, ratio_to_report
-from tidemark.operators import filters, profile, quality
+from tidemark.operators import filters, materialise as mat, profile, quality
 from tidemark.operators.joins import calendar_spine
 from tidemark.operators.sets import union_distinct, union_relations
 from tidemark.plans import bookings as book, trips as trip
-from tidemark.plans.models import Model, run_models, run_order
+from tidemark.plans.models import Model, SqlModel, publish_views, run_models, run_order
 
 SPEC = [
     filters.FilterSpec("Current", "is_current", "flag", True),
@@ -267,6 +267,32 @@ def test_models_run_in_dependency_order(spark):
     assert averages == pytest.approx([100, 350, 800 / 3, 250, 260])
 
 
+def test_sql_models_become_views_in_their_schemas(spark):
+    mat.overwrite_table(seeds(spark)["bookings_1"], "seed_bookings")
+    models = [
+        SqlModel("cost_by_hotel", ("prepared",), "SELECT hotel, SUM(cost) AS cost FROM {prepared} GROUP BY hotel", schema=" reports "),
+        SqlModel("prepared", ("bookings",), "SELECT hotel, cost FROM {bookings} WHERE cost < 500"),
+    ]
+    names = publish_views(spark, models, {"bookings": "seed_bookings"}, "staging")
+    assert names == {"cost_by_hotel": "reports.cost_by_hotel", "prepared": "staging.prepared"}
+    assert rows(spark.table("reports.cost_by_hotel")) == [("Lake", 200), ("Park", 100)]
+    publish_views(spark, models, {"bookings": "seed_bookings"}, "staging")
+    for schema in ("reports", "staging"):
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
+    mat.drop_table(spark, "seed_bookings")
+
+
+def test_stored_rollups_answer_for_the_trips(spark):
+    trips = trips_frame(spark)
+    daily = mat.overwrite_table(trip.daily_rollup(trips), "count_by_day")
+    monthly = mat.overwrite_table(trip.month_rollup(trips), "count_by_month")
+    assert rows(trip.trips_by_month(trips, rollup=daily)) == rows(trip.trips_by_month(trips))
+    stored = trip.trips_by_month_stored(monthly).collect()
+    assert [r["starttime"] for r in stored] == sorted(r["starttime"] for r in stored)
+    for name in ("count_by_day", "count_by_month"):
+        mat.drop_table(spark, name)
+
+
 def test_model_cycle_is_an_error():
     with pytest.raises(ValueError):
         run_order([Model("a", ("b",), lambda b: b), Model("b", ("a",), lambda a: a)])

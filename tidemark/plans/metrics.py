@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.running import range_buckets, running_totals
 from tidemark.operators.topk import top_k_per_group
@@ -51,20 +51,18 @@ def card_precision(
 ) -> DataFrame:
     """Per day: frauded cards, frauds among the k top-scored cards, and hits / k.
 
-    Cards found on one day are left out on later days.  By day i at most ``k * i`` cards can
-    have been removed, so the first ``k * (i + 1)`` cards of each day decide everything; only
-    those go through the day-by-day step, which therefore grows with k and the number of days,
-    not with the data.  Equal scores are taken in card order.
+    Cards found on one day are left out on later days.  Up to day number i at most ``k * i``
+    cards can have been removed, so the first ``k * (i + 1)`` cards of each day decide
+    everything; only those go through the day-by-day step, which therefore grows with k and the
+    number of days, not with the data.  Equal scores are taken in card order; ``day`` is a
+    whole number.
     """
     cards = scored.groupBy(day, card).agg(
         F.max(F.col(score).cast("double")).alias("score"), F.max(label).alias("label")
     )
-    days = cards.select(day).distinct().withColumn(
-        "day_number", F.row_number().over(Window.orderBy(day))
-    )
-    best_first = [F.desc("score"), F.asc(card)]
+    first_day = scored.agg(F.min(day)).scalar()
     leading = top_k_per_group(
-        cards.join(days, day), [day], best_first, F.col("day_number") * k, [card]
+        cards, [day], [F.desc("score"), F.asc(card)], (F.col(day) - first_day + 1) * k, [card]
     )
 
     def found(rows: pd.DataFrame) -> pd.DataFrame:
@@ -76,7 +74,7 @@ def card_precision(
             frauds = today.head(k).query("label == 1")[card]
             detected.update(frauds)
             hits.append(pd.DataFrame({"found_day": value, "found_card": frauds}))
-        return pd.concat(hits) if hits else pd.DataFrame({"found_day": [], "found_card": []})
+        return pd.concat(hits)
 
     types = dict(cards.dtypes)
     hits = (
@@ -84,23 +82,17 @@ def card_precision(
         .groupBy("all_days")
         .applyInPandas(found, f"found_day {types[day]}, found_card {types[card]}")
     )
-    hits_per_day = hits.groupBy(F.col("found_day").alias("hit_day")).agg(F.count(F.lit(1)).alias("hits"))
-    frauded = cards.filter(F.col("label") == 1)
     if remove_detected:
-        frauded = frauded.join(
-            hits, (F.col(card) == F.col("found_card")) & (F.col("found_day") < F.col(day)), "left_anti"
-        )
-    frauded_per_day = frauded.groupBy(F.col(day).alias("fraud_day")).agg(F.count(F.lit(1)).alias("frauded"))
-    hit_count = F.coalesce("hits", F.lit(0))
-    return (
-        days.join(hits_per_day, F.col(day) == F.col("hit_day"), "left")
-        .join(frauded_per_day, F.col(day) == F.col("fraud_day"), "left")
-        .select(
-            day,
-            F.coalesce("frauded", F.lit(0)).alias("frauded_cards"),
-            hit_count.alias("hits"),
-            (hit_count / F.lit(k)).alias("card_precision"),
-        )
+        # At most k cards per day, each on one day, so the broadcast is bounded.
+        marked = cards.join(F.broadcast(hits), F.col(card) == F.col("found_card"), "left")
+        open_fraud = (F.col("label") == 1) & F.coalesce(F.col("found_day") >= F.col(day), F.lit(True))
+    else:
+        marked, open_fraud = cards, F.col("label") == 1
+    per_day = marked.groupBy(day).agg(F.count_if(open_fraud).alias("frauded_cards"))
+    hits_per_day = hits.groupBy(F.col("found_day").alias(day)).agg(F.count(F.lit(1)).alias("found"))
+    hit_count = F.coalesce("found", F.lit(0))
+    return per_day.join(hits_per_day, day, "left").select(
+        day, "frauded_cards", hit_count.alias("hits"), (hit_count / F.lit(k)).alias("card_precision")
     )
 
 

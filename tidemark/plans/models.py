@@ -8,6 +8,8 @@ from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.materialise import schema_name
+
 
 @dataclass(frozen=True)
 class Model:
@@ -16,7 +18,17 @@ class Model:
     build: Callable[..., DataFrame]     # called with one frame per ref, by name
 
 
-def run_order(models: Sequence[Model]) -> list[str]:
+@dataclass(frozen=True)
+class SqlModel:
+    """A model given as SQL text, with ``{name}`` where it reads another model or a seed."""
+
+    name: str
+    refs: tuple[str, ...]
+    sql: str
+    schema: str | None = None
+
+
+def run_order(models: Sequence[Model | SqlModel]) -> list[str]:
     """Model names, each after everything it refers to; a cycle is an error."""
     graph = {m.name: set(m.refs) for m in models}
     return [n for n in TopologicalSorter(graph).static_order() if n in graph]
@@ -36,3 +48,23 @@ def run_models(
         frames[name] = model.build(**{r: frames[r] for r in model.refs})
         frames[name].createOrReplaceTempView(prefix + name)
     return {m.name: spark.table(prefix + m.name) for m in models}
+
+
+def publish_views(
+    spark: SparkSession, models: Sequence[SqlModel], seeds: Mapping[str, str], default_schema: str
+) -> dict[str, str]:
+    """Publish SQL models as catalog views in dependency order; returns their full names.
+
+    A model goes to its own schema if it names one, else to the default.  ``seeds`` maps names
+    to catalog tables.
+    """
+    names = dict(seeds)
+    by_name = {m.name: m for m in models}
+    for name in run_order(models):
+        model = by_name[name]
+        schema = schema_name(model.schema, default_schema)
+        text = model.sql.format(**{r: names[r] for r in model.refs})
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
+        spark.sql(f"CREATE OR REPLACE VIEW {schema}.{name} AS {text}")
+        names[name] = f"{schema}.{name}"
+    return {m.name: names[m.name] for m in models}

@@ -14,7 +14,7 @@ from tidemark.suite.sqltext import MEMBERS, TX
 FILTERS = (
     FilterSpec("Current customer", "IS_CURRENT_CUSTOMER", "flag", True),
     FilterSpec("Tenure", "YEARS_TENURE", "range", (5, 20)),
-    FilterSpec("Home town", "MEMBER_ID", "range", (0, 0), enabled=False),
+    FilterSpec("Long tenure", "YEARS_TENURE", "range", (24, 24), enabled=False),
     FilterSpec("Weekly workout count", "AVERAGE_WEEKLY_WORKOUT_COUNT", "range", (0, 6)),
 )
 _CURRENT = "is_current_customer"
