@@ -235,13 +235,11 @@ def terminal_days(
             F.coalesce(F.sum("no_trx").over(frame), F.lit(0)).alias(f"n_{w}"),
             F.coalesce(F.sum("nb_fraud").over(frame), F.lit(0)).alias(f"fraud_{w}"),
         ]
-    return terminal_daily(tx).select("terminal_id", "tx_date", *columns).select(
+    has_history = (F.col("tx_date") > first_day).alias("has_history")
+    return terminal_daily(tx).select("terminal_id", "tx_date", has_history, *columns).select(
         "terminal_id",
         "tx_date",
-        *[
-            F.when(F.col("tx_date") > first_day, F.col(f"n_{w}")).alias(f"nb_tx_window_{w}")
-            for w in windows
-        ],
+        *[F.when(F.col("has_history"), F.col(f"n_{w}")).alias(f"nb_tx_window_{w}") for w in windows],
         *[
             F.when(F.col(f"fraud_{w}") > 0, F.col(f"fraud_{w}") / F.col(f"n_{w}")).otherwise(F.lit(0.0))
             .alias(f"term_risk_{w}")
