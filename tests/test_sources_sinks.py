@@ -162,6 +162,13 @@ def test_csv_and_json_rows(spark, tmp_path):
     assert [json.loads(r[0]) for r in mat.json_rows(df).orderBy("value").collect()] == [{"id": 1, "name": "a,b"}, {"id": 2}]
 
 
+def test_csv_keeps_microseconds(spark, tmp_path):
+    at = dt.datetime(2024, 1, 6, 18, 24, 46, 525460)
+    df = spark.createDataFrame([(at, at), (at.replace(microsecond=0), None)], "a timestamp_ntz, b timestamp")
+    mat.write_csv(df, str(tmp_path / "out"), header=False, compression="gzip")
+    assert rows(files.read_headerless_csv(spark, str(tmp_path / "out"), df.schema)) == rows(df)
+
+
 def test_checkpoint_and_resume(spark, tmp_path):
     df = spark.range(4).select("id", (F.col("id") / 2).alias("half"), F.lit(dt.date(2024, 1, 1)).alias("day"))
     mat.checkpoint_frame(df, str(tmp_path / "point"))

@@ -13,13 +13,24 @@ from tidemark.operators.filters import plan_text
 from tidemark.operators.quality import save_schema
 
 
-def overwrite_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Replace a table by the frame and return the stored table."""
-    df.write.mode("overwrite").partitionBy(*partition_by).saveAsTable(name)
+def _save(df: DataFrame, name: str, mode: str, path: str | None, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    df.write.options(**({"path": path} if path else {})).mode(mode).partitionBy(*partition_by).saveAsTable(name)
     return df.sparkSession.table(name)
 
 
-def write_sorted(df: DataFrame, name: str, key: str, files: int | None = None) -> DataFrame:
+def overwrite_table(
+    df: DataFrame, name: str, partition_by: tuple[str, ...] = (), path: str | None = None
+) -> DataFrame:
+    """Replace a table by the frame and return the stored table.
+
+    With ``path`` (here and below) the files go there instead of the warehouse folder.
+    """
+    return _save(df, name, "overwrite", path, partition_by)
+
+
+def write_sorted(
+    df: DataFrame, name: str, key: str, files: int | None = None, path: str | None = None
+) -> DataFrame:
     """Replace a table by the frame, laid out by ``key`` so that scans can skip row groups.
 
     The range exchange also orders on a hash of the row, so rows that share one key value
@@ -27,8 +38,7 @@ def write_sorted(df: DataFrame, name: str, key: str, files: int | None = None) -
     """
     cuts = [F.col(key), F.xxhash64(*df.columns)]
     ranged = df.repartitionByRange(files, *cuts) if files else df.repartitionByRange(*cuts)
-    ranged.sortWithinPartitions(key).write.mode("overwrite").saveAsTable(name)
-    return df.sparkSession.table(name)
+    return _save(ranged.sortWithinPartitions(key), name, "overwrite", path)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -41,19 +51,24 @@ def schema_name(custom: str | None, default: str) -> str:
 
 
 def snapshot(
-    spark: SparkSession, table: str, at: dt.datetime | None = None, where=None
+    spark: SparkSession, table: str, at: dt.datetime | None = None, where=None, path: str | None = None
 ) -> tuple[str, DataFrame]:
     """An unchanging copy of a table, or of the part ``where`` selects, with the time in its name."""
     at = at or dt.datetime.now()
     name = f"{table}_{at:%Y_%m_%d__%H_%M_%S}"
     df = spark.table(table)
-    (df if where is None else df.filter(where)).write.mode("errorifexists").saveAsTable(name)
-    return name, spark.table(name)
+    return name, _save(df if where is None else df.filter(where), name, "errorifexists", path)
+
 
+def write_csv(df: DataFrame, path: str, header: bool = True, compression: str | None = None) -> None:
+    """The rows as CSV, without a row-number column.
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """The rows as CSV with a header, without a row-number column."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    Times keep their microseconds, which Spark's default CSV format would cut off.
+    """
+    writer = df.write.mode("overwrite").option("header", header)
+    for kind in ("timestampFormat", "timestampNTZFormat"):
+        writer = writer.option(kind, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    (writer.option("compression", compression) if compression else writer).csv(path)
 
 
 def json_rows(df: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tidemark.operators.materialise import overwrite_table
+from tidemark.operators.quality import load_schema
+
 
 def read_headerless_csv(
     spark: SparkSession, path: str, schema: StructType | str, partitions: int | None = None
@@ -43,7 +44,9 @@ def load_seed(spark: SparkSession, path: str, schema: StructType | str, view: st
     return df
 
 
-def read_inferred_csv(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
+def read_inferred_csv(
+    spark: SparkSession, path: str, table: str | None = None, table_path: str | None = None
+) -> DataFrame:
     """A CSV whose types are guessed by a pass over the data; for files of seed size.
 
     The words ``None`` and ``none`` stay text: only an empty field is null.  With ``table``
@@ -52,11 +55,9 @@ def read_inferred_csv(spark: SparkSession, path: str, table: str | None = None)
     df = spark.read.option("header", True).option("inferSchema", True).option("nullValue", "").csv(path)
     if table is None:
         return df
-    df.write.mode("overwrite").saveAsTable(table)
-    return spark.table(table)
+    return overwrite_table(df, table, path=table_path)
 
 
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """Read back what ``operators.materialise.checkpoint_frame`` wrote, under its stored schema."""
-    stored = spark.read.text(f"{path}/schema", wholetext=True).first()[0]
-    return spark.read.schema(StructType.fromJson(json.loads(stored))).parquet(f"{path}/data")
+    return spark.read.schema(load_schema(spark, f"{path}/schema")).parquet(f"{path}/data")

@@ -24,7 +24,8 @@ def rows_frame(spark: SparkSession, rows: Sequence, schema: StructType | Sequenc
 
 
 def create_table(
-    spark: SparkSession, name: str, schema: StructType | str, *, replace: bool = False, temporary: bool = False
+    spark: SparkSession, name: str, schema: StructType | str, *, replace: bool = False,
+    temporary: bool = False, path: str | None = None,
 ) -> None:
     """Define an empty typed table; ``replace`` drops what is there, ``temporary`` makes a view."""
     if temporary:
@@ -33,9 +34,11 @@ def create_table(
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    spark.catalog.createTable(name, schema=fields, source="parquet")
+    spark.catalog.createTable(name, path=path, schema=fields, source="parquet")
 
 
-def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None:
-    """Append literal rows to a table, matched by position."""
-    spark.createDataFrame(rows, spark.table(name).schema).write.insertInto(name)
+def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple] | DataFrame) -> None:
+    """Append literal rows, or the rows of a frame, to a table, matched by position."""
+    if not isinstance(rows, DataFrame):
+        rows = spark.createDataFrame(rows, spark.table(name).schema)
+    rows.write.insertInto(name)
