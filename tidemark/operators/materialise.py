@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import posixpath
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -92,25 +91,36 @@ def checkpoint_frame(df: DataFrame, path: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate results that all executors can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``; only a local session without one gets a
-    temporary folder.
+    A cluster names it in ``spark.checkpoint.dir``.  Without that setting, in any mode, the results
+    go below the warehouse folder (``spark.sql.warehouse.dir``), which is shared as well.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        folder = context.getCheckpointDir()
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_stored")
+
+
+_STORED: dict[str, list[str]] = {}
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The frame, computed once and read back from parquet files in the shared folder.
 
     For frames that several later passes read: lost executors lose nothing, and each pass
-    reads only the columns and row groups it needs.
+    reads only the columns and row groups it needs.  ``release_stored`` deletes the files.
     """
-    path = posixpath.join(shared_folder(df.sparkSession), f"stored-{uuid.uuid4().hex}")
+    spark = df.sparkSession
+    path = posixpath.join(shared_folder(spark), f"stored-{uuid.uuid4().hex}")
+    _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release_stored(spark: SparkSession) -> int:
+    """Delete what ``cut_lineage`` has stored for this application; the number of folders.
+
+    Call it when the results that were built on them have been written.
+    """
+    paths = _STORED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
