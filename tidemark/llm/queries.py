@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import neardup
-from tidemark.llm.common import table
+from tidemark.llm import neardup, packing, pieces, toxicity
+from tidemark.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,3 +22,22 @@ def query(job: Callable[[SparkSession, str], DataFrame]):
 @query
 def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = fold("doc_id") == 0
+    model = toxicity.train(docs.filter(~held), table(spark, folder, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.round_trip(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_minimum_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
