@@ -5,8 +5,9 @@ smallest hash in a bin is its value.  Empty bins borrow the value of a bin that
 sequence points to (optimal densification), so that two sets borrow alike.  Rows of bins form bands;
 documents with an equal band share a bucket.
 
-A bucket proposes a star, never all its pairs: its first members (by a hash of the id) are centres
-and are compared with the rest.  Members that a link already joins need no comparison.  Centres
+A bucket proposes a star, never all its pairs: its first members are centres and are compared with
+the rest.  First come members that meet the most documents over all their buckets, which is the text
+that a group of near copies was made from.  Members that a link already joins need no comparison.  Centres
 leave the bucket after their turn, later rounds take more centres, and the rounds go on until no
 bucket holds two components, so every pair of a bucket is either compared or already connected.
 Equal shingle sets are folded into one before all this.  Links are confirmed on full sets.
@@ -141,18 +142,20 @@ def _rounds():
 def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
     """Components (node, label) of nodes (node, n, bands) that have links; None without any candidate."""
     spread = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
-    shared = cut_lineage(spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1").select("bucket"))
-    members = cut_lineage(spread.join(shared, "bucket"))
-    candidates = cut_lineage(members.select("node").distinct())
+    shared = cut_lineage(spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"))
+    met = cut_lineage(spread.join(shared, "bucket"))
+    candidates = cut_lineage(met.groupBy("node").agg(F.sum("size").alias("weight")))
     if candidates.isEmpty():
         return None
     texts = join_ids(
-        docs.select(F.col("doc_id").alias("node"), "text"), candidates, "node", "left_semi"
+        docs.select(F.col("doc_id").alias("node"), "text"), candidates.select("node"), "node", "left_semi"
     ).withColumnRenamed("node", "doc_id")
     sets = cut_lineage(texts.mapInArrow(_sets(width), "node bigint, own array<bigint>").dropDuplicates(["node"]))
 
-    edges, labels, live = None, None, members
-    order = F.xxhash64("node")
+    turn = F.struct((-F.col("weight")).alias("weight"), F.xxhash64("node").alias("place"), "node")
+    members = cut_lineage(met.drop("size").join(candidates, "node").withColumn("turn", turn).drop("weight"))
+
+    edges, labels, live, compared = None, None, members, None
     for all_bands, centres in _rounds():
         live = live if all_bands else live.filter(F.col("band") < FIRST_BANDS)
         if labels is None:
@@ -169,29 +172,31 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
                 return labels
             live = members
             continue
-        live = cut_lineage(known.join(open_, "bucket").withColumn("place", order).drop("low", "high"))
-        first = Window.partitionBy("bucket").orderBy("place", "node")
+        live = cut_lineage(known.join(open_, "bucket"))
+        first = Window.partitionBy("bucket").orderBy("turn")
         heads = (
             live.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= centres)
             .select("bucket", F.col("node").alias("head"), F.col("n").alias("head_n"),
-                    F.col("label").alias("head_label"), F.col("place").alias("head_place"))
+                    F.col("label").alias("head_label"), F.col("turn").alias("head_turn"))
         )
         heads = cut_lineage(heads)
-        later = (F.col("head_place") < F.col("place")) | (
-            (F.col("head_place") == F.col("place")) & (F.col("head") < F.col("node"))
-        )
+        later = F.col("head_turn") < F.col("turn")
         sized = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
         pairs = (
             live.join(heads, "bucket").filter(later & sized & (F.col("label") != F.col("head_label")))
             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
         )
-        found = cut_lineage(_confirmed(cut_lineage(pairs), sets, percent))
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs)
+        compared = pairs if compared is None else compared.union(pairs)
+        found = cut_lineage(_confirmed(pairs, sets, percent))
         if not found.isEmpty():
             edges = found if edges is None else edges.union(found)
             labels = cut_lineage(components(edges))
         if all_bands:
             gone = heads.select("bucket", F.col("head").alias("node"))
-            live = live.join(gone, ["bucket", "node"], "left_anti").drop("label", "place")
+            live = live.join(gone, ["bucket", "node"], "left_anti").drop("label")
         else:
             live = members
 
