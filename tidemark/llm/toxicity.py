@@ -16,15 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.common import lists, text_slices
+from tidemark.operators.materialise import cut_lineage
 
-ORDERS = (3, 4, 5)
+ORDERS = (4, 5, 6)
 BUCKETS = 1 << 18
 #: At most so many labelled texts of each class are learned from, the ones whose id has the
 #: smallest hashes: a bounded sample, whatever the size of the table.
 TEXTS_PER_CLASS = 1500
 SMOOTHING = 1.0
-PENALTY = 1e-2
-STEPS = 150
+PENALTY = 1e-3
+STEPS = 200
+#: How many standard errors apart a bucket's shares in the two classes must lie.
+CLEAR = 5.0
 
 
 def _codes(text: str | None) -> np.ndarray:
@@ -72,9 +75,12 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
 
 
-def fit(rows: Iterator[tuple[int, np.ndarray]], buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS) -> Model:
-    """Fit from (label, features) rows of the bounded sample.  Without both classes every score is
-    the (smoothed) share of label 1."""
+def fit(
+    rows: Iterator[tuple[int, np.ndarray]], buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS,
+    prior: float | None = None,
+) -> Model:
+    """Fit from (label, features) rows of the bounded sample; ``prior`` is the share of label 1 among
+    all labelled texts.  Without both classes every score is the (smoothed) share of label 1."""
     labels, sets = [], []
     for label, own in rows:
         labels.append(label)
@@ -90,7 +96,13 @@ def fit(rows: Iterator[tuple[int, np.ndarray]], buckets: int = BUCKETS, orders:
     toxic = SMOOTHING + np.bincount(flat[y[row] == 1], minlength=buckets)
     clean = SMOOTHING + np.bincount(flat[y[row] == 0], minlength=buckets)
     ratio = np.log((toxic / toxic.sum()) / (clean / clean.sum()))
-    seen = np.flatnonzero(toxic + clean > 2 * SMOOTHING + 2)  # in three texts at least
+    # Only buckets whose share differs clearly between the classes; chance alone rarely gets there.
+    share = (toxic + clean - 2 * SMOOTHING) / len(y)
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / positives + 1 / (len(y) - positives)))
+    gap = (toxic - SMOOTHING) / positives - (clean - SMOOTHING) / (len(y) - positives)
+    seen = np.flatnonzero(np.abs(gap) >= CLEAR * spread)
+    if not len(seen):
+        seen = np.argsort(-np.abs(gap) / spread, kind="stable")[:1]
     place = np.full(buckets, -1)
     place[seen] = np.arange(len(seen))
     use = place[flat] >= 0
@@ -99,13 +111,14 @@ def fit(rows: Iterator[tuple[int, np.ndarray]], buckets: int = BUCKETS, orders:
     # Rows are scaled to unit length on average only, so that long texts keep their evidence.
     value /= np.sqrt(np.bincount(row, value**2, len(y)).mean())
     unit = ratio[seen] / np.sqrt(np.bincount(row, ratio[seen][column] ** 2, len(y)).mean())
-    each = np.where(y == 1, 0.5 / positives, 0.5 / (len(y) - positives))
+    prior = prior or positives / len(y)
+    each = np.where(y == 1, prior / positives, (1 - prior) / (len(y) - positives))
     coef, bias = np.zeros(len(seen)), 0.0
     m, v = np.zeros(len(seen) + 1), np.zeros(len(seen) + 1)
     for step in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, value * coef[column], len(y)) + bias, -30, 30)))
         error = each * (p - y)
-        slope = np.append(np.bincount(column, value * error[row], len(seen)) + PENALTY * coef / len(seen), error.sum())
+        slope = np.append(np.bincount(column, value * error[row], len(seen)) + PENALTY * coef, error.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         move = 0.3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         coef, bias = coef - move[:-1], bias - move[-1]
@@ -114,21 +127,22 @@ def fit(rows: Iterator[tuple[int, np.ndarray]], buckets: int = BUCKETS, orders:
     return Model(weights, float(bias), orders)
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
-    """(doc_id, label, text) of at most ``per_class`` documents of each class, chosen by a hash of the
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[DataFrame, float]:
+    """(doc_id, label, text), and the share of label 1 among all labelled documents: at most ``per_class`` documents of each class, chosen by a hash of the
     id.  Null ids and labels are left out; a document labelled twice counts once with its larger label.
     """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
         .groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
     )
-    present = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    present = cut_lineage(known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"))
+    prior = present.agg(F.avg("label").alias("prior")).first()["prior"]
     chosen = None
     for side in (0, 1):
         part = present.filter(F.col("label") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     # At most 2 * per_class rows: small enough to broadcast at any input size.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]), prior
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = TEXTS_PER_CLASS) -> Model:
@@ -144,9 +158,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
                     names=["doc_id", "label", "own"],
                 )
 
-    sample = labelled_sample(docs, labels, label, per_class)
+    sample, prior = labelled_sample(docs, labels, label, per_class)
     rows = sample.mapInArrow(work, "doc_id bigint, label int, own binary").orderBy("doc_id").toLocalIterator()
-    return fit((r["label"], np.frombuffer(r["own"], np.uint32)) for r in rows)
+    return fit(((r["label"], np.frombuffer(r["own"], np.uint32)) for r in rows), prior=prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
