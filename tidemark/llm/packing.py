@@ -48,35 +48,40 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {}
+        self.chunks: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         if len(self.chunks) > REMEMBERED:
             self.chunks = {}
         if len(self.parts) > REMEMBERED:
             self.parts = {}
-        split = {c: _PARTS.findall(c.lower()) for c in new if _SIMPLE.fullmatch(c) and "<|" not in c}
-        parts = list(dict.fromkeys(p for own in split.values() for p in own if p not in self.parts))
+        split, whole = {}, []
+        for chunk in new:
+            text = chunk.decode()
+            if _SIMPLE.fullmatch(text) and "<|" not in text:
+                split[chunk] = _PARTS.findall(text.lower())
+            else:
+                whole.append(chunk)
+        parts = list({p for own in split.values() for p in own}.difference(self.parts))
         self.parts.update(zip(parts, self._encode(parts)))
-        whole = [c for c in new if c not in split]
-        self.chunks.update(zip(whole, self._encode(whole)))
+        self.chunks.update(zip(whole, self._encode([c.decode() for c in whole])))
         get = self.parts.__getitem__
         self.chunks.update((c, b"".join(map(get, own))) for c, own in split.items())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
-        split = [re.split(r"[\x20\x09-\x0D]+", t) if t and not t.isascii() else t.split() if t else [] for t in texts]
+        raw = [(t or "").encode() for t in texts]
+        # The vocabulary is lower-case, but its special tokens are looked for before that.
+        split = [(r if b"<|" in r else r.lower()).split() for r in raw]
         wanted = set().union(*split)
-        wanted.discard("")
-        known = self.chunks
-        self._learn([c for c in wanted if c not in known] if len(known) <= REMEMBERED else list(wanted))
-        get = self.chunks.get
-        return [b"".join([get(c, b"") for c in own]) for own in split]
+        self._learn(list(wanted if len(self.chunks) > REMEMBERED else wanted.difference(self.chunks)))
+        get = self.chunks.__getitem__
+        return [b"".join(map(get, own)) for own in split]
 
 
 _tokens: dict[str, Tokens] = {}

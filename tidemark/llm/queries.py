@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import neardup, packing, pieces, toxicity
+from tidemark.llm import neardup, packing, pieces, pii, quality_rules, revisits, toxicity, weak_labels
 from tidemark.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,30 @@ def op7_sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_minimum_slack_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op1_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    resolved = revisits.resolve_revisits(revisits.crawl_records(table(spark, folder, "pages")))
+    return resolved.select(
+        F.col("record_id").cast("bigint").alias("record_id"), "url_key", F.col("response_id").cast("bigint").alias("response_id"),
+        "outcome", revisits.headers_text(F.col("headers")).alias("headers"), "digest",
+    )
+
+
+@query
+def op3_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(table(spark, folder, "documents"))
+
+
+@query
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op10_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_labels.classify(table(spark, folder, "documents"))
