@@ -1,13 +1,58 @@
-"""The corpus pipeline: stages over documents, each written and read again."""
+"""The corpus pipeline: stages over documents, each written and read again.
+
+Each stage works on all that its predecessor kept.  The first four return the columns of the documents
+they get, the last one the pieces of the packed sequences.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.common import table
+from tidemark.llm import neardup, packing, pii, quality_rules, weak_labels
+from tidemark.llm.common import join_ids, table
 from tidemark.operators.materialise import cut_lineage
 
-STAGES: list = []
+
+def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The documents that were not rejected; rows without an id stay."""
+    gone = cut_lineage(judged.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
+    return join_ids(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the learned decision list reject go."""
+    return _without(docs, quality_rules.judge(docs, table(spark, sf_dir, "labels")))
+
+
+def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly trained classifier rejects go."""
+    return _without(docs, weak_labels.classify(docs))
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest id."""
+    return _without(docs, neardup.near_duplicates(docs))
+
+
+def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by marks; ``n_chars`` follows the new text."""
+    clean = pii.redact(docs)
+    if "n_chars" in clean.columns:
+        kind = dict(docs.dtypes)["n_chars"]
+        clean = clean.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
+    return clean
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 ids."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", rules), ("quality_classifier", classifier), ("minhash_near_dedup", dedup),
+    ("pii", redaction), ("packing", packed),
+]
 
 #: No SQL expresses the learned stages; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
