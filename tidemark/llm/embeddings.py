@@ -116,10 +116,7 @@ def close_pairs(left: np.ndarray, right: np.ndarray, threshold: float, step: int
 
 
 def _compare(threshold: float, axes: dict[int, np.ndarray]):
-    schema = ["node", "links", "root"]
-
-    def work(key, batches):
-        table = pa.Table.from_batches(list(batches))
+    def work(key, table):
         side = table.column("side").to_numpy()
         node, weight = table.column("node").to_numpy(), table.column("weight").to_numpy()
         raw = np.array(table.column("embedding").to_pylist(), np.float64)
@@ -136,8 +133,6 @@ def _compare(threshold: float, axes: dict[int, np.ndarray]):
             x, y = raw[i[part]], raw[j[part]]
             cosine[part] = (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
         i, j = i[cosine >= threshold], j[cosine >= threshold]
-        if not len(i):
-            return
         links = np.bincount(i, weight[j], len(node)) + np.bincount(j, weight[i], len(node))
         # The smallest node that links of this task reach stands for them: a star, not all pairs.
         root = node.copy()
@@ -149,9 +144,7 @@ def _compare(threshold: float, axes: dict[int, np.ndarray]):
                 break
             root = low
         some = np.flatnonzero(links)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(node[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], names=schema
-        )
+        return pa.table({"node": node[some], "links": links[some].astype(np.int64), "root": root[some]})
 
     return work
 

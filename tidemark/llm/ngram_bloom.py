@@ -158,23 +158,16 @@ def pair_filter(docs: DataFrame, counts: DataFrame, tokens: int, least: int) ->
                     names=["part", "grams", "times"],
                 )
 
-    def merge(key, blocks):
-        grams, times = [], []
-        for block in blocks:
-            for g, t in zip(block.column("grams"), block.column("times")):
-                grams.append(np.frombuffer(g.as_buffer(), np.uint64))
-                times.append(np.frombuffer(t.as_buffer(), np.uint32))
-        flat, weight = np.concatenate(grams), np.concatenate(times)
+    def merge(key, table):
+        flat = np.concatenate([np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")])
+        weight = np.concatenate([np.frombuffer(t.as_buffer(), np.uint32) for t in table.column("times")])
         order = np.argsort(flat, kind="stable")
         flat, weight = flat[order], weight[order].astype(np.int64)
         first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
         total = np.add.reduceat(weight, first)
         keep = total >= least
-        if keep.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key[0].as_py()], pa.int64()), pa.array([filter_segment(flat[first][keep], total[keep])], pa.binary())],
-                names=["part", "segment"],
-            )
+        segments = [filter_segment(flat[first][keep], total[keep])] if keep.any() else []
+        return pa.table({"part": pa.array([key[0].as_py()] * len(segments), pa.int64()), "segment": pa.array(segments, pa.binary())})
 
     built = docs.select("text").mapInArrow(blocks, "part bigint, grams binary, times binary").groupBy("part").applyInArrow(
         merge, "part bigint, segment binary")

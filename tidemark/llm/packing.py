@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -28,59 +29,53 @@ from tidemark.operators.materialise import cut_lineage
 
 WINDOW = 4096
 END = 2
-#: Words and word parts remembered by a worker; only a cache, emptied when it is full.
-REMEMBERED = 400_000
+#: Parts of texts remembered by a worker; only a cache, emptied when it is full.
+REMEMBERED = 800_000
 
 #: The parts that the vocabulary's own pattern finds in a lower-cased chunk of plain letters.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
-#: Chunks of ASCII and precomposed Latin-1 letters, which normalisation leaves alone.
-_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+#: Texts of ASCII and precomposed Latin-1 letters, which normalisation leaves alone.
+_PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 
 
 class Tokens:
-    """Ids of texts as little-endian 32-bit bytes, by the ``tokenizers`` library, word by word.
+    """Ids of texts as little-endian 32-bit bytes, by the ``tokenizers`` library, part by part.
 
-    The vocabulary splits at white space before anything else, so a text's ids are those of its
-    blank-separated chunks, and distinct chunks are encoded once.
+    The vocabulary splits at white space and then by its pattern before anything else, so a text's
+    ids are those of its parts, and distinct parts are encoded once.  Texts with other letters, and
+    chunks that may hold a special token, are left to the library in blank-separated chunks.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, new: list[bytes]) -> None:
-        if len(self.chunks) > REMEMBERED:
-            self.chunks = {}
-        if len(self.parts) > REMEMBERED:
-            self.parts = {}
-        split, whole = {}, []
-        for chunk in new:
-            text = chunk.decode()
-            if _SIMPLE.fullmatch(text) and "<|" not in text:
-                split[chunk] = _PARTS.findall(text.lower())
+    def split(self, text: str | None) -> list[str]:
+        if not text:
+            return []
+        if "<|" not in text and _PLAIN.fullmatch(text):
+            return _PARTS.findall(text.lower())
+        out: list[str] = []
+        for raw in text.encode().split():
+            chunk = raw.decode()
+            if "<|" not in chunk and _PLAIN.fullmatch(chunk):
+                out += _PARTS.findall(chunk.lower())
             else:
-                whole.append(chunk)
-        parts = list({p for own in split.values() for p in own}.difference(self.parts))
-        self.parts.update(zip(parts, self._encode(parts)))
-        self.chunks.update(zip(whole, self._encode([c.decode() for c in whole])))
-        get = self.parts.__getitem__
-        self.chunks.update((c, b"".join(map(get, own))) for c, own in split.items())
+                out.append(chunk)
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
-        raw = [(t or "").encode() for t in texts]
-        # The vocabulary is lower-case, but its special tokens are looked for before that.
-        split = [(r if b"<|" in r else r.lower()).split() for r in raw]
+        split = [self.split(t) for t in texts]
         wanted = set().union(*split)
-        self._learn(list(wanted if len(self.chunks) > REMEMBERED else wanted.difference(self.chunks)))
-        get = self.chunks.__getitem__
+        if len(self.parts) > REMEMBERED:
+            self.parts = {}
+        new = list(wanted.difference(self.parts))
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.parts.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found))
+        get = self.parts.__getitem__
         return [b"".join(map(get, own)) for own in split]
 
 

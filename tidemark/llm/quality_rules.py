@@ -26,37 +26,38 @@ FEATURES = (
 )
 #: At most so many labelled rows, those with the smallest hashes of the id, are learned from.
 LEARN_ROWS = 20_000
-#: Thresholds per statistic.
-CUTS = 24
+#: Thresholds per statistic and class.
+CUTS = 20
 MAX_RULES = 12
-MAX_CONDITIONS = 3
+MAX_CONDITIONS = 4
 #: A rule must be right for this share of what it covers, in the part it was not grown on as well.
-PRECISION = 0.9
+PRECISION = 0.97
 #: Fewest rows that a rule covers in the part it is grown on.
 SUPPORT = 5
 
 
-def _repeats(words: Column, window: int) -> Column:
-    """Words inside runs of ``window`` words that occur twice or more in the text."""
-    runs = F.when(F.size(words) >= window, F.transform(
+def _runs(words: Column, window: int) -> Column:
+    """Hashes of all runs of ``window`` words; null for a shorter text."""
+    return F.when(F.size(words) >= window, F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(words) - (window - 1), F.lit(1))),
         lambda i: F.xxhash64(F.slice(words, i, window)),
     ))
-    placed = F.array_sort(F.transform(runs, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
-    def spread(pairs: Column) -> Column:
-        same = lambda p, k: F.coalesce(F.get(pairs, k)["h"] == p["h"], F.lit(False))
-        twice = F.filter(pairs, lambda p, k: same(p, k - 1) | same(p, k + 1))
-        return F.array_sort(F.transform(twice, lambda p: p["i"]))
 
-    # Each run adds the words up to the next run, or all its words.
-    covered = F.aggregate(
-        spread(placed), F.struct(F.lit(-window).alias("last"), F.lit(0).alias("n")),
+def _twice(placed: Column) -> Column:
+    """Positions, in order, of the runs that occur twice, from (hash, position) sorted by hash."""
+    same = lambda p, k: F.coalesce(F.get(placed, k)["h"] == p["h"], F.lit(False))
+    twice = F.filter(placed, lambda p, k: same(p, k - 1) | same(p, k + 1))
+    return F.array_sort(F.transform(twice, lambda p: p["i"]))
+
+
+def _covered(twice: Column, window: int) -> Column:
+    """Words in those runs: each run adds the words up to the next run, or all its words."""
+    return F.aggregate(
+        twice, F.struct(F.lit(-window).alias("last"), F.lit(0).alias("n")),
         lambda a, i: F.struct(i.alias("last"), (a["n"] + F.least(i - a["last"], F.lit(window))).alias("n")),
         lambda a: a["n"],
     )
-    repeated = F.size(F.array_distinct(runs)) < F.size(runs)
-    return F.when(F.size(words) < window, 0).when(repeated, covered).otherwise(0)
 
 
 def statistics(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -70,13 +71,18 @@ def statistics(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     without = lambda chars: F.length("__text") - F.length(F.regexp_replace("__text", chars, ""))
     parted = docs.select("doc_id", text.alias("__text"), words.alias("__words"), lines.alias("__lines"))
+    # One step per column that an expression reads more than once, so that each is computed once.
+    runs = parted.withColumn("__runs", _runs(F.col("__words"), window))
+    repeated = F.size(F.array_distinct("__runs")) < F.size("__runs")
+    pairs = F.transform("__runs", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+    parted = runs.withColumn("__placed", F.when(repeated, F.array_sort(pairs)))
     counted = parted.select(
         "doc_id",
         F.size("__words").cast("bigint").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("bigint").alias("word_chars"),
         without(r"[#*$%&|<>]").cast("bigint").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint").alias("n_dup_lines"),
-        _repeats(F.col("__words"), window).cast("bigint").alias("n_repeat_words"),
+        F.coalesce(_covered(_twice(F.col("__placed")), window), F.lit(0)).cast("bigint").alias("n_repeat_words"),
         F.size("__lines").alias("__n_lines"),
         without("[A-Z]").alias("__upper"), without("[0-9]").alias("__digits"), without("[!?;:=]").alias("__marks"),
         without(r"\|").alias("__bars"),
@@ -199,8 +205,9 @@ def learn(measured: DataFrame, labels: DataFrame, label: str = "quality", most:
         .select("doc_id", "__label", *FEATURES)
     )
     points = [k / (CUTS + 1) for k in range(1, CUTS + 1)]
-    found = sample.agg(*[F.percentile_approx(f, points, 10_000).alias(f) for f in FEATURES]).first()
-    cuts = {f: sorted({t for t in found[f] or [] if t is not None}) for f in FEATURES}
+    # Quantiles of either class: what marks the rare class lies far out among all texts.
+    sides = sample.groupBy("__label").agg(*[F.percentile_approx(f, points, 10_000).alias(f) for f in FEATURES]).collect()
+    cuts = {f: sorted({t for r in sides for t in r[f] or [] if t is not None}) for f in FEATURES}
     rows = []
     for r in sample.select("__label", (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3))).alias("part"), *FEATURES).orderBy("doc_id").toLocalIterator():
         row = {f: r[f] for f in FEATURES} | {"label": r["__label"] == 1, "part": r["part"], "n": 1}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import neardup, packing, pieces, pii, quality_rules, revisits, toxicity, weak_labels
+from tidemark.llm import embeddings, neardup, ngram_bloom, packing, pieces, pii, quality_rules, revisits, toxicity, weak_labels
 from tidemark.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,17 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
     return weak_labels.classify(table(spark, folder, "documents"))
+
+
+@query
+def op6_ngram_bloom_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = ngram_bloom.score(docs, fold("doc_id") != 1)
+    return scored.select(
+        "doc_id", (fold("doc_id") == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicate_vectors(table(spark, folder, "embeddings"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.materialise import cut_lineage
+from tidemark.operators.running import range_buckets
 
 #: Headers of a 304 answer that never replace those of the stored response (RFC 9110 and 9111): they
 #: belong to the body or to the connection.
@@ -24,7 +25,6 @@ FIXED_HEADERS = (
 )
 #: Query parameters that do not change what is shown.
 TRACKING = r"^(utm_[a-z]+|ref|fbclid|gclid|sid|sessionid|phpsessionid)(=|$)"
-BUCKETS = 64
 
 
 def canonical_url(url: Column) -> Column:
@@ -51,7 +51,7 @@ def merged_headers(stored: Column, fresh: Column) -> Column:
     return F.map_zip_with(stored, allowed, lambda k, a, b: F.coalesce(b, a))
 
 
-def resolve_revisits(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+def resolve_revisits(records: DataFrame, buckets: int | None = None) -> DataFrame:
     """One row per revisit record, resolved where possible.
 
     ``records`` holds record_id, url, at (timestamp), kind ('response' or 'revisit'), status, headers
@@ -66,22 +66,24 @@ def resolve_revisits(records: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     digest is null and the headers are the revisit's own.  Records with a null URL match nothing, null
     times come first, records of other kinds are ignored, and repeated revisits are answered each.
     """
-    seconds = F.coalesce(F.col("at").cast("double"), F.lit(0.0))
+    micros = F.coalesce(F.unix_micros("at"), F.lit(-(1 << 50)))
     used = records.filter(
         (F.col("kind") == "revisit") | ((F.col("kind") == "response") & (F.col("status") == 200))
     ).select(
         "record_id", "kind", "at", "headers", "digest", canonical_url(F.col("url")).alias("url_key"),
-        seconds.alias("__seconds"),
+        micros.alias("__micros"), F.coalesce("record_id", F.lit(0)).cast("bigint").alias("__id"),
     )
-    span = used.agg(F.min("__seconds").alias("low"), F.max("__seconds").alias("high")).first()
-    low, width = span["low"] or 0.0, max(((span["high"] or 0.0) - (span["low"] or 0.0)) / buckets, 1e-6)
-    # Within one second ids decide; equal times share a bucket and are cut by the id's own order below.
-    bucket = F.least(F.floor((F.col("__seconds") - low) / width), F.lit(buckets - 1)).cast("int")
+    # Cuts along time, and along the ids of one moment, at quantiles: they only balance the buckets.
+    span = used.agg(*[f(c).alias(f"{n}_{c}") for c in ("__micros", "__id") for n, f in (("low", F.min), ("high", F.max))]).first()
+    low, first = span["low___micros"] or 0, span["low___id"] or 0
+    width = float((span["high___id"] or 0) - first + 1)
+    used = used.withColumn("__order", (F.col("__micros") - low).cast("double") + (F.col("__id") - first) / width)
+    bucketed = range_buckets("__order", used.select("__order"), buckets, "__bucket")(used)
     response = F.when(F.col("kind") == "response", F.struct("record_id", "headers", "digest"))
     # A null URL is a key of its own per record: such records are spread and match nothing.
     lone = F.when(F.col("url_key").isNull(), F.col("record_id"))
     placed = cut_lineage(
-        used.withColumns({"__bucket": bucket, "__response": response, "__lone": lone}).drop("__seconds")
+        bucketed.withColumns({"__response": response, "__lone": lone}).drop("__micros", "__id", "__order")
     )
     keys = ["__key", "__bucket"]
     keyed = placed.withColumn("__key", F.struct("url_key", "__lone"))
