@@ -29,10 +29,10 @@ from tidemark.operators.materialise import cut_lineage
 END = " "
 #: N-grams of one order in the filter at most (see above), and tokens with exact counts in the broadcast.
 MOST_ENTRIES = 1 << 23
-MOST_FREQUENT = 100_000
+MOST_FREQUENT = 1_000_000
 #: Base of the logarithmic scale of counts, bits per filter entry, probes per entry.
 SCALE = 1.5
-BITS, PROBES = 10, 5
+BITS, PROBES = 9, 4
 #: Weight of the unigram model, in observations of a history.
 PRIOR = 300.0
 #: Word pairs per hash range that one task counts.
@@ -71,11 +71,10 @@ class LevelFilter:
         left = np.flatnonzero(size)
         while len(left):
             level = out[left] + 1
-            found = np.ones(len(left), bool)
-            for probe in range(PROBES):
+            for probe in range(PROBES):  # most n-grams fail the first probe and drop out
                 place = start[left] + slot(grams[left], level, probe) % size[left]
-                found &= self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
-            left = left[found]
+                found = self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
+                left, level = left[found], level[found]
             out[left] += 1
         return out
 
@@ -121,7 +120,7 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
     def work(batches):
         for (texts,) in lists(batches, "text"):
-            for low, high in text_slices(texts, 1 << 23):
+            for low, high in text_slices(texts, 1 << 22):
                 seen: Counter = Counter()
                 for text in texts[low:high]:
                     seen.update((text or "").encode().lower().split())
@@ -144,7 +143,7 @@ def pair_filter(docs: DataFrame, counts: DataFrame, tokens: int, least: int) ->
 
     def blocks(batches):
         for (texts,) in lists(batches, "text"):
-            for low, high in text_slices(texts, 1 << 23):
+            for low, high in text_slices(texts, 1 << 22):
                 token, pair, _ = gram_hashes(flat_words(texts[low:high]))
                 gram, times = np.unique(np.concatenate([token, pair]), return_counts=True)
                 at = [0, *np.searchsorted(range_of(gram, ranges), edges).tolist(), len(gram)]
@@ -171,7 +170,7 @@ def pair_filter(docs: DataFrame, counts: DataFrame, tokens: int, least: int) ->
 
     built = docs.select("text").mapInArrow(blocks, "part bigint, grams binary, times binary").groupBy("part").applyInArrow(
         merge, "part bigint, segment binary")
-    # Bounded: at most 2 * MOST_ENTRIES n-grams of 10 bits per level.
+    # Bounded: at most 2 * MOST_ENTRIES n-grams of 9 bits per level.
     rows = built.orderBy("part").toLocalIterator()
     return LevelFilter([(r["part"], bytes(r["segment"])) for r in rows], ranges)
 
@@ -231,31 +230,35 @@ def score(docs: DataFrame, training: Column, most_entries: int = MOST_ENTRIES, p
                 rare_at = np.flatnonzero(~common & is_word)
                 # Word number of a token: its place less the ends before it.
                 words = rare_at - owner[rare_at]
-                rare: list[list[bytes]] = [[] for _ in range(n)]
+                rare: list[Counter] = [Counter() for _ in range(n)]
                 for k, w in zip(owner[rare_at].tolist(), words.tolist()):
-                    rare[k].append(flat.words[w])
-                missing_end = 0 if END.encode() in place else 1
+                    rare[k][flat.words[w]] += 1
+                if END.encode() not in place:
+                    for own_rare in rare:
+                        own_rare[END.encode()] += 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(ids[low:high], pa.int64()), pa.array(flat.counts + 1), pa.array(seen.astype(np.int64)),
                         pa.array(base), pa.array(change),
-                        pa.array([r + [END.encode()] * missing_end for r in rare], pa.list_(pa.binary())),
+                        pa.array([list(r) for r in rare], pa.list_(pa.binary())),
+                        pa.array([list(r.values()) for r in rare], pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n_tokens", "seen", "base", "change", "rare"],
+                    names=["doc_id", "n_tokens", "seen", "base", "change", "rare", "times"],
                 )
 
     first = cut_lineage(
         plain.select("doc_id", "text").mapInArrow(
-            work, "doc_id bigint, n_tokens bigint, seen bigint, base double, change double, rare array<binary>"
+            work, "doc_id bigint, n_tokens bigint, seen bigint, base double, change double, rare array<binary>, times array<bigint>"
         ).withColumn("row", F.monotonically_increasing_id())
     )
-    rest = first.select("row", F.explode("rare").alias("token")).groupBy("row", "token").agg(F.count("*").alias("times"))
+    each = F.inline(F.arrays_zip(F.col("rare").alias("token"), F.col("times").alias("times")))
+    rest = first.select("row", each)
     met = rest.join(counts, "token", "left").groupBy("row").agg(
         F.sum(F.col("times") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(float(below)))).alias("rare_base"),
         F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("rare_seen"),
     )
     zero = lambda name: F.coalesce(name, F.lit(0))
-    return first.drop("rare").join(met, "row", "left").select(
+    return first.drop("rare", "times").join(met, "row", "left").select(
         "doc_id", "n_tokens", (F.col("seen") + zero("rare_seen")).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"), (F.col("base") + zero("rare_base")).alias("base_score"),
         (F.col("base") + zero("rare_base") + F.col("change")).alias("score"),
