@@ -6,11 +6,12 @@ import random
 import numpy as np
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.operators.running import (
     group_quantiles, moving_average, order_key, range_buckets, running_totals, with_position,
 )
+from tidemark.plans.metrics import ranking_metrics
 from tidemark.operators.topk import sample_rows, top_k, top_k_per_group
 
 
@@ -112,4 +113,26 @@ def test_top_k_per_group(spark, k, salts):
 def test_top_k_and_sample(spark):
     df = spark.range(1000)
     assert [r[0] for r in top_k(df, [F.desc("id")], 3).collect()] == [999, 998, 997]
-    assert sample_rows(df, 5, seed=1).count() == 5 and sample_rows(df.limit(2), 5).count() == 2
+    assert sample_rows(df.limit(2), 5, ["id"]).count() == 2
+    drawn = [{r[0] for r in sample_rows(df.repartition(n), 5, ["id"], seed=7).collect()} for n in (2, 7)]
+    assert len(drawn[0]) == 5 and drawn[0] == drawn[1]
+    assert drawn[0] != {r[0] for r in sample_rows(df, 5, ["id"], seed=8).collect()}
+
+
+def test_nulls_keep_their_rows(spark):
+    """Null dates, references, groups and values against plain windows."""
+    data = [(dt.date(2024, 1, 1 + i % 5) if i % 4 else None, i if i % 3 else None, i % 2 or None, i, float(i)) for i in range(40)]
+    df = spark.createDataFrame(data, "day date, ref bigint, g int, id bigint, v double")
+    order = ["day", "ref", "id"]
+    plain = Window.partitionBy("g").orderBy(*order)
+    got = with_position(df, order, order_key(df, "day", "ref"), ["g"], buckets=3)
+    assert rows(got) == rows(df.withColumn("position", F.row_number().over(plain) - 1))
+    mean = F.avg("v").over(plain.rowsBetween(-2, 0))
+    got = moving_average(df, "v", 3, order, order_key(df, "day", "ref"), ["g"], chunk_rows=4)
+    assert rows(got) == rows(df.withColumn("moving_avg", mean))
+
+
+def test_ranking_leaves_missing_scores_out(spark):
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.5), (1, None), (0, None), (None, 0.7)], "tx_fraud int, score double")
+    row = ranking_metrics(scored).first()
+    assert (row["auc_roc"], row["average_precision"], row["positives"], row["negatives"]) == (1.0, 1.0, 1, 1)

@@ -110,9 +110,11 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
     """Equal-width histogram per numeric column; empty bins are listed, the last bin is closed.
 
-    One pass finds the ranges, a second counts; both aggregate before they shuffle.
+    One pass finds the ranges, a second counts; both aggregate before they shuffle.  Nulls and NaN
+    lie in no bin and do not widen the range.
     """
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    number = lambda c: F.col(c).cast("double")
+    wide = df.select(*[F.when(~F.isnan(number(c)), number(c)).alias(c) for c in columns])
     ranges = wide.agg(
         *[f(c).alias(f"{p}{i}") for i, c in enumerate(columns) for p, f in (("l", F.min), ("h", F.max))]
     )

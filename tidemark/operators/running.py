@@ -13,6 +13,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CHUNK_ROWS = 1 << 20
+#: Buckets that one table is cut into at most, and the rank error of the sketch that places the cuts;
+#: both are fixed, so the sketch does not grow with the cluster.
+MOST_BUCKETS = 2_000
+SKETCH_ERROR = 1 / 8_000
 
 
 def range_buckets(
@@ -20,24 +24,33 @@ def range_buckets(
 ) -> Callable[[DataFrame], DataFrame]:
     """A step that adds a bucket number which never falls as ``key`` (a double) rises.
 
-    Cut points are approximate quantiles of ``key`` in ``sample``, found in one pass; only that
-    list (at most ``buckets`` numbers, default the shuffle width) reaches the driver.  Uneven
-    cuts would change balance, never results.
+    Cut points are approximate quantiles of ``key`` in ``sample``, found in one pass by a sketch of
+    fixed accuracy; only that list (at most ``buckets`` numbers, default the shuffle width, at most
+    MOST_BUCKETS) reaches the driver.  Uneven cuts would change balance, never results.  A null key
+    belongs to bucket -1, before all others, and NaN to the last, as Spark sorts them.
     """
     if buckets is None:
         buckets = int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(buckets, MOST_BUCKETS)
     probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = sample.approxQuantile(key, probabilities, 1 / (4 * buckets)) if probabilities else []
+    cuts = sample.approxQuantile(key, probabilities, SKETCH_ERROR) if probabilities else []
     splits = [float("-inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
     cut = Bucketizer(splits=splits, inputCol=key, outputCol=alias, handleInvalid="keep")
-    return lambda df: cut.transform(df).withColumn(alias, F.col(alias).cast("int"))
+    return lambda df: cut.transform(df).withColumn(alias, F.coalesce(F.col(alias).cast("int"), F.lit(-1)))
 
 
 def order_key(df: DataFrame, day: str, tiebreak: str) -> Column:
-    """A double that orders rows like (day, tiebreak), up to ties; ``tiebreak`` is numeric."""
+    """A double that orders rows like (day, tiebreak), up to ties; ``tiebreak`` is numeric.
+
+    Nulls sort first, as in a window: a null day counts as a day before the first, where the
+    tiebreak still spreads the rows; a null tiebreak counts as the smallest.
+    """
     low, high = F.min(tiebreak).cast("double"), F.max(tiebreak).cast("double")
-    span = df.agg(F.struct(low.alias("low"), (high - low + 1).alias("width")).alias("s")).scalar()
-    return F.unix_date(day) + (F.col(tiebreak).cast("double") - span["low"]) / span["width"]
+    span = df.agg(
+        F.struct(low.alias("low"), (high - low + 1).alias("width"), F.min(F.unix_date(day)).alias("first")).alias("s")
+    ).scalar()
+    date = F.coalesce(F.unix_date(day), span["first"] - 1, F.lit(0))
+    return date + F.coalesce((F.col(tiebreak).cast("double") - span["low"]) / span["width"], F.lit(0.0))
 
 
 def _keyed(df: DataFrame, by: Sequence[str], bucket: str) -> tuple[DataFrame, list[str]]:

@@ -15,12 +15,16 @@ from tidemark.operators.topk import top_k_per_group
 
 
 def _threshold_points(scored: DataFrame, label: str, score: str, buckets: int | None) -> DataFrame:
-    """Positives and negatives per distinct score, with running totals from the highest down."""
+    """Positives and negatives per distinct score, with running totals from the highest down.
+
+    Rows without a score or a label cannot be ranked and are left out before anything is counted.
+    """
+    scored = scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
     rows = scored.select((-F.col(score).cast("double")).alias("below"), F.col(label).alias("label"))
     points = rows.groupBy("below").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
-    cut = range_buckets("below", rows.select("below"), buckets)
+    cut = range_buckets("below", points.select("below"), buckets)
     return running_totals(cut(points), "below", ["pos", "neg"])
 
 
@@ -30,7 +34,8 @@ def ranking_metrics(
     """One row with ROC AUC and average precision.
 
     AUC is the chance that a positive outranks a negative, ties counting half.  Average
-    precision sums precision times gained recall over the distinct thresholds.
+    precision sums precision times gained recall over the distinct thresholds.  Rows with a null
+    score or label are not part of either.
     """
     points = _threshold_points(scored, label, score, buckets)
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")

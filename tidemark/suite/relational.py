@@ -184,10 +184,12 @@ def filter_date_bounds(t: SampleTables) -> DataFrame:
 
 @query(
     "filter_null",
-    "SELECT c_custkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey WHERE o_orderkey IS NULL",
+    """SELECT c_custkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 400000
+    WHERE o_orderkey IS NULL""",
 )
 def filter_null(t: SampleTables) -> DataFrame:
-    customers, orders = t.table("customer"), t.table("orders").select("o_custkey", "o_orderkey")
+    customers = t.table("customer")
+    orders = t.table("orders").filter(F.col("o_totalprice") > 400000).select("o_custkey", "o_orderkey")
     joined = customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
     return joined.filter(F.col("o_orderkey").isNull()).select("c_custkey")
 

@@ -50,7 +50,7 @@ def bounds(t: SampleTables) -> DataFrame:
 
 @query("member_preview")
 def member_preview(t: SampleTables) -> DataFrame:
-    return sample_rows(apply_filters(t.members(), FILTERS), 5, seed=7)
+    return sample_rows(apply_filters(t.members(), FILTERS), 5, ["member_id"], seed=7)
 
 
 @query(

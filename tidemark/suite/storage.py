@@ -92,11 +92,11 @@ def stored_feature_table(t: SampleTables) -> DataFrame:
     return mat.write_sorted(feature_table(t.transactions(), per_one=100), name, "tx_datetime", path=folder)
 
 
-@query("table_snapshot", "SELECT * FROM customer WHERE c_acctbal > 0")
+@query("table_snapshot", "SELECT * FROM customer")
 def table_snapshot(t: SampleTables) -> DataFrame:
     name, folder = _new(t, "customers")
     mat.overwrite_table(t.table("customer"), name, path=folder)
-    return mat.snapshot(t.spark, name, where=F.col("c_acctbal") > 0, path=f"{folder}-snapshot")[1]
+    return mat.snapshot(t.spark, name, path=f"{folder}-snapshot")[1]
 
 
 @query("checkpoint_and_resume", "SELECT p_partkey, p_brand, p_retailprice * 2 AS doubled FROM part")
