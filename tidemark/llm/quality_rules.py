@@ -232,7 +232,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     rules = learn_from(docs, labels)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return statistics(docs).withColumn("base_failed", failed).withColumn("kept", ~failed & verdict(rules))
+    # Stored, so that a caller's filter on the verdict is not pushed into the array expressions, where each
+    # of them would be computed again wherever it is read.
+    measured = cut_lineage(statistics(docs))
+    return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & verdict(rules))
 
 
 def learn_from(docs: DataFrame, labels: DataFrame) -> list[Rule]:
