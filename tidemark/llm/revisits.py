@@ -67,12 +67,12 @@ def resolve_revisits(records: DataFrame, buckets: int | None = None) -> DataFram
     times come first, records of other kinds are ignored, and repeated revisits are answered each.
     """
     micros = F.coalesce(F.unix_micros("at"), F.lit(-(1 << 50)))
-    used = records.filter(
+    used = cut_lineage(records.filter(
         (F.col("kind") == "revisit") | ((F.col("kind") == "response") & (F.col("status") == 200))
     ).select(
         "record_id", "kind", "at", "headers", "digest", canonical_url(F.col("url")).alias("url_key"),
         micros.alias("__micros"), F.coalesce("record_id", F.lit(0)).cast("bigint").alias("__id"),
-    )
+    ))
     # Cuts along time, and along the ids of one moment, at quantiles: they only balance the buckets.
     span = used.agg(*[f(c).alias(f"{n}_{c}") for c in ("__micros", "__id") for n, f in (("low", F.min), ("high", F.max))]).first()
     low, first = span["low___micros"] or 0, span["low___id"] or 0
@@ -82,9 +82,7 @@ def resolve_revisits(records: DataFrame, buckets: int | None = None) -> DataFram
     response = F.when(F.col("kind") == "response", F.struct("record_id", "headers", "digest"))
     # A null URL is a key of its own per record: such records are spread and match nothing.
     lone = F.when(F.col("url_key").isNull(), F.col("record_id"))
-    placed = cut_lineage(
-        bucketed.withColumns({"__response": response, "__lone": lone}).drop("__micros", "__id", "__order")
-    )
+    placed = bucketed.withColumns({"__response": response, "__lone": lone}).drop("__micros", "__id", "__order")
     keys = ["__key", "__bucket"]
     keyed = placed.withColumn("__key", F.struct("url_key", "__lone"))
     order = F.struct("at", "record_id")
