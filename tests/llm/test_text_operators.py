@@ -125,6 +125,18 @@ def test_densification_is_shared():
     assert (dense[0] == dense[1]).mean() > 0.6
 
 
+def test_bitmaps_bound_the_common_part():
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 400, 5000):
+        pool = rng.integers(0, 1 << 63, 2 * n, dtype=np.uint64)
+        sets = [np.unique(rng.choice(pool, n)) for _ in range(6)] + [np.empty(0, np.uint64)]
+        marks = neardup.set_marks(sets)
+        for x, own in zip(marks, sets):
+            for y, other in zip(marks, sets):
+                lacking = int(np.bitwise_count(x & ~y).sum())
+                assert len(np.intersect1d(own, other)) <= len(own) - lacking
+
+
 # -- pieces and packing ---------------------------------------------------------------------------
 
 

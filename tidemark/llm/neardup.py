@@ -10,14 +10,16 @@ the rest.  First come members that meet the most documents over all their bucket
 that a group of near copies was made from.  Members that a link already joins need no comparison.  Centres
 leave the bucket after their turn, later rounds take more centres, and the rounds go on until no
 bucket holds two components, so every pair of a bucket is either compared or already connected.
-Equal shingle sets are folded into one before all this.  Links are confirmed on full sets.
+Equal shingle sets are folded into one before all this.  Before a pair leaves its bucket, bitmaps of the
+full sets bound its common part from above: a shingle whose bit the other bitmap lacks is not shared, and
+a pair whose bound lies below the threshold cannot be a link.  Links are confirmed on full sets.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.llm.common import components, join_ids, lists, text_slices
 from tidemark.llm.words import mix, shingles
@@ -30,8 +32,11 @@ ROWS = 4
 #: Bands of the first round, which settles large groups with few comparisons.
 FIRST_BANDS = 4
 MOST_CENTRES = 256
+#: 64-bit words of a set's bitmap.  Long sets fill it, which loosens the bound but never makes it wrong.
+MARK_WORDS = 16
 
 _SIGNATURE = "doc_id bigint, n_shingles bigint, print_a bigint, print_b bigint, bands array<bigint>"
+_SETS = "node bigint, own array<bigint>, marks array<bigint>"
 
 
 def bin_minima(sets: list[np.ndarray], bins: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,21 +111,47 @@ def _signatures(width: int, bands: int, rows: int):
     return work
 
 
+def set_marks(sets: list[np.ndarray]) -> np.ndarray:
+    """One bitmap of ``MARK_WORDS`` words per set; each element sets the bit its hash names."""
+    bits = 64 * MARK_WORDS
+    marked = np.zeros((len(sets), bits), bool)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    marked[row, (mix(np.concatenate([*sets, np.empty(0, np.uint64)])) % np.uint64(bits)).astype(np.int64)] = True
+    return np.packbits(marked, axis=1).view(np.uint64)
+
+
 def _sets(width: int):
     def work(batches):
         for ids, texts in lists(batches, "doc_id", "text"):
             for low, high in text_slices(texts):
                 sets = shingles(texts[low:high], width)
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                every = (np.arange(len(sets) + 1) * MARK_WORDS).astype(np.int32)
                 flat = np.concatenate([*sets, np.empty(0, np.uint64)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[low:high], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), _signed(flat))],
-                    names=["node", "own"],
+                    [
+                        pa.array(ids[low:high], pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(offsets), _signed(flat)),
+                        pa.ListArray.from_arrays(pa.array(every), _signed(set_marks(sets).ravel())),
+                    ],
+                    names=["node", "own", "marks"],
                 )
 
     return work
 
 
+def _may_link(percent: int) -> Column:
+    """Whether a member (n, marks) can reach the threshold with a centre (head_n, head_marks)."""
+    def lacking(own, other):
+        return sum(
+            F.bit_count(F.col(own)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(MARK_WORDS)
+        )
+
+    n, head_n = F.col("n"), F.col("head_n")
+    common = F.least(n - lacking("marks", "head_marks"), head_n - lacking("head_marks", "marks"))
+    return 100 * common >= percent * (n + head_n - common)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     side = lambda key, name: sets.select(F.col("node").alias(key), F.col("own").alias(name))
@@ -150,7 +181,7 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
     texts = join_ids(
         docs.select(F.col("doc_id").alias("node"), "text"), candidates.select("node"), "node", "left_semi"
     ).withColumnRenamed("node", "doc_id")
-    sets = cut_lineage(texts.mapInArrow(_sets(width), "node bigint, own array<bigint>").dropDuplicates(["node"]))
+    sets = cut_lineage(texts.mapInArrow(_sets(width), _SETS).dropDuplicates(["node"]))
 
     turn = F.struct((-F.col("weight")).alias("weight"), F.xxhash64("node").alias("place"), "node")
     members = cut_lineage(met.drop("size").join(candidates, "node").withColumn("turn", turn).drop("weight"))
@@ -172,18 +203,17 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
                 return labels
             live = members
             continue
-        live = cut_lineage(known.join(open_, "bucket"))
+        live = cut_lineage(known.join(open_, "bucket").join(sets.select("node", "marks"), "node"))
         first = Window.partitionBy("bucket").orderBy("turn")
         heads = (
             live.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= centres)
             .select("bucket", F.col("node").alias("head"), F.col("n").alias("head_n"),
-                    F.col("label").alias("head_label"), F.col("turn").alias("head_turn"))
+                    F.col("label").alias("head_label"), F.col("turn").alias("head_turn"), F.col("marks").alias("head_marks"))
         )
         heads = cut_lineage(heads)
         later = F.col("head_turn") < F.col("turn")
-        sized = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
         pairs = (
-            live.join(heads, "bucket").filter(later & sized & (F.col("label") != F.col("head_label")))
+            live.join(heads, "bucket").filter(later & (F.col("label") != F.col("head_label")) & _may_link(percent))
             .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
         )
         if compared is not None:
@@ -196,7 +226,7 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
             labels = cut_lineage(components(edges))
         if all_bands:
             gone = heads.select("bucket", F.col("head").alias("node"))
-            live = live.join(gone, ["bucket", "node"], "left_anti").drop("label")
+            live = live.join(gone, ["bucket", "node"], "left_anti").drop("label", "marks")
         else:
             live = members
 
