@@ -31,7 +31,8 @@ BANDS = 32
 ROWS = 4
 #: Bands of the first round, which settles large groups with few comparisons.
 FIRST_BANDS = 4
-MOST_CENTRES = 256
+#: Each round takes this many times the centres of the round before.
+MORE_CENTRES = 8
 #: 64-bit words of a set's bitmap.  Long sets fill it, which loosens the bound but never makes it wrong.
 MARK_WORDS = 16
 
@@ -167,7 +168,7 @@ def _rounds():
     centres = 1
     while True:
         yield True, centres
-        centres = min(4 * centres, MOST_CENTRES)
+        centres *= MORE_CENTRES
 
 
 def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
@@ -186,7 +187,7 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
     turn = F.struct((-F.col("weight")).alias("weight"), F.xxhash64("node").alias("place"), "node")
     members = cut_lineage(met.drop("size").join(candidates, "node").withColumn("turn", turn).drop("weight"))
 
-    edges, labels, live, compared = None, None, members, None
+    labels, live, compared = None, members, None
     for all_bands, centres in _rounds():
         live = live if all_bands else live.filter(F.col("band") < FIRST_BANDS)
         if labels is None:
@@ -194,16 +195,16 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
         else:
             known = live.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         known = cut_lineage(known)
-        open_ = cut_lineage(
+        open_ = (
             known.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .filter("low < high").select("bucket")
         )
-        if open_.isEmpty():
+        live = cut_lineage(known.join(open_, "bucket").join(sets.select("node", "marks"), "node"))
+        if live.isEmpty():
             if all_bands:
                 return labels
             live = members
             continue
-        live = cut_lineage(known.join(open_, "bucket").join(sets.select("node", "marks"), "node"))
         first = Window.partitionBy("bucket").orderBy("turn")
         heads = (
             live.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= centres)
@@ -222,8 +223,9 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
         compared = pairs if compared is None else compared.union(pairs)
         found = cut_lineage(_confirmed(pairs, sets, percent))
         if not found.isEmpty():
-            edges = found if edges is None else edges.union(found)
-            labels = cut_lineage(components(edges))
+            if labels is not None:  # what is known already, as one star per component
+                found = found.union(labels.filter("label <> node").select("label", "node"))
+            labels = cut_lineage(components(found))
         if all_bands:
             gone = heads.select("bucket", F.col("head").alias("node"))
             live = live.join(gone, ["bucket", "node"], "left_anti").drop("label", "marks")
