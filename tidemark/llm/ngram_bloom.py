@@ -48,7 +48,9 @@ def level_of(counts: np.ndarray) -> np.ndarray:
 
 def count_of(levels: np.ndarray) -> np.ndarray:
     """The middle of the counts of a level; 0 for level 0."""
-    return np.where(levels > 0, (SCALE ** (levels - 1) + np.maximum(SCALE**levels - 1, SCALE ** (levels - 1))) / 2, 0.0)
+    each = np.arange(int(levels.max(initial=0)) + 1)
+    middle = (SCALE ** (each - 1.0) + np.maximum(SCALE**each - 1, SCALE ** (each - 1.0))) / 2
+    return np.where(each > 0, middle, 0.0)[levels]
 
 
 class LevelFilter:
@@ -64,7 +66,8 @@ class LevelFilter:
         self.ranges = ranges
 
     def levels(self, grams: np.ndarray) -> np.ndarray:
-        """The level of each n-gram hash, 0 if it is not in the filter."""
+        """The level of each n-gram hash, 0 if it is not in the filter; equal hashes are probed once."""
+        grams, inverse = np.unique(grams, return_inverse=True)
         out = np.zeros(len(grams), np.int64)
         where = range_of(grams, self.ranges)
         start, size = self.start[where], self.size[where]
@@ -76,7 +79,7 @@ class LevelFilter:
                 found = self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1 == 1
                 left, level = left[found], level[found]
             out[left] += 1
-        return out
+        return out[inverse]
 
 
 def range_of(grams: np.ndarray, ranges: int) -> np.ndarray:
