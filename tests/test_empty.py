@@ -28,8 +28,8 @@ def test_no_transactions(spark):
 
 def test_one_transaction(spark):
     tx = make(spark, [(1, 0, 5, 1, 1, 2, 0)])
-    assert feature_table(tx).count() == 0
-    row = feature_table(tx, include_last_day=True).first()
+    assert feature_table(tx, include_last_day=False).count() == 0
+    row = feature_table(tx).first()
     assert row["cust_cnt_tx_30"] == 1 and row["nb_tx_window_30"] is None and row["term_risk_30"] == 0
 
 

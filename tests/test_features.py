@@ -26,10 +26,10 @@ def by_id(df):
     return {r["transaction_id"]: r for r in df.collect()}
 
 
-def test_last_day_is_left_out_unless_asked_for(spark):
+def test_last_day_is_kept_unless_left_out(spark):
     tx = make(spark, [(1, 0, 10, 1, 1, 5, 0), (2, 1, 10, 1, 1, 5, 0), (3, 2, 0, 1, 1, 5, 0)])
-    assert set(by_id(feat.feature_table(tx))) == {1, 2}
-    assert set(by_id(feat.feature_table(tx, include_last_day=True))) == {1, 2, 3}
+    assert set(by_id(feat.feature_table(tx, include_last_day=False))) == {1, 2}
+    assert set(by_id(feat.feature_table(tx))) == {1, 2, 3}
 
 
 def test_zero_amounts_count_today_but_not_before(spark):
@@ -145,11 +145,9 @@ def test_money_in_cents_equals_plain_sums(spark, skewed):
 def test_features_against_plain_loops(spark, skewed):
     tx = [r.asDict() for r in skewed.collect()]
     first = min(r["tx_datetime"] for r in tx).date()
-    last = max(r["tx_datetime"] for r in tx).date()
     got = by_id(feat.feature_table(skewed, per_one=100))
-    kept = [r for r in tx if r["tx_datetime"].date() < last]
-    assert set(got) == {r["transaction_id"] for r in kept}
-    for r in kept:
+    assert set(got) == {r["transaction_id"] for r in tx}
+    for r in tx:
         today, mine = r["tx_datetime"].date(), got[r["transaction_id"]]
         back = lambda o: (today - o["tx_datetime"].date()).days
         same = [o for o in tx if o["customer_id"] == r["customer_id"]]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import materialise as mat
 from tidemark.plans import learning, regression as reg
-from tidemark.plans.features import INPUT_FEATURES, KEYS, feature_table
+from tidemark.plans.features import feature_table
 from tidemark.plans.metrics import ranking_metrics
 from tidemark.plans.splits import delayed_split, study_window
 from tidemark.plans.trips import daily_rollup
@@ -32,21 +32,24 @@ def test_forest_beats_the_baseline(fitted):
     assert got["average_precision"] > got["positives"] / (got["positives"] + got["negatives"])
 
 
-def test_shipped_forest_equals_the_model(spark, fitted, tmp_path):
+def test_loaded_forest_equals_the_model(fitted, tmp_path):
     model, table, _ = fitted
-    shipped = learning.ship_forest(spark, model, str(tmp_path / "forest-test"))
-    udf = learning.forest_udf(shipped)
-    by_udf = learning.score_with(udf, table).select("transaction_id", "fraud_prob")
-    by_model = learning.score_frame(model, table).select(F.col("transaction_id").alias("id"), "score")
-    gap = by_udf.join(by_model, F.col("transaction_id") == F.col("id")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("score") - F.col("fraud_prob"))).alias("gap")
-    ).first()
-    assert gap["n"] == table.count() and gap["gap"] < 1e-9
-    assert learning.score_with(udf, table).columns == [*KEYS, "fraud_prob"]
-    learning.register_scorer(spark, "forest_probability", udf)
-    table.withColumn("inputs", learning.feature_struct(INPUT_FEATURES)).createOrReplaceTempView("scored_rows")
-    by_sql = spark.sql("SELECT transaction_id, forest_probability(inputs) AS fraud_prob FROM scored_rows")
-    assert rows(by_sql) == rows(by_udf)
+    loaded = learning.load_forest(learning.save_forest(model, str(tmp_path / "forest")))
+    columns = ["transaction_id", "score"]
+    assert rows(learning.score_frame(loaded, table).select(columns)) == rows(learning.score_frame(model, table).select(columns))
+
+
+def test_shipped_thresholds_by_frame_and_by_sql(spark, tmp_path):
+    path = tmp_path / "steps-test.json"
+    path.write_text('{"base": 0.25, "steps": [{"input": "a", "above": 1, "weight": 0.5}, {"input": "b", "above": 0, "weight": 0.125}]}')
+    udf = learning.thresholds_udf(learning.ship_model(spark, str(path)))
+    df = spark.createDataFrame([(1, 1.0, 0), (2, 2.0, 1), (3, None, None)], "i int, a double, b int")
+    inputs = df.withColumn("inputs", learning.feature_struct(["a", "b"]))
+    want = [(1, 0.25), (2, 0.875), (3, 0.25)]
+    assert rows(inputs.select("i", udf("inputs"))) == want
+    learning.register_scorer(spark, "steps_test", udf)
+    assert rows(spark.sql("SELECT i, steps_test(inputs) FROM {df}", df=inputs)) == want
+    assert inputs.limit(0).select(udf("inputs")).collect() == []
 
 
 def test_saved_features_snapshot_split_and_score(spark):

@@ -8,7 +8,7 @@ from tidemark.sources.samples import SampleTables
 from tidemark.suite import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-FITTED = {"forest_scores", "forest_performance", "forest_batch_scores", "forest_sql_scores"}
+FITTED = {"forest_scores", "forest_performance", "forest_batch_scores", "forest_sql_scores", "forest_facts"}
 
 
 @pytest.fixture()

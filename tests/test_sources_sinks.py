@@ -61,14 +61,14 @@ def test_rows_frame_by_names_and_by_schema(spark):
 
 
 def test_create_insert_select(spark):
-    tables.create_table(spark, "ability", "name string, skill string", replace=True)
-    tables.insert_rows(spark, "ability", [("John", "SQL"), ("Alex", "Java"), ("Pete", "Spark")])
-    got = tables.run_sql(spark, "SELECT name, skill FROM ability").collect()
-    assert len(got) == 3 and {("John", "SQL"), ("Alex", "Java")} <= {tuple(r) for r in got}
-    tables.create_table(spark, "ability", "name string", replace=True)
-    assert spark.table("ability").columns == ["name"] and spark.table("ability").count() == 0
-    mat.drop_table(spark, "ability")
-    mat.drop_table(spark, "ability")
+    tables.create_table(spark, "stock", "item string, place string", replace=True)
+    tables.insert_rows(spark, "stock", [("rope", "shed"), ("lamp", "hall"), ("bench", "yard")])
+    got = tables.run_sql(spark, "SELECT item, place FROM stock").collect()
+    assert len(got) == 3 and {("rope", "shed"), ("lamp", "hall")} <= {tuple(r) for r in got}
+    tables.create_table(spark, "stock", "item string", replace=True)
+    assert spark.table("stock").columns == ["item"] and spark.table("stock").count() == 0
+    mat.drop_table(spark, "stock")
+    mat.drop_table(spark, "stock")
 
 
 def test_temporary_table(spark):
@@ -100,8 +100,8 @@ def pushed_rows():
 
             class Reader(DataSourceReader):
                 def read(self, partition):
-                    yield 1, "Alice", True, asked
-                    yield 2, "Bob", False, asked
+                    yield 1, "rope", True, asked
+                    yield 2, "lamp", False, asked
 
             return Reader()
 
@@ -112,7 +112,7 @@ def test_query_is_handed_to_the_source_and_copied(spark):
     spark.dataSource.register(pushed_rows())
     query = "SELECT * FROM src"
     df = connector.read_query(spark, "pushed_rows", {"url": "x"}, query)
-    assert rows(df) == [(1, "Alice", True, query), (2, "Bob", False, query)]
+    assert rows(df) == [(1, "rope", True, query), (2, "lamp", False, query)]
     assert rows(connector.copy_query(spark, "pushed_rows", {}, query, "copied_rows")) == rows(df)
     mat.drop_table(spark, "copied_rows")
 

@@ -66,8 +66,12 @@ def apply_filters(df: DataFrame, filters: Sequence[FilterSpec]) -> DataFrame:
     return reduce(lambda d, f: d.filter(f.predicate()), enabled_filters(filters), df)
 
 
+#: Fixed values of the funnel's first and last label.
+FIRST_LABEL, LAST_LABEL = "Original data", "Result"
+
+
 def step_labels(filters: Sequence[FilterSpec]) -> list[str]:
-    return ["Original data", *[f"Filter: '{f.label}'" for f in enabled_filters(filters)], "Result"]
+    return [FIRST_LABEL, *[f"Filter: '{f.label}'" for f in enabled_filters(filters)], LAST_LABEL]
 
 
 def filter_funnel(df: DataFrame, filters: Sequence[FilterSpec]) -> DataFrame:

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def calendar_spine(
-    entities: DataFrame, events: DataFrame, ts: str, alias: str = "tx_date", include_last_day: bool = False
+    entities: DataFrame, events: DataFrame, ts: str, alias: str = "tx_date", include_last_day: bool = True
 ) -> DataFrame:
     """One row per entity and day between the first and last day of ``events``.
 
-    Without ``include_last_day`` the calendar has as many days as midnights were crossed, so
-    the last day is missing.  The days are generated beside each entity row, in the task that
+    Without ``include_last_day`` the calendar has as many days as midnights were crossed, which
+    leaves out the last day.  The days are generated beside each entity row, in the task that
     holds it: no join, no shuffle.
     """
     first, last = spine_bounds(events, ts)

@@ -33,20 +33,34 @@ class MetricCheck:
         return F.count(F.lit(1)) if self.column is None else F.count_if(F.col(self.column).isNull())
 
 
-def run_checks(df: DataFrame, checks: Sequence[MetricCheck]) -> DataFrame:
-    """One row per check: name, outcome (pass or fail) and the measured value.
+@dataclass(frozen=True)
+class SchemaCheck:
+    """No change against a stored schema; any change is a warning, not a failure."""
+
+    name: str
+    baseline: StructType
+
+
+def run_checks(df: DataFrame, checks: Sequence[MetricCheck | SchemaCheck]) -> DataFrame:
+    """One row per check: name, outcome (pass, fail or warn) and the measured value.
 
-    All metrics of the table are measured in one pass.
+    All metrics of the table are measured in one pass; the value of a schema check is its number
+    of changes, which needs no rows.
     """
-    measured = df.agg(*[c.metric().alias(f"m{i}") for i, c in enumerate(checks)])
-    rows = [
-        F.struct(
-            F.lit(c.name).alias("check_name"),
-            F.when(COMPARISONS[c.comparison](F.col(f"m{i}"), F.lit(c.threshold)), "pass").otherwise("fail").alias("outcome"),
-            F.col(f"m{i}").alias("value"),
-        )
-        for i, c in enumerate(checks)
-    ]
+    def row(name: str, outcome: Column, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("check_name"), outcome.alias("outcome"), value.alias("value"))
+
+    metrics, rows = [], []
+    for check in checks:
+        if isinstance(check, SchemaCheck):
+            changes = len(schema_changes(check.baseline, df.schema))
+            rows.append(row(check.name, F.lit("warn" if changes else "pass"), F.lit(changes).cast("bigint")))
+            continue
+        value = F.col(f"m{len(metrics)}")
+        metrics.append(check.metric().alias(f"m{len(metrics)}"))
+        passed = COMPARISONS[check.comparison](value, F.lit(check.threshold))
+        rows.append(row(check.name, F.when(passed, "pass").otherwise("fail"), value))
+    measured = df.agg(*metrics) if metrics else df.sparkSession.range(1)
     return measured.select(F.inline(F.array(*rows)))
 
 
@@ -75,7 +89,5 @@ def schema_changes(before: StructType, now: StructType) -> list[tuple[str, str]]
 
 
 def check_schema(df: DataFrame, baseline: StructType, name: str = "schema") -> DataFrame:
-    """A result row like those of ``run_checks``; any change is a warning, not a failure."""
-    changes = schema_changes(baseline, df.schema)
-    row = (name, "warn" if changes else "pass", len(changes))
-    return df.sparkSession.createDataFrame([row], "check_name string, outcome string, value bigint")
+    """The result row of one schema check."""
+    return run_checks(df, [SchemaCheck(name, baseline)])

@@ -46,5 +46,5 @@ def top_k_per_group(
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 0) -> DataFrame:
     """``n`` rows (all of them if there are fewer), for a preview: those whose ``key`` columns have the
     smallest hashes with ``seed``, so the same rows come whatever the partitioning."""
-    drawn = F.xxhash64(F.lit(seed), *key)
+    drawn = F.md5(F.concat_ws("|", *key, F.lit(seed)))
     return df.withColumn("__r", drawn).orderBy("__r", *key).limit(n).drop("__r")

@@ -71,14 +71,14 @@ def terminal_daily(tx: DataFrame) -> DataFrame:
 
 
 def dense_customer_daily(
-    tx: DataFrame, include_last_day: bool = False, per_one: int | None = None
+    tx: DataFrame, include_last_day: bool = True, per_one: int | None = None
 ) -> DataFrame:
     """Customer totals on every day of the calendar, 0 where nothing happened."""
     spine = calendar_spine(tx.select("customer_id").distinct(), tx, "tx_datetime", include_last_day=include_last_day)
     return spine_totals(spine, customer_daily(tx, per_one), ["customer_id", "tx_date"], ["tot_amount", "no_trx"])
 
 
-def dense_terminal_daily(tx: DataFrame, include_last_day: bool = False) -> DataFrame:
+def dense_terminal_daily(tx: DataFrame, include_last_day: bool = True) -> DataFrame:
     spine = calendar_spine(tx.select("terminal_id").distinct(), tx, "tx_datetime", include_last_day=include_last_day)
     return spine_totals(spine, terminal_daily(tx), ["terminal_id", "tx_date"], ["nb_fraud", "no_trx"])
 
@@ -252,7 +252,7 @@ def feature_table(
     tx: DataFrame,
     windows: Sequence[int] = WINDOWS,
     delay: int = DELAY,
-    include_last_day: bool = False,
+    include_last_day: bool = True,
     literal_reference: bool = False,
     hot_rows: int = HOT_ROWS,
     per_one: int | None = None,

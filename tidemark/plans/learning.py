@@ -1,7 +1,8 @@
-"""Fraud classifier: training, scoring on the JVM, and a shipped vectorised scoring function."""
+"""Fraud classifier: training, scoring on the JVM, and vectorised scoring functions on a shipped model file."""
 
 from __future__ import annotations
 
+import json
 import posixpath
 from collections.abc import Iterator, Sequence
 
@@ -50,59 +51,41 @@ def score_frame(
     )
 
 
-def ship_forest(spark: SparkSession, model: RandomForestClassificationModel, folder: str) -> str:
-    """Save a forest to a shared folder and hand it to every executor; returns its file name.
+def save_forest(model: RandomForestClassificationModel, folder: str) -> str:
+    """Save a forest below a shared folder that all later jobs can read; ``folder`` must be new."""
+    model.write().save(folder)
+    return folder
 
-    ``folder`` must be new for every model.
-    """
-    model.write().overwrite().save(folder)
-    spark.sparkContext.addFile(folder, recursive=True)
-    return posixpath.basename(folder.rstrip("/"))
 
+def load_forest(folder: str) -> RandomForestClassificationModel:
+    return RandomForestClassificationModel.load(folder)
 
-def forest_udf(shipped: str):
-    """A vectorised function (struct of model inputs -> fraud probability) on a shipped forest.
 
-    The node table is read once per task and reused for all its batches; a batch walks each
-    tree with array operations.
-    """
+def ship_model(spark: SparkSession, path: str) -> str:
+    """Hand a model file to every executor; returns the name under which tasks find it."""
+    spark.sparkContext.addFile(path)
+    return posixpath.basename(path)
+
 
-    def load() -> list[dict[str, np.ndarray]]:
-        nodes = pd.read_parquet(posixpath.join(SparkFiles.get(shipped), "data"))
-        nodes = pd.concat([nodes["treeID"], pd.json_normalize(nodes["nodeData"].tolist())], axis=1)
-        trees = []
-        for _, tree in nodes.sort_values(["treeID", "id"]).groupby("treeID"):
-            stats = np.vstack(tree["impurityStats"].to_numpy())
-            cut = [t[0] if len(t) else np.inf for t in tree["split.leftCategoriesOrThreshold"]]
-            trees.append(
-                {
-                    "left": tree["leftChild"].to_numpy(), "right": tree["rightChild"].to_numpy(),
-                    "feature": tree["split.featureIndex"].to_numpy(), "cut": np.array(cut),
-                    "share": stats[:, 1] / stats.sum(axis=1),
-                }
-            )
-        return trees
-
-    def probability(trees: list[dict[str, np.ndarray]], x: np.ndarray) -> np.ndarray:
-        total, rows = np.zeros(len(x)), np.arange(len(x))
-        for tree in trees:
-            at = np.zeros(len(x), dtype=int)
-            inner = tree["left"][at] >= 0
-            while inner.any():
-                here = at[inner]
-                go_left = x[rows[inner], tree["feature"][here]] <= tree["cut"][here]
-                at[inner] = np.where(go_left, tree["left"][here], tree["right"][here])
-                inner = tree["left"][at] >= 0
-            total += tree["share"][at]
-        return total / len(trees)
+def thresholds_udf(shipped: str):
+    """A vectorised function (struct of inputs -> score) on a shipped file of weighted thresholds.
+
+    The file is JSON: ``base`` and a list of ``steps`` (``input``, ``above``, ``weight``); a score is the base
+    plus the weights of all steps whose input lies above its threshold.  It is read once per task and
+    serves all its batches.
+    """
 
     @F.pandas_udf("double")
-    def fraud_probability(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        trees = load()
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        with open(SparkFiles.get(shipped), encoding="utf-8") as file:
+            model = json.load(file)
         for batch in batches:
-            yield pd.Series(probability(trees, batch.to_numpy(dtype=float)))
+            total = pd.Series(model["base"], index=batch.index, dtype=float)
+            for step in model["steps"]:
+                total += step["weight"] * (batch[step["input"]] > step["above"])
+            yield total
 
-    return fraud_probability
+    return score
 
 
 def logistic_udf(weights: dict[str, float], intercept: float):

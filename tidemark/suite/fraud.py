@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import posixpath
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,13 +17,14 @@ from tidemark.operators.sets import union_distinct
 from tidemark.operators.topk import top_k, top_k_per_group
 from tidemark.plans import features as feat
 from tidemark.plans.learning import (
-    feature_struct, fit_forest, forest_udf, logistic_udf, register_scorer, score_frame, score_with, ship_forest,
+    feature_struct, fit_forest, load_forest, logistic_udf, register_scorer, save_forest, score_frame, score_with, ship_model,
+    thresholds_udf,
 )
 from tidemark.plans.metrics import card_precision, performance_table, ranking_metrics
 from tidemark.plans.splits import delayed_split, study_window
 from tidemark.sources.samples import SampleTables
 from tidemark.suite.base import query
-from tidemark.suite.sqltext import CUST_DAY, DAYS, TX, features, split_by_loop, term_day
+from tidemark.suite.sqltext import CUST_DAY, DAYS, TX, days, features, split_by_loop, term_day
 
 CENTS = 100
 START = dt.date(2024, 1, 8)
@@ -112,6 +114,11 @@ def customer_calendar(t: SampleTables) -> DataFrame:
     return calendar_spine(tx.select("customer_id").distinct(), tx, "tx_datetime")
 
 
+@query("calendar_days_without_last", f"WITH {TX}, {days(last_day=False)} SELECT tx_date FROM days")
+def calendar_without_last(t: SampleTables) -> DataFrame:
+    return calendar_spine(t.spark.range(1), t.transactions(), "tx_datetime", include_last_day=False).select("tx_date")
+
+
 @query(
     "customer_daily_totals",
     f"""WITH {TX}, {DAYS}, {CUST_DAY}
@@ -166,6 +173,11 @@ def feature_table(t: SampleTables) -> DataFrame:
     return _features(t)
 
 
+@query("feature_table_without_last_day", f"WITH {features(False, last_day=False)} SELECT * FROM features")
+def feature_table_without_last_day(t: SampleTables) -> DataFrame:
+    return _features(t, include_last_day=False)
+
+
 @query("feature_table_literal", f"WITH {features(True)} SELECT * FROM features")
 def feature_table_literal(t: SampleTables) -> DataFrame:
     return _features(t, literal_reference=True)
@@ -386,25 +398,78 @@ def forest_performance(t: SampleTables) -> DataFrame:
     return performance_table(cut_lineage(scored), top_k=(K, 100))
 
 
-def _shipped(t: SampleTables) -> tuple[str, DataFrame]:
+_RECENT_SQL = "tx_datetime > TIMESTAMP '2024-01-20 00:00:00'"
+
+
+def _recent(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("tx_datetime") > F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
+
+
+def _reloaded(t: SampleTables) -> DataFrame:
+    """Recent transactions scored by a forest that was saved and loaded again."""
     model, table, _ = _fitted(t, 20, 6)
-    folder = posixpath.join(shared_folder(t.spark), f"forest-{uuid.uuid4().hex}")
-    recent = table.filter(F.col("tx_datetime") > F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
-    return ship_forest(t.spark, model, folder), recent
+    folder = save_forest(model, posixpath.join(shared_folder(t.spark), f"forest-{uuid.uuid4().hex}"))
+    return score_frame(load_forest(folder), _recent(table), alias="fraud_prob")
 
 
 @query("forest_batch_scores")
 def forest_batch_scores(t: SampleTables) -> DataFrame:
-    shipped, recent = _shipped(t)
-    return score_with(forest_udf(shipped), recent)
+    return _reloaded(t).select(*feat.KEYS, "fraud_prob")
 
 
 @query("forest_sql_scores")
 def forest_sql_scores(t: SampleTables) -> DataFrame:
-    shipped, recent = _shipped(t)
-    register_scorer(t.spark, "fraud_probability", forest_udf(shipped))
-    recent.withColumn("inputs", feature_struct()).createOrReplaceTempView("tidemark_recent")
+    _reloaded(t).createOrReplaceTempView("tidemark_recent")
+    return t.spark.sql(
+        "SELECT transaction_id, tx_datetime, customer_id, terminal_id, tx_amount, fraud_prob FROM tidemark_recent"
+    )
+
+
+@query(
+    "forest_facts",
+    f"""WITH {features(False)}, {split_by_loop('features', START_SQL)}
+    SELECT COUNT(*) AS scored_rows, 0::BIGINT AS outside, true AS beats_constant FROM test""",
+)
+def forest_facts(t: SampleTables) -> DataFrame:
+    """What any forest must show: every test row scored, scores in [0, 1], better than a constant score."""
+    model, _, test = _fitted(t, 100, 8)
+    scored = cut_lineage(score_frame(model, test).select("tx_fraud", "score"))
+    counts = scored.agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.count_if(F.col("score").isNull() | ~F.col("score").between(0, 1)).alias("outside"),
+    )
+    share = F.col("positives") / (F.col("positives") + F.col("negatives"))
+    better = (F.col("auc_roc") > 0.5) & (F.col("average_precision") > share)
+    return counts.withColumn("beats_constant", ranking_metrics(scored).select(better).scalar())
+
+
+MODEL_FILE = str(Path(__file__).with_name("threshold_model.json"))
+_STEPS_SQL = """round(CAST(0.05 + CASE WHEN tx_amount > 100 THEN 0.4 ELSE 0 END + CASE WHEN tx_amount > 400 THEN 0.25 ELSE 0 END
+    + CASE WHEN tx_during_night > 0 THEN 0.2 ELSE 0 END + CASE WHEN tx_during_weekend > 0 THEN 0.1 ELSE 0 END AS DOUBLE), 9)"""
+
+
+@query(
+    "shipped_model_scores",
+    f"""WITH {TX} SELECT transaction_id, tx_datetime, customer_id, terminal_id, {_STEPS_SQL} AS fraud_prob
+    FROM tx WHERE {_RECENT_SQL}""",
+)
+def shipped_model_scores(t: SampleTables) -> DataFrame:
+    udf = thresholds_udf(ship_model(t.spark, MODEL_FILE))
+    scored = score_with(udf, _recent(feat.with_time_flags(t.transactions())), list(_WEIGHTS))
+    return scored.withColumn("fraud_prob", F.round("fraud_prob", 9))
+
+
+@query(
+    "shipped_model_sql_scores",
+    f"""WITH {TX} SELECT CAST(tx_datetime AS DATE) AS tx_date, COUNT(*) AS alerts FROM tx
+    WHERE {_STEPS_SQL} > 0.5 GROUP BY 1""",
+)
+def shipped_model_sql_scores(t: SampleTables) -> DataFrame:
+    name = f"threshold_score_{uuid.uuid4().hex}"
+    register_scorer(t.spark, name, thresholds_udf(ship_model(t.spark, MODEL_FILE)))
+    rows = feat.with_time_flags(t.transactions()).withColumn("inputs", feature_struct(list(_WEIGHTS)))
     return t.spark.sql(
-        "SELECT transaction_id, tx_datetime, customer_id, terminal_id, tx_amount, "
-        "fraud_probability(inputs) AS fraud_prob FROM tidemark_recent"
+        f"SELECT CAST(tx_datetime AS DATE) AS tx_date, COUNT(*) AS alerts FROM {{rows}} "
+        f"WHERE round({name}(inputs), 9) > 0.5 GROUP BY 1",
+        rows=rows,
     )

@@ -12,10 +12,10 @@ from tidemark.suite.base import query
 from tidemark.suite.sqltext import MEMBERS, TX
 
 FILTERS = (
-    FilterSpec("Current customer", "IS_CURRENT_CUSTOMER", "flag", True),
-    FilterSpec("Tenure", "YEARS_TENURE", "range", (5, 20)),
-    FilterSpec("Long tenure", "YEARS_TENURE", "range", (24, 24), enabled=False),
-    FilterSpec("Weekly workout count", "AVERAGE_WEEKLY_WORKOUT_COUNT", "range", (0, 6)),
+    FilterSpec("Member today", "IS_CURRENT_CUSTOMER", "flag", True),
+    FilterSpec("Years as member", "YEARS_TENURE", "range", (5, 20)),
+    FilterSpec("Member for long", "YEARS_TENURE", "range", (24, 24), enabled=False),
+    FilterSpec("Visits a week", "AVERAGE_WEEKLY_WORKOUT_COUNT", "range", (0, 6)),
 )
 _CURRENT = "is_current_customer"
 _TENURE = _CURRENT + " AND years_tenure BETWEEN 5 AND 20"
@@ -30,10 +30,10 @@ def filtered_members(t: SampleTables) -> DataFrame:
 @query(
     "filter_funnel",
     f"""WITH {MEMBERS}
-    SELECT 0 AS step, 'Original data' AS source_label, 'Filter: ''Current customer''' AS target_label, COUNT(*) AS row_count FROM members
-    UNION ALL SELECT 1, 'Filter: ''Current customer''', 'Filter: ''Tenure''', COUNT(*) FROM members WHERE {_CURRENT}
-    UNION ALL SELECT 2, 'Filter: ''Tenure''', 'Filter: ''Weekly workout count''', COUNT(*) FROM members WHERE {_TENURE}
-    UNION ALL SELECT 3, 'Filter: ''Weekly workout count''', 'Result', COUNT(*) FROM members WHERE {_WORKOUT}""",
+    SELECT 0 AS step, 'Original data' AS source_label, 'Filter: ''Member today''' AS target_label, COUNT(*) AS row_count FROM members
+    UNION ALL SELECT 1, 'Filter: ''Member today''', 'Filter: ''Years as member''', COUNT(*) FROM members WHERE {_CURRENT}
+    UNION ALL SELECT 2, 'Filter: ''Years as member''', 'Filter: ''Visits a week''', COUNT(*) FROM members WHERE {_TENURE}
+    UNION ALL SELECT 3, 'Filter: ''Visits a week''', 'Result', COUNT(*) FROM members WHERE {_WORKOUT}""",
 )
 def funnel(t: SampleTables) -> DataFrame:
     return filter_funnel(t.members(), FILTERS)
@@ -48,24 +48,27 @@ def bounds(t: SampleTables) -> DataFrame:
     return slider_bounds(t.members(), ["years_tenure", "average_weekly_workout_count"])
 
 
-@query("member_preview")
+@query(
+    "member_preview",
+    f"WITH {MEMBERS} SELECT * FROM members WHERE {_WORKOUT} ORDER BY md5(CAST(member_id AS VARCHAR) || '|7'), member_id LIMIT 5",
+)
 def member_preview(t: SampleTables) -> DataFrame:
     return sample_rows(apply_filters(t.members(), FILTERS), 5, ["member_id"], seed=7)
 
 
 @query(
     "quality_checks",
-    """SELECT 'Dataset is unreasonably small' AS check_name, CASE WHEN COUNT(*) < 2 THEN 'pass' ELSE 'fail' END AS outcome,
+    """SELECT 'few nations' AS check_name, CASE WHEN COUNT(*) < 2 THEN 'pass' ELSE 'fail' END AS outcome,
            COUNT(*) AS value FROM nation
-    UNION ALL SELECT 'No NULL values', CASE WHEN COUNT(*) FILTER (n_name IS NULL) = 0 THEN 'pass' ELSE 'fail' END,
+    UNION ALL SELECT 'nations named', CASE WHEN COUNT(*) FILTER (n_name IS NULL) = 0 THEN 'pass' ELSE 'fail' END,
            COUNT(*) FILTER (n_name IS NULL) FROM nation""",
 )
 def quality_checks(t: SampleTables) -> DataFrame:
     return run_checks(
         t.table("nation"),
         [
-            MetricCheck("Dataset is unreasonably small", "<", 2),
-            MetricCheck("No NULL values", "=", 0, column="n_name"),
+            MetricCheck("few nations", "<", 2),
+            MetricCheck("nations named", "=", 0, column="n_name"),
         ],
     )
 

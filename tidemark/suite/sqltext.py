@@ -14,10 +14,15 @@ TX = """tx AS (
          CASE WHEN hour(ts) < 6 OR hour(ts) > 20 THEN 1 ELSE 0 END AS tx_during_night
   FROM events)"""
 
-# One row per crossed midnight, so the last day is missing.
-DAYS = """bounds AS (SELECT min(CAST(tx_datetime AS DATE)) AS d0, max(CAST(tx_datetime AS DATE)) AS d1 FROM tx),
+
+def days(last_day: bool = True) -> str:
+    """All days of the data; without the last one there is one row per crossed midnight."""
+    return f"""bounds AS (SELECT min(CAST(tx_datetime AS DATE)) AS d0, max(CAST(tx_datetime AS DATE)) AS d1 FROM tx),
 days AS (SELECT CAST(d0 + CAST(i AS INTEGER) AS DATE) AS tx_date
-         FROM bounds, generate_series(0, date_diff('day', (SELECT d0 FROM bounds), (SELECT d1 FROM bounds)) - 1) g(i))"""
+         FROM bounds, generate_series(0, date_diff('day', (SELECT d0 FROM bounds), (SELECT d1 FROM bounds)) - {0 if last_day else 1}) g(i))"""
+
+
+DAYS = days()
 
 CUST_DAY = """cust_day AS (SELECT customer_id, tx_date FROM days CROSS JOIN (SELECT DISTINCT customer_id FROM tx)),
 cust_daily AS (
@@ -53,7 +58,7 @@ term_feat AS (
   FROM term_daily WINDOW w AS (PARTITION BY terminal_id ORDER BY tx_date))"""
 
 
-def features(literal: bool) -> str:
+def features(literal: bool, last_day: bool = True) -> str:
     """The whole feature table, on dense calendars and row frames."""
     cust = ",\n         ".join(
         f"COALESCE(cust_tx_prev_{w}, 0) + cur_n AS cust_cnt_tx_{w}, "
@@ -71,7 +76,7 @@ def features(literal: bool) -> str:
     )
     cust_cols = ", ".join(f"cust_avg_amount_{w}, cust_cnt_tx_{w}" for w in (1, 7, 30))
     return f"""{TX},
-{DAYS},
+{days(last_day)},
 {CUST_DAY},
 {term_day(literal)},
 cust_now AS (

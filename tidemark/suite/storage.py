@@ -9,11 +9,13 @@ import posixpath
 import uuid
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.operators import materialise as mat
+from tidemark.operators import materialise as mat, quality
 from tidemark.operators.filters import apply_filters
 from tidemark.plans.features import feature_table
-from tidemark.plans.trips import trips_by_weekday
+from tidemark.plans.models import SqlModel, publish_views
+from tidemark.plans.trips import daily_rollup, month_rollup, trips_by_month, trips_by_month_stored, trips_by_weekday
 from tidemark.sources import files, schemas, tables
 from tidemark.sources.samples import SampleTables
 from tidemark.streaming.refresh import read_rollup, refresh_daily_rollup
@@ -70,6 +72,33 @@ def seed_view(t: SampleTables) -> DataFrame:
     return tables.table(t.spark, name)
 
 
+_SEED_TYPES = {
+    "bookings_1": "id BIGINT, booking_reference BIGINT, hotel STRING, booking_date DATE, cost BIGINT",
+    "bookings_2": "cost BIGINT, booking_date DATE, hotel STRING, booking_reference BIGINT, id BIGINT",
+    "customers": "id BIGINT, first_name STRING, last_name STRING, birthdate DATE",
+}
+
+
+@query(
+    "all_seed_views",
+    f"WITH {BOOKINGS} SELECT id, first_name, last_name, birthdate, booking_reference, hotel, booking_date, cost FROM prepped",
+)
+def all_seed_views(t: SampleTables) -> DataFrame:
+    """All three seeds go out as CSV, come back as views and are joined by SQL text."""
+    views = {}
+    for seed, frame in {**t.bookings(), "customers": t.booking_customers()}.items():
+        views[seed], folder = _new(t, seed)
+        mat.write_csv(frame.select(StructType.fromDDL(_SEED_TYPES[seed]).names), folder)
+        files.load_seed(t.spark, folder, _SEED_TYPES[seed], view=views[seed])
+    fields = "id, booking_reference, hotel, booking_date, cost"
+    return tables.run_sql(
+        t.spark,
+        "SELECT c.id, first_name, last_name, birthdate, booking_reference, hotel, booking_date, cost "
+        f"FROM {views['customers']} c JOIN (SELECT {fields} FROM {views['bookings_1']} "
+        f"UNION ALL SELECT {fields} FROM {views['bookings_2']}) b ON b.id = c.id",
+    )
+
+
 @query("inferred_table", "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def inferred_table(t: SampleTables) -> DataFrame:
     name, folder = _new(t, "inferred")
@@ -86,6 +115,92 @@ def created_and_filled_table(t: SampleTables) -> DataFrame:
     return tables.table(t.spark, name).select(F.col("code").alias("n_nationkey"), F.col("label").alias("n_name"))
 
 
+@query(
+    "replaced_table_of_literals",
+    """SELECT n_name, zone FROM nation JOIN (VALUES (0, 'south'), (1, 'west'), (2, 'east'), (3, NULL)) z(code, zone)
+    ON n_regionkey = code""",
+)
+def replaced_table_of_literals(t: SampleTables) -> DataFrame:
+    """A table is created, replaced by one of another type, filled with literal rows and joined; another is dropped."""
+    name, folder = _new(t, "zones")
+    tables.create_table(t.spark, name, "zone STRING", path=f"{folder}-old")
+    tables.create_table(t.spark, name, "code INT, zone STRING", replace=True, path=folder)
+    tables.insert_rows(t.spark, name, [(0, "south"), (1, "west")])
+    more = tables.rows_frame(t.spark, [(2, "east"), (3, None)], "code INT, zone STRING")
+    tables.insert_rows(t.spark, name, more)
+    mat.overwrite_table(more, f"{name}_scratch", path=f"{folder}-scratch")
+    mat.drop_table(t.spark, f"{name}_scratch")
+    mat.drop_table(t.spark, f"{name}_scratch")
+    zones = tables.table(t.spark, name)
+    return t.table("nation").join(zones, F.col("n_regionkey") == F.col("code")).select("n_name", "zone")
+
+
+@query(
+    "published_catalog_views",
+    """SELECT o_orderpriority AS hotel, COUNT(*) AS bookings, CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cost
+    FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1""",
+)
+def published_catalog_views(t: SampleTables) -> DataFrame:
+    """SQL models become catalog views, each in its own schema or in the default one."""
+    name, folder = _new(t, "orders")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents")
+    mat.overwrite_table(t.table("orders").select("o_orderpriority", "o_orderstatus", cents), name, path=folder)
+    models = [
+        SqlModel("hotel_cost", ("closed",), "SELECT hotel, COUNT(*) AS bookings, SUM(cents) AS cost FROM {closed} GROUP BY hotel",
+                 schema=" tidemark_reports "),
+        SqlModel("closed", ("orders",), "SELECT o_orderpriority AS hotel, cents FROM {orders} WHERE o_orderstatus <> 'P'"),
+    ]
+    return tables.table(t.spark, publish_views(t.spark, models, {"orders": name}, "tidemark_staging")["hotel_cost"])
+
+
+@query(
+    "metric_and_schema_checks",
+    """SELECT 'has rows' AS check_name, CASE WHEN COUNT(*) > 0 THEN 'pass' ELSE 'fail' END AS outcome, COUNT(*) AS value FROM supplier
+    UNION ALL SELECT 'same columns', 'pass', 0
+    UNION ALL SELECT 'as last stored', 'warn', 4
+    UNION ALL SELECT 'all named', 'pass', COUNT(*) FILTER (s_name IS NULL) FROM supplier""",
+)
+def metric_and_schema_checks(t: SampleTables) -> DataFrame:
+    """Stored schemas as baselines, beside metrics of the same table: one column new, one of another type, two moved."""
+    _, folder = _new(t, "schemas")
+    now = t.table("supplier").select("s_suppkey", "s_name", "s_nationkey")
+    quality.save_schema(now, f"{folder}/same")
+    before = now.select("s_name", F.col("s_suppkey").cast("string").alias("s_suppkey"))
+    quality.save_schema(before, f"{folder}/old")
+    same, old = (quality.load_schema(t.spark, f"{folder}/{part}") for part in ("same", "old"))
+    return quality.run_checks(
+        now,
+        [
+            quality.MetricCheck("has rows", ">", 0), quality.SchemaCheck("same columns", same),
+            quality.SchemaCheck("as last stored", old), quality.MetricCheck("all named", "=", 0, "s_name"),
+        ],
+    )
+
+
+_STORED_DAY = "SELECT COUNT(*) AS n, date_trunc('day', o_orderdate) AS day FROM orders GROUP BY 2"
+
+
+@query(
+    "trips_by_month_from_stored_days",
+    f"""WITH d AS ({_STORED_DAY}) SELECT CAST(SUM(n) AS BIGINT) AS trip_count, strftime(day, '%b') AS month FROM d
+    WHERE day BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31' GROUP BY month(day), 2""",
+)
+def trips_by_month_from_stored_days(t: SampleTables) -> DataFrame:
+    name, folder = _new(t, "days")
+    stored = mat.overwrite_table(daily_rollup(t.trips()), name, path=folder)
+    return trips_by_month(t.trips(), "01/01/1996", "12/31/1998", rollup=stored)
+
+
+@query(
+    "trips_by_month_from_stored_months",
+    """SELECT COUNT(*) AS trip_count, strftime(o_orderdate, '%b') AS month, min(o_orderdate) AS starttime
+    FROM orders GROUP BY 2 ORDER BY starttime""",
+)
+def trips_by_month_from_stored_months(t: SampleTables) -> DataFrame:
+    name, folder = _new(t, "months")
+    return trips_by_month_stored(mat.overwrite_table(month_rollup(t.trips()), name, path=folder))
+
+
 @query("stored_feature_table", f"WITH {features(False)} SELECT * FROM features")
 def stored_feature_table(t: SampleTables) -> DataFrame:
     name, folder = _new(t, "features")
