@@ -352,6 +352,23 @@ def test_language_model_base(docs):
         assert r["base_score"] == pytest.approx(want) and r["score"] < 0
 
 
+def test_language_model_keeps_rare_pairs_of_many_tokens(spark):
+    copies, own = 300, [f"w{i}" for i in reversed(range(701))]
+    table = spark.range(copies, numPartitions=8).select(F.col("id").alias("doc_id"), F.lit(LONG).alias("text")).union(
+        spark.createDataFrame([(-1, " ".join(own))], "doc_id bigint, text string"))
+    once, end = [*words(LONG), ngram_bloom.END.encode()], ngram_bloom.END.encode()
+    own = [w.encode() for w in own] + [end]
+    seen, pairs = collections.Counter(own), collections.Counter(zip([end, *own], own))
+    for counter, grams in ((seen, once), (pairs, zip([end, *once], once))):
+        counter.update({g: copies * n for g, n in collections.Counter(grams).items()})
+    total, prior = sum(seen.values()), ngram_bloom.PRIOR
+    assert total > 1 << 23
+    uniform = {w: (seen[w] + 0.5) / (total + 0.5 * (len(seen) + 1)) for w in own}
+    want = sum(math.log10((pairs[h, w] + prior * uniform[w]) / (seen[h] + prior)) for h, w in zip([end, *own], own))
+    got = ngram_bloom.score(table, F.lit(True)).filter("doc_id = -1").first()
+    assert got["score"] == pytest.approx(want, rel=0.01)
+
+
 def test_filter_keeps_levels():
     rng = np.random.default_rng(7)
     grams = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))

@@ -3,10 +3,10 @@
 Counts are exact where they are made: tokens are counted over all training texts, and word pairs over
 all training texts as sorted hash blocks that meet per hash range.  The model keeps a count on a
 logarithmic scale: an n-gram with level q is put into a Bloom filter q times, as (n-gram, 1) to
-(n-gram, q), and its level is read back by probing 1, 2, ... until a probe fails.  The filter is
-broadcast, so its size must be bounded: it holds the n-grams that make up at least
-1 / ``most_entries`` of the training tokens, of which there can be ``most_entries`` per order at most.
-This one rule holds at every size; up to that many tokens every n-gram is in.
+(n-gram, q), and its level is read back by probing 1, 2, ... until a probe fails.  Every n-gram of the
+training texts is in, at every size.  The filter grows with the corpus, so no task holds more of it than
+the segment of one hash range: blocks of texts send their distinct n-grams to the segments, which send
+back the levels.
 
 A token's probability is the add-half unigram probability, drawn towards the counts of its word pair
 by a Dirichlet prior of ``prior`` observations.  Unigram counts are exact: frequent tokens (again a
@@ -19,6 +19,8 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import lists, text_slices
@@ -27,16 +29,18 @@ from tidemark.operators.materialise import cut_lineage
 
 #: The end of a text, a token of its own; no word contains a blank.
 END = " "
-#: N-grams of one order in the filter at most (see above), and tokens with exact counts in the broadcast.
-MOST_ENTRIES = 1 << 23
+#: Tokens with exact counts in the broadcast at most.
 MOST_FREQUENT = 1_000_000
 #: Base of the logarithmic scale of counts, bits per filter entry, probes per entry.
 SCALE = 1.5
 BITS, PROBES = 9, 4
 #: Weight of the unigram model, in observations of a history.
 PRIOR = 300.0
-#: Word pairs per hash range that one task counts.
-RANGE_PAIRS = 1 << 20
+#: Bytes of text per block, and per hash range of n-grams: about a million of them.
+BLOCK_BYTES = 1 << 21
+RANGE_BYTES = 3 << 20
+#: Low bits of a hash that are not used: 48 bits tell n-grams apart far better than the filter does.
+UNUSED = np.uint64(16)
 
 _END_HASH = np.uint64(0x5851F42D4C957F2D)
 
@@ -115,7 +119,8 @@ def gram_hashes(flat) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     token[is_word], token[ends] = flat.hashes(), _END_HASH
     before = np.empty(total, np.uint64)
     before[1:], before[:1] = token[:-1], _END_HASH
-    return token, mix(before * np.uint64(0xD6E8FEB86659FD93) + token), np.repeat(np.arange(len(counts)), counts)
+    pair = mix(before * np.uint64(0xD6E8FEB86659FD93) + token)
+    return token >> UNUSED << UNUSED, pair >> UNUSED << UNUSED, np.repeat(np.arange(len(counts)), counts)
 
 
 def token_counts(docs: DataFrame) -> DataFrame:
@@ -135,50 +140,102 @@ def token_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(work, "token binary, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
 
 
-def pair_filter(docs: DataFrame, counts: DataFrame, tokens: int, least: int) -> LevelFilter:
-    """The filter over the pairs, and the single tokens, that occur ``least`` times or more.
+def repeatable(df: DataFrame) -> DataFrame:
+    """The frame if it is a plain scan of files, whose partitions and their order are the same in every
+    pass; else a stored copy."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    fixed = node.deterministic()
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().apply(0)
+    return df if fixed and node.nodeName() == "LogicalRelation" else cut_lineage(df)
 
-    Each task sorts its pairs and sends one block per hash range, so a pair however frequent is one
-    number per block, and a range holds about RANGE_PAIRS pairs at any corpus size.
-    """
-    ranges = 1 + 2 * tokens // RANGE_PAIRS
+
+def block_slices(batches):
+    """(block, slice of a batch): a block is a run of about BLOCK_BYTES of text of one partition, wherever
+    the batches end."""
+    first, before = TaskContext.get().partitionId() << 33, 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0)
+        starts = before + np.r_[0, np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64) + 8)]
+        before, number = int(starts[-1]), starts[:-1] // BLOCK_BYTES
+        at = [*np.flatnonzero(np.diff(number, prepend=-1)).tolist(), len(number)]
+        for low, high in zip(at[:-1], at[1:]):
+            yield first + int(number[low]), batch.slice(low, high - low)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned numbers byte by byte of equal weight, as the upper bytes are mostly zero and compress."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel()
+
+
+def block_grams(docs: DataFrame, ranges: int) -> DataFrame:
+    """(part, block, grams, times): the distinct n-grams of each block, or piece of one, by hash range, and
+    how often they occur in rows to learn from.  An n-gram however frequent is one number per piece."""
     edges = np.arange(1, ranges)
 
-    def blocks(batches):
-        for (texts,) in lists(batches, "text"):
-            for low, high in text_slices(texts, 1 << 22):
-                token, pair, _ = gram_hashes(flat_words(texts[low:high]))
-                gram, times = np.unique(np.concatenate([token, pair]), return_counts=True)
-                at = [0, *np.searchsorted(range_of(gram, ranges), edges).tolist(), len(gram)]
-                some = [k for k in range(ranges) if at[k] < at[k + 1]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(some, pa.int64()),
-                        pa.array([gram[at[k]:at[k + 1]].tobytes() for k in some], pa.binary()),
-                        pa.array([times[at[k]:at[k + 1]].astype(np.uint32).tobytes() for k in some], pa.binary()),
-                    ],
-                    names=["part", "grams", "times"],
-                )
+    def work(batches):
+        for block, piece in block_slices(batches):
+            ((texts, learn),) = lists([piece], "text", "learn")
+            token, pair, owner = gram_hashes(flat_words(texts))
+            taught = np.array([bool(x) for x in learn])[owner]
+            gram, place = np.unique(np.concatenate([token, pair]), return_inverse=True)
+            times = np.bincount(place[np.r_[taught, taught]], minlength=len(gram))
+            at = [0, *np.searchsorted(range_of(gram, ranges), edges).tolist(), len(gram)]
+            some = [k for k in range(ranges) if at[k] < at[k + 1]]
+            steps = [packed(np.diff(gram[at[k]:at[k + 1]] >> UNUSED, prepend=np.uint64(0))) for k in some]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(some, pa.int64()), pa.array([block] * len(some), pa.int64()), pa.array(steps, pa.binary()),
+                    pa.array([packed(times[at[k]:at[k + 1]]) for k in some], pa.binary()),
+                ],
+                names=["part", "block", "grams", "times"],
+            )
+
+    return docs.mapInArrow(work, "part bigint, block bigint, grams binary, times binary")
+
+
+def block_levels(sent: DataFrame) -> DataFrame:
+    """(block, part, levels): for the distinct n-grams of each block in a hash range, sorted, the levels
+    read from the range's segment of the filter."""
+
+    def answer(key, table):
+        grams = [np.cumsum(unpacked(g)) << UNUSED for g in table.column("grams").to_pylist()]
+        weight = np.concatenate([unpacked(t) for t in table.column("times").to_pylist()])
+        each, place = np.unique(np.concatenate(grams), return_inverse=True)
+        total = np.bincount(place, weight, len(each)).astype(np.int64)
+        seen = total > 0
+        segments = [(0, filter_segment(each[seen], total[seen]))] if seen.any() else []
+        level = LevelFilter(segments, 1).levels(each).astype(np.uint8)
+        ends = np.cumsum([len(g) for g in grams])
+        pieces: dict[int, list[np.ndarray]] = {}
+        for block, g, end in zip(table.column("block").to_pylist(), grams, ends):
+            pieces.setdefault(block, []).append(place[end - len(g):end])
+        found = [level[own[0] if len(own) == 1 else np.unique(np.concatenate(own))].tobytes() for own in pieces.values()]
+        return pa.table({
+            "block": pa.array(pieces, pa.int64()), "part": pa.array([key[0].as_py()] * len(pieces), pa.int64()),
+            "levels": pa.array(found, pa.binary()),
+        })
+
+    return sent.groupBy("part").applyInArrow(answer, "block bigint, part bigint, levels binary")
+
+
+def block_texts(docs: DataFrame) -> DataFrame:
+    """(block, doc_id, text)."""
+
+    def work(batches):
+        for block, piece in block_slices(batches):
+            own = pa.array(np.full(piece.num_rows, block, np.int64))
+            columns = [piece.column(piece.schema.get_field_index(n)) for n in ("doc_id", "text")]
+            yield pa.RecordBatch.from_arrays([own, *columns], names=["block", "doc_id", "text"])
+
+    return docs.mapInArrow(work, "block bigint, doc_id bigint, text string")
+
 
-    def merge(key, table):
-        flat = np.concatenate([np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams")])
-        weight = np.concatenate([np.frombuffer(t.as_buffer(), np.uint32) for t in table.column("times")])
-        order = np.argsort(flat, kind="stable")
-        flat, weight = flat[order], weight[order].astype(np.int64)
-        first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-        total = np.add.reduceat(weight, first)
-        keep = total >= least
-        segments = [filter_segment(flat[first][keep], total[keep])] if keep.any() else []
-        return pa.table({"part": pa.array([key[0].as_py()] * len(segments), pa.int64()), "segment": pa.array(segments, pa.binary())})
-
-    built = docs.select("text").mapInArrow(blocks, "part bigint, grams binary, times binary").groupBy("part").applyInArrow(
-        merge, "part bigint, segment binary")
-    # Bounded: at most 2 * MOST_ENTRIES n-grams of 9 bits per level.
-    rows = built.orderBy("part").toLocalIterator()
-    return LevelFilter([(r["part"], bytes(r["segment"])) for r in rows], ranges)
-
-
-def score(docs: DataFrame, training: Column, most_entries: int = MOST_ENTRIES, prior: float = PRIOR) -> DataFrame:
+def score(docs: DataFrame, training: Column, prior: float = PRIOR) -> DataFrame:
     """Learn from the rows where ``training`` holds and score every whole text.
 
     Result: doc_id, n_tokens, n_known (tokens seen in training), train_tokens, base_score (log10 of the
@@ -187,9 +244,9 @@ def score(docs: DataFrame, training: Column, most_entries: int = MOST_ENTRIES, p
     ignored.  Without training rows every token is unseen, and both scores are those of a uniform model.
     """
     spark = docs.sparkSession
-    plain = docs.select(
+    plain = repeatable(docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), training.alias("learn")
-    )
+    ))
     taught = plain.filter("learn")
     counts = cut_lineage(token_counts(taught))
     known = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
@@ -199,58 +256,64 @@ def score(docs: DataFrame, training: Column, most_entries: int = MOST_ENTRIES, p
         bytes(r["token"]): r["c"]
         for r in counts.filter(F.col("c") * MOST_FREQUENT >= max(total, 1)).orderBy("token").toLocalIterator()
     }
-    least = 1 + total // most_entries
-    levels = pair_filter(taught, counts, total, least)
     names = list(frequent)
     shared = spark.sparkContext.broadcast({
-        "place": {w: i for i, w in enumerate(names)}, "counts": np.array([*frequent.values(), 0], np.float64), "filter": levels,
+        "place": {w: i for i, w in enumerate(names)}, "counts": np.array([*frequent.values(), 0], np.float64),
     })
     below = total + 0.5 * (kinds + 1)
-
-    def work(batches):
-        place, exact, filter_ = shared.value["place"], shared.value["counts"], shared.value["filter"]
-        for ids, texts in lists(batches, "doc_id", "text"):
-            for low, high in text_slices(texts):
-                flat = flat_words(texts[low:high])
-                token, pair, owner = gram_hashes(flat)
-                n = high - low
-                ends = np.cumsum(flat.counts + 1) - 1
-                index = np.full(len(token), place.get(END.encode(), -1))
-                is_word = np.ones(len(token), bool)
-                is_word[ends] = False
-                index[is_word] = np.fromiter((place.get(w, -1) for w in flat.words), np.int64, len(flat.words))
-                common = index >= 0
-                own = exact[index]
-                own[~common] = count_of(filter_.levels(token[~common]))
-                history = np.empty(len(token))
-                history[1:], history[ends[:-1] + 1], history[0] = own[:-1], own[ends[:-1]], own[ends[0]]
-                together = np.minimum(count_of(filter_.levels(pair)), np.minimum(history, own))
-                uniform = (own + 0.5) / below
-                drawn = (together + prior * uniform) / (history + prior)
-                change = np.bincount(owner, np.log10(drawn / uniform), n)
-                base = np.bincount(owner[common], np.log10((own[common] + 0.5) / below), n)
-                seen = np.bincount(owner[common], minlength=n)
-                rare_at = np.flatnonzero(~common & is_word)
-                # Word number of a token: its place less the ends before it.
-                words = rare_at - owner[rare_at]
-                rare: list[Counter] = [Counter() for _ in range(n)]
-                for k, w in zip(owner[rare_at].tolist(), words.tolist()):
-                    rare[k][flat.words[w]] += 1
-                if END.encode() not in place:
-                    for own_rare in rare:
-                        own_rare[END.encode()] += 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[low:high], pa.int64()), pa.array(flat.counts + 1), pa.array(seen.astype(np.int64)),
-                        pa.array(base), pa.array(change),
-                        pa.array([list(r) for r in rare], pa.list_(pa.binary())),
-                        pa.array([list(r.values()) for r in rare], pa.list_(pa.int64())),
-                    ],
-                    names=["doc_id", "n_tokens", "seen", "base", "change", "rare", "times"],
-                )
+    # A text of n bytes has at most n / 2 + 2 tokens, so a range is bounded whatever share is learned from.
+    size = plain.agg(F.coalesce(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 8), F.lit(0)).alias("n")).first()["n"]
+    answers = block_levels(block_grams(plain, 1 + size // RANGE_BYTES))
+
+    def work(rows, answered):
+        place, exact = shared.value["place"], shared.value["counts"]
+        ((ids, texts),) = lists([rows], "doc_id", "text")
+        flat = flat_words(texts)
+        token, pair, owner = gram_hashes(flat)
+        n = len(texts)
+        grams, inverse = np.unique(np.concatenate([token, pair]), return_inverse=True)
+        parts = zip(answered.column("part").to_pylist(), answered.column("levels").to_pylist())
+        known_level = np.frombuffer(b"".join(raw for _, raw in sorted(parts)), np.uint8).astype(np.int64)
+        if len(known_level) != len(grams):
+            raise ValueError("the texts of a block have changed between two passes")
+        level = known_level[inverse]
+        ends = np.cumsum(flat.counts + 1) - 1
+        index = np.full(len(token), place.get(END.encode(), -1))
+        is_word = np.ones(len(token), bool)
+        is_word[ends] = False
+        index[is_word] = np.fromiter((place.get(w, -1) for w in flat.words), np.int64, len(flat.words))
+        common = index >= 0
+        own = exact[index]
+        own[~common] = count_of(level[: len(token)][~common])
+        history = np.empty(len(token))
+        history[1:], history[ends[:-1] + 1], history[0] = own[:-1], own[ends[:-1]], own[ends[0]]
+        together = np.minimum(count_of(level[len(token):]), np.minimum(history, own))
+        uniform = (own + 0.5) / below
+        drawn = (together + prior * uniform) / (history + prior)
+        change = np.bincount(owner, np.log10(drawn / uniform), n)
+        base = np.bincount(owner[common], np.log10((own[common] + 0.5) / below), n)
+        seen = np.bincount(owner[common], minlength=n)
+        rare_at = np.flatnonzero(~common & is_word)
+        # Word number of a token: its place less the ends before it.
+        words = rare_at - owner[rare_at]
+        rare: list[Counter] = [Counter() for _ in range(n)]
+        for k, w in zip(owner[rare_at].tolist(), words.tolist()):
+            rare[k][flat.words[w]] += 1
+        if END.encode() not in place:
+            for own_rare in rare:
+                own_rare[END.encode()] += 1
+        return pa.Table.from_arrays(
+            [
+                pa.array(ids, pa.int64()), pa.array(flat.counts + 1), pa.array(seen.astype(np.int64)),
+                pa.array(base), pa.array(change),
+                pa.array([list(r) for r in rare], pa.list_(pa.binary())),
+                pa.array([list(r.values()) for r in rare], pa.list_(pa.int64())),
+            ],
+            names=["doc_id", "n_tokens", "seen", "base", "change", "rare", "times"],
+        )
 
     first = cut_lineage(
-        plain.select("doc_id", "text").mapInArrow(
+        block_texts(plain).groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             work, "doc_id bigint, n_tokens bigint, seen bigint, base double, change double, rare array<binary>, times array<bigint>"
         ).withColumn("row", F.monotonically_increasing_id())
     )
