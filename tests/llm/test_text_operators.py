@@ -309,6 +309,15 @@ def test_classified_documents(docs):
     assert not any(r["kept"] for r in rows if r["doc_id"] in (6, 7, 8))
 
 
+def test_share_kept_does_not_change_with_size(spark):
+    one = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    n = one.count()
+    ten = one.crossJoin(spark.range(10)).select((F.col("doc_id") + F.col("id") * 10**9).alias("doc_id"), "text")
+    # In the ten copies both sides are cut to n texts, in the one table neither is.
+    both = [weak_labels.classify(docs, per_side=n).agg(F.avg(F.col("kept").cast("int")), F.avg("score")).first() for docs in (one, ten)]
+    assert both[0] == pytest.approx(both[1], abs=0.002)
+
+
 # -- toxicity and language model -------------------------------------------------------------------------
 
 

@@ -20,7 +20,8 @@ from tidemark.llm.words import FlatWords, flat_words, mix
 from tidemark.operators.materialise import cut_lineage
 
 BUCKETS = 1 << 16
-#: At most so many texts per side of the posterior train the scorer: a bounded sample.
+#: At most so many texts per side of the posterior train the scorer: a bounded sample, weighed by how
+#: many documents the side has.
 TEXTS_PER_SIDE = 2000
 STEPS = 200
 #: Where the estimation starts, and what it is drawn to with this share of all documents as
@@ -148,19 +149,22 @@ def shape_features(texts: list[str | None], buckets: int = BUCKETS) -> tuple[np.
     return who, pair % buckets, times / np.maximum(flat.counts, 1)[who]
 
 
-def fit_scorer(rows: list[tuple[float, np.ndarray, np.ndarray]], buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels; each row is (posterior, buckets, values)."""
+def fit_scorer(
+    rows: list[tuple[float, np.ndarray, np.ndarray]], each: np.ndarray, buckets: int = BUCKETS
+) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels; each row is (posterior, buckets, values), and ``each`` has how
+    many documents a row stands for."""
     weights = np.zeros(buckets)
     if not rows:
         return weights, 0.0
-    y = np.array([r[0] for r in rows])
+    y, each = np.array([r[0] for r in rows]), each / each.sum()
     row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
     column, value = np.concatenate([r[1] for r in rows]), np.sqrt(np.concatenate([r[2] for r in rows]))
     bias = 0.0
     m, v = np.zeros(buckets + 1), np.zeros(buckets + 1)
     for step in range(1, STEPS + 1):
         p = 1 / (1 + np.exp(-np.clip(np.bincount(row, value * weights[column], len(y)) + bias, -30, 30)))
-        error = (p - y) / len(y)
+        error = each * (p - y)
         slope = np.append(np.bincount(column, value * error[row], buckets) + 1e-4 * weights, error.sum())
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -216,7 +220,11 @@ def classify(docs: DataFrame, threshold: float = 0.5, per_side: int = TEXTS_PER_
         (posterior[r["pattern"]], np.frombuffer(r["bucket"], np.int32), np.frombuffer(r["value"], np.float32))
         for r in sample.mapInArrow(features, "doc_id bigint, pattern bigint, bucket binary, value binary").orderBy("doc_id").toLocalIterator()
     ]
-    shared = spark.sparkContext.broadcast((*fit_scorer(rows), posterior))
+    # A side's sample stands for all its documents, so the mix that is learned is that of the table at any size.
+    is_good = np.array([r[0] >= 0.5 for r in rows], bool)
+    of_side = [sum(r["n"] for r in counted if (r["pattern"] in good) == keep) for keep in (False, True)]
+    each = np.where(is_good, of_side[1] / max(is_good.sum(), 1), of_side[0] / max((~is_good).sum(), 1))
+    shared = spark.sparkContext.broadcast((*fit_scorer(rows, each), posterior))
 
     def score(batches):
         weights, bias, known_posterior = shared.value
