@@ -7,11 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import embeddings, neardup, ngram_bloom, packing, pieces, pii, quality_rules, revisits, toxicity, weak_labels
+from tidemark.llm import (
+    checks, embeddings, fill_middle, neardup, ngram_bloom, packing, pieces, pii, quality_rules, relative_parsing, resampling,
+    revisits, toxicity, weak_labels,
+)
 from tidemark.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_target_resampling": checks.RESAMPLING,
+    "op12_substring_dedup": checks.REPEATS,
+    "op13_fill_in_middle": checks.FILL_IN_MIDDLE,
+}
 
 
 def query(job: Callable[[SparkSession, str], DataFrame]):
@@ -82,3 +89,18 @@ def op6_ngram_bloom_scores(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicate_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_target_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.digest(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return relative_parsing.digest(table(spark, folder, "documents"))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digest(table(spark, folder, "documents"))
