@@ -39,6 +39,11 @@ def day_start(ts: Column | str) -> Column:
     return F.to_date(_col(ts)).cast("timestamp_ntz")
 
 
+def month_start(ts: Column | str) -> Column:
+    """Midnight of the first day of the month, as a zone-free timestamp."""
+    return F.trunc(F.to_date(_col(ts)), "month").cast("timestamp_ntz")
+
+
 def calendar_days(start: Column | str, end: Column | str) -> Column:
     """Number of midnights crossed from ``start`` to ``end`` (not elapsed 24 h periods)."""
     return F.datediff(F.to_date(_col(end)), F.to_date(_col(start)))
@@ -67,20 +72,19 @@ def parse_us_date(text: Column | str) -> Column:
     return F.to_timestamp_ntz(_col(text), F.lit("MM/dd/yyyy"))
 
 
+def as_moment(value: dt.date | dt.datetime | str) -> dt.datetime:
+    """A range bound as a time; text may be ISO (``2024-01-31[ hh:mm:ss]``) or ``MM/DD/YYYY``."""
+    if isinstance(value, str):
+        return dt.datetime.strptime(value, "%m/%d/%Y") if "/" in value else dt.datetime.fromisoformat(value)
+    return value if isinstance(value, dt.datetime) else dt.datetime.combine(value, dt.time())
+
+
 def as_bound(value: dt.date | dt.datetime | str) -> Column:
     """A literal range bound that compares with ``TIMESTAMP_NTZ`` without a cast of the column.
 
-    Text may be ISO (``2024-01-31[ hh:mm:ss]``) or ``MM/DD/YYYY``.  The bound is folded to a
-    literal, so the comparison still reaches the file scan.
+    The bound (see ``as_moment``) is folded to a literal, so the comparison still reaches the file scan.
     """
-    if isinstance(value, str):
-        if "/" in value:
-            value = dt.datetime.strptime(value, "%m/%d/%Y")
-        else:
-            value = dt.datetime.fromisoformat(value)
-    elif not isinstance(value, dt.datetime):
-        value = dt.datetime.combine(value, dt.time())
-    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(as_moment(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def as_date_bound(value: dt.date | dt.datetime | str) -> Column:
