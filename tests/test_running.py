@@ -1,6 +1,8 @@
 """Ordered computations cut into buckets, against numpy and plain sorts."""
 
+import collections
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -132,6 +134,48 @@ def test_nulls_keep_their_rows(spark):
     assert rows(got) == rows(df.withColumn("moving_avg", mean))
 
 
+@pytest.mark.parametrize("rows_", [300, 3000])
+def test_buckets_stay_small_when_rows_grow(spark, rows_):
+    """Two levels of cuts; buckets of about 20 rows at 300 rows and at ten times as many."""
+    rng = random.Random(rows_)
+    data = [(rng.gauss(0, 1) if i % 10 else 0.0,) for i in range(rows_)] + [(None,), (float("nan"),), (float("-inf"),)]
+    df = spark.createDataFrame(data, "o double").withColumn("id", F.monotonically_increasing_id()).cache()
+    cuts = range_buckets("o", df.filter("o <> 0"), rows_per_bucket=20, fan_out=16)
+    assert cuts.levels == (1 if rows_ == 300 else 2)
+    placed = cuts(df).collect()
+    in_order = sorted(placed, key=lambda r: (r["o"] is not None, 0 if r["o"] is None else (np.inf if np.isnan(r["o"]) else r["o"])))
+    numbers = [r["bucket"] for r in in_order]
+    assert len(placed) == rows_ + 3 and numbers == sorted(numbers)
+    sizes = collections.Counter(r["bucket"] for r in placed if r["o"] != 0)
+    assert max(sizes.values()) <= 45
+    got = with_position(df, ["o", "id"], F.col("o"), fan_out=4, buckets=30)
+    assert rows(got.select("id", "position")) == rows(df.select("id", (F.row_number().over(Window.orderBy("o", "id")) - 1).alias("position")))
+
+
+@pytest.mark.parametrize("fan_out, buckets", [(3, 25), (4, 60), (1000, 4)])
+def test_totals_along_a_tree_of_buckets(spark, fan_out, buckets):
+    rng = random.Random(9)
+    data = list({(rng.choice(["x", None, "y"]), rng.random()): 0 for _ in range(500)})
+    points = spark.createDataFrame([(g, o, rng.randrange(9)) for g, o in data], "g string, o double, n bigint").cache()
+    cuts = range_buckets("o", points, buckets, fan_out=fan_out)
+    assert cuts.levels == (1 if fan_out == 1000 else math.ceil(math.log(buckets, fan_out)))
+    for by in ([], ["g"]):
+        window = Window.partitionBy(*by)
+        want = points.select(
+            "g", "o", F.sum("n").over(window.orderBy("o").rowsBetween(Window.unboundedPreceding, 0)).alias("r"), F.sum("n").over(window).alias("t")
+        )
+        got = running_totals(cuts(points), "o", ["n"], by, levels=cuts.levels, fan_out=fan_out)
+        assert rows(got.select("g", "o", "running_n", "total_n")) == rows(want)
+
+
+def test_quantiles_with_deep_cuts(spark):
+    rng = random.Random(12)
+    data = [(rng.choice("ab"), rng.random()) for _ in range(700)]
+    got = group_quantiles(spark.createDataFrame(data, "g string, v double"), "v", ["g"], {"q": 0.37}, buckets=40, fan_out=6)
+    for row in got.collect():
+        assert row["q"] == pytest.approx(np.quantile([v for g, v in data if g == row["g"]], 0.37))
+
+
 def test_ranking_leaves_missing_scores_out(spark):
     scored = spark.createDataFrame([(1, 0.9), (0, 0.5), (1, None), (0, None), (None, 0.7)], "tx_fraud int, score double")
     row = ranking_metrics(scored).first()
