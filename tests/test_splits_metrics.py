@@ -9,8 +9,10 @@ import pytest
 from conftest import rows
 from test_features import make
 
-from tidemark.plans.metrics import card_precision, performance_table, ranking_metrics, regression_metrics
-from tidemark.plans.splits import delayed_split, study_window
+from tidemark.plans.metrics import (
+    card_precision, detected_cards, leading_cards, performance_table, ranking_metrics, regression_metrics,
+)
+from tidemark.plans.splits import delayed_split, known_customers, study_window
 
 START = dt.date(2024, 3, 2)
 
@@ -116,6 +118,49 @@ def test_card_precision_equals_the_day_loop(spark, k, remove):
     assert [tuple(r) for r in got.orderBy("tx_time_days").collect()] == card_loop(df.toPandas(), k, remove)
 
 
+def test_a_year_of_days_with_few_rows_to_decide(spark):
+    """The list that decides is k sure cards a day and the earlier frauds above them; no task sees all days."""
+    rng, k, days = random.Random(21), 5, 365
+    data = [
+        (d, c, rng.random() + (c % 9 == 0), int(c % 9 == 0 and rng.random() < 0.5))
+        for d in range(days) for c in rng.sample(range(400), 60)
+    ]
+    df = spark.createDataFrame(data, "tx_time_days bigint, customer_id bigint, score double, tx_fraud bigint").cache()
+    cards, leading = leading_cards(df, k)
+    ever = {c for _, c, _, label in data if label}
+    per_day = {d: sum(c in ever for day, c, *_ in data if day == d) for d in range(days)}
+    sizes = {r["day"]: r["count"] for r in leading.groupBy("day").count().collect()}
+    assert all(sizes[d] <= k + per_day[d] for d in range(days))
+    assert leading.count() < 0.35 * cards.count()
+    got = card_precision(df, k)
+    assert [tuple(r) for r in got.orderBy("tx_time_days").collect()] == card_loop(df.toPandas(), k, True)
+
+
+def test_detections_that_depend_on_each_other(spark):
+    """Every day's hit moves the next day's list; one card is found a day, the last one after many rounds."""
+    n = 8
+    data = [(d, c, 1.0 - c / 100, 1) for d in range(n) for c in range(n)]
+    df = spark.createDataFrame(data, "tx_time_days bigint, customer_id bigint, score double, tx_fraud bigint")
+    found = detected_cards(leading_cards(df, 1)[1], 1)
+    assert rows(found) == [(c, c) for c in range(n)]
+    assert [tuple(r) for r in card_precision(df, 1).orderBy("tx_time_days").collect()] == card_loop(df.toPandas(), 1, True)
+
+
+def test_known_customers_are_those_the_split_leaves_out(spark):
+    rng = random.Random(5)
+    items = [(i, rng.randrange(28), 6, rng.randrange(1, 40), 1, 5, int(rng.random() < 0.1)) for i in range(900)]
+    tx = study_window(make(spark, items), START)
+    known = {r["customer_id"]: r["known_from"] for r in known_customers(tx, START).collect()}
+    train, test = delayed_split(tx, START)
+    first = train.agg({"tx_time_days": "min"}).first()[0]
+    rows_ = tx.collect()
+    kept = {r["transaction_id"] for r in test.collect()}
+    for r in rows_:
+        day = r["tx_time_days"] - first - 14
+        if 0 <= day < 7:
+            assert (r["transaction_id"] in kept) == (known.get(r["customer_id"], 99) > day)
+
+
 def test_performance_table(spark):
     df = scored_frame(spark)
     row = performance_table(df, top_k=(3, 10)).first()

@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.operators.materialise import cut_lineage
 from tidemark.operators.running import range_buckets, running_totals
 from tidemark.operators.topk import top_k_per_group
 
@@ -24,8 +24,8 @@ def _threshold_points(scored: DataFrame, label: str, score: str, buckets: int |
     points = rows.groupBy("below").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg")
     )
-    cut = range_buckets("below", points.select("below"), buckets)
-    return running_totals(cut(points), "below", ["pos", "neg"])
+    cuts = range_buckets("below", points.select("below"), buckets)
+    return running_totals(cuts(points), "below", ["pos", "neg"], levels=cuts.levels)
 
 
 def ranking_metrics(
@@ -50,54 +50,84 @@ def ranking_metrics(
     )
 
 
+def leading_cards(
+    scored: DataFrame, k: int, label: str = "tx_fraud", score: str = "score",
+    day: str = "tx_time_days", card: str = "customer_id",
+) -> tuple[DataFrame, DataFrame]:
+    """All cards per day (stored), and per day those that can be among its first k, with their ``place``.
+
+    A card can be missing on a day only if it was a fraud on an earlier one.  The k best of the others are
+    there for sure, so nothing below the k-th of them matters.  What is left is, per day, k sure
+    cards and the earlier frauds that rank above the last of those.
+    """
+    cards = scored.groupBy(F.col(day).alias("day"), F.col(card).alias("card")).agg(
+        F.max(F.col(score).cast("double")).alias("score"), F.max(label).alias("label")
+    )
+    first_fraud = F.min(F.when(F.col("label") == 1, F.col("day"))).over(Window.partitionBy("card"))
+    cards = cut_lineage(cards.withColumn("sure", F.coalesce(first_fraud >= F.col("day"), F.lit(True))))
+    order = [F.desc("score"), F.asc("card")]
+    sure = top_k_per_group(cards.filter("sure"), ["day"], order, k, ["card"], rank="place")
+    last = sure.filter(F.col("place") == k).select("day", F.col("score").alias("low"), F.col("card").alias("last"))
+    above = F.col("low").isNull() | (F.col("score") > F.col("low")) | ((F.col("score") == F.col("low")) & (F.col("card") < F.col("last")))
+    others = cards.filter(~F.col("sure")).join(last, "day", "left").filter(above)
+    columns = ["day", "card", "score", "label"]
+    both = sure.select(columns).union(others.select(columns))
+    return cards, both.withColumn("place", F.row_number().over(Window.partitionBy("day").orderBy(*order)))
+
+
+def detected_cards(leading: DataFrame, k: int) -> DataFrame:
+    """(card, found): each card and the day on which it is among the first k as a fraud for the first time.
+
+    A card that was found is left out on later days, so a day depends on all days before it.  Rounds
+    settle that without a task that sees all days: every round ranks each day's list by itself, without
+    the cards that the round before found earlier.  The first day is right after one round, day n
+    after n at the latest, and once a round changes nothing all days are.
+    """
+    found = None
+    while True:
+        there = leading
+        if found is not None:
+            # At most k cards per day, each on one day, so the broadcast is bounded.
+            there = leading.join(F.broadcast(found), "card", "left").filter(F.coalesce(F.col("found") >= F.col("day"), F.lit(True)))
+        place = F.row_number().over(Window.partitionBy("day").orderBy("place"))
+        first = there.select("day", "card", "label", place.alias("now")).filter((F.col("now") <= k) & (F.col("label") == 1))
+        latest = cut_lineage(first.groupBy("card").agg(F.min("day").alias("found")))
+        if found is not None and latest.count() == found.count() and latest.join(found, ["card", "found"], "left_anti").isEmpty():
+            return latest
+        found = latest
+
+
 def card_precision(
     scored: DataFrame, k: int, label: str = "tx_fraud", score: str = "score",
     day: str = "tx_time_days", card: str = "customer_id", remove_detected: bool = True,
 ) -> DataFrame:
     """Per day: frauded cards, frauds among the k top-scored cards, and hits / k.
 
-    Cards found on one day are left out on later days.  Up to day number i at most ``k * i``
-    cards can have been removed, so the first ``k * (i + 1)`` cards of each day decide
-    everything; only those go through the day-by-day step, which therefore grows with k and the
-    number of days, not with the data.  Equal scores are taken in card order; ``day`` is a
-    whole number.
+    Cards found on one day are left out on later days.  Equal scores are taken in card order; ``day`` is a
+    whole number.  A card that is null is one card and is never left out.
     """
-    cards = scored.groupBy(day, card).agg(
-        F.max(F.col(score).cast("double")).alias("score"), F.max(label).alias("label")
-    )
-    first_day = scored.agg(F.min(day)).scalar()
-    leading = top_k_per_group(
-        cards, [day], [F.desc("score"), F.asc(card)], (F.col(day) - first_day + 1) * k, [card]
-    )
-
-    def found(rows: pd.DataFrame) -> pd.DataFrame:
-        detected: set = set()
-        hits = []
-        for value, today in rows.sort_values([day, "rank"]).groupby(day, sort=True):
-            if remove_detected:
-                today = today[~today[card].isin(detected)]
-            frauds = today.head(k).query("label == 1")[card]
-            detected.update(frauds)
-            hits.append(pd.DataFrame({"found_day": value, "found_card": frauds}))
-        return pd.concat(hits)
-
-    types = dict(cards.dtypes)
-    hits = (
-        leading.select(day, card, "label", "rank", F.lit(0).alias("all_days"))
-        .groupBy("all_days")
-        .applyInPandas(found, f"found_day {types[day]}, found_card {types[card]}")
-    )
     if remove_detected:
-        # At most k cards per day, each on one day, so the broadcast is bounded.
-        marked = cards.join(F.broadcast(hits), F.col(card) == F.col("found_card"), "left")
-        open_fraud = (F.col("label") == 1) & F.coalesce(F.col("found_day") >= F.col(day), F.lit(True))
+        cards, leading = leading_cards(scored, k, label, score, day, card)
+        found = detected_cards(cut_lineage(leading), k)
+        hits_per_day = found.groupBy(F.col("found").alias("day")).agg(F.count(F.lit(1)).alias("hits"))
+        frauds = cards.filter(F.col("label") == 1).join(F.broadcast(found), "card", "left")
+        open_frauds = frauds.filter(F.coalesce(F.col("found") >= F.col("day"), F.lit(True)))
     else:
-        marked, open_fraud = cards, F.col("label") == 1
-    per_day = marked.groupBy(day).agg(F.count_if(open_fraud).alias("frauded_cards"))
-    hits_per_day = hits.groupBy(F.col("found_day").alias(day)).agg(F.count(F.lit(1)).alias("found"))
-    hit_count = F.coalesce("found", F.lit(0))
-    return per_day.join(hits_per_day, day, "left").select(
-        day, "frauded_cards", hit_count.alias("hits"), (hit_count / F.lit(k)).alias("card_precision")
+        cards = scored.groupBy(F.col(day).alias("day"), F.col(card).alias("card")).agg(
+            F.max(F.col(score).cast("double")).alias("score"), F.max(label).alias("label")
+        )
+        best = top_k_per_group(cards, ["day"], [F.desc("score"), F.asc("card")], k, ["card"])
+        hits_per_day = best.groupBy("day").agg(F.count_if(F.col("label") == 1).alias("hits"))
+        open_frauds = cards.filter(F.col("label") == 1)
+    per_day = (
+        cards.select("day").distinct()
+        .join(open_frauds.groupBy("day").agg(F.count(F.lit(1)).alias("frauded_cards")), "day", "left")
+        .join(hits_per_day, "day", "left")
+    )
+    hits = F.coalesce("hits", F.lit(0))
+    return per_day.select(
+        F.col("day").alias(day), F.coalesce("frauded_cards", F.lit(0)).alias("frauded_cards"), hits.alias("hits"),
+        (hits / F.lit(k)).alias("card_precision"),
     )
 
 

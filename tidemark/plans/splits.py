@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import as_bound
-from tidemark.operators.joins import without
+from tidemark.operators.skew import skew_join
 
 
 def study_window(features: DataFrame, start: dt.date, days: int = 22) -> DataFrame:
@@ -25,8 +25,25 @@ def delayed_split(
     Training covers ``start`` to ``start + train_days``, both midnights included.  A fraud
     becomes known ``delay_days`` after it happened; from then on the customer is left out of
     the test days.  Each customer's first such test day is found with one aggregate, so the
-    test set is one anti join instead of one plan per day.
+    test set is one anti join instead of one plan per day.  Customers with very many test rows are
+    salted in it (``operators/skew.py``), so no task gets all rows of one customer.
     """
+    train, candidates, known = _split_parts(tx, start, train_days, delay_days, test_days)
+    test = skew_join(candidates, known, ["customer_id"], "left_anti", F.col("known_from") <= F.col("test_day"))
+    return train, test.drop("test_day")
+
+
+def known_customers(
+    tx: DataFrame, start: dt.date, train_days: int = 7, delay_days: int = 7, test_days: int = 7
+) -> DataFrame:
+    """The pool that ``delayed_split`` leaves out: each customer and the first test day without it, from 0."""
+    return _split_parts(tx, start, train_days, delay_days, test_days)[2]
+
+
+def _split_parts(
+    tx: DataFrame, start: dt.date, train_days: int, delay_days: int, test_days: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Training rows, rows of the test days with their number, and the known customers."""
     in_training = F.col("tx_datetime").between(
         as_bound(start), as_bound(start + dt.timedelta(days=train_days))
     )
@@ -39,14 +56,9 @@ def delayed_split(
         tx.filter(F.col("tx_fraud") == 1)
         .withColumn("known_from", test_day_known)
         .filter(F.col("known_from").between(0, test_days - 1))
-        .groupBy(F.col("customer_id").alias("known_customer"))
+        .groupBy("customer_id")
         .agg(F.min("known_from").alias("known_from"))
     )
     test_day = day_in_study - (train_days + delay_days)
     candidates = tx.withColumn("test_day", test_day).filter(F.col("test_day").between(0, test_days - 1))
-    test = without(
-        candidates,
-        known,
-        (candidates["customer_id"] == known["known_customer"]) & (known["known_from"] <= candidates["test_day"]),
-    )
-    return train, test.drop("test_day")
+    return train, candidates, known
