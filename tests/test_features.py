@@ -5,7 +5,7 @@ import random
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tidemark.plans import features as feat
 from tidemark.sources.schemas import TRANSACTIONS
@@ -41,10 +41,9 @@ def test_zero_amounts_count_today_but_not_before(spark):
 
 def test_same_moment_counts_each_other(spark):
     tx = make(spark, [(1, 0, 5, 1, 1, 2, 0), (2, 0, 5, 1, 1, 4, 0), (3, 0, 6, 1, 1, 6, 0), (9, 2, 0, 2, 1, 1, 0)])
-    for hot_rows in (1, 10**6):
-        got = by_id(feat.feature_table(tx, hot_rows=hot_rows))
-        assert [got[i]["cust_cnt_tx_1"] for i in (1, 2, 3)] == [2, 2, 3]
-        assert got[1]["cust_avg_amount_1"] == pytest.approx(3.0)
+    got = by_id(feat.feature_table(tx))
+    assert [got[i]["cust_cnt_tx_1"] for i in (1, 2, 3)] == [2, 2, 3]
+    assert got[1]["cust_avg_amount_1"] == pytest.approx(3.0)
 
 
 def test_first_day_has_no_terminal_counts_and_no_risk(spark):
@@ -98,31 +97,40 @@ def skewed(spark):
     return random_transactions(spark).cache()
 
 
-def test_cutting_hot_days_changes_nothing(spark, skewed):
-    whole = feat.feature_table(skewed, per_one=100)
-    cut = feat.feature_table(skewed, per_one=100, hot_rows=1)
-    assert feat.hot_customer_days(skewed, 1).count() > 10
-    assert rows(whole) == rows(cut)
+def plain_day_so_far(tx):
+    until_now = Window.partitionBy("customer_id", F.to_date("tx_datetime")).orderBy("tx_datetime").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    return tx.select(
+        "transaction_id", F.count("customer_id").over(until_now).alias("cur_day_trx"),
+        F.sum(F.rint(F.col("tx_amount") * 100).cast("long")).over(until_now).alias("cur_day_amt"),
+    )
+
+
+@pytest.mark.parametrize("nulls", [0, 3, 1])
+def test_day_so_far_equals_one_window(spark, skewed, nulls):
+    """No customer, every third and every row without a customer."""
+    tx = skewed if nulls == 0 else skewed.withColumn("customer_id", F.when(F.col("transaction_id") % nulls != 0, F.col("customer_id")))
+    got = feat.with_day_so_far(tx, per_one=100).select("transaction_id", "cur_day_trx", "cur_day_amt")
+    assert rows(got) == rows(plain_day_so_far(tx))
+    assert got.count() == tx.count()
 
 
 def test_a_third_of_all_rows_at_one_moment(spark):
     copies = [(i, 1, 9, 1, 1, 2.5, 0) for i in range(300)]
     others = [(300 + i, i % 4, i % 24, 2 + i % 5, 1, 1, 0) for i in range(600)]
     tx = make(spark, copies + others)
-    cut = feat.feature_table(tx, per_one=100, hot_rows=100)
-    assert rows(feat.hot_customer_days(tx, 100)) == [(1, dt.date(2024, 3, 2))]
-    assert rows(cut) == rows(feat.feature_table(tx, per_one=100))
-    assert by_id(cut)[7]["cust_cnt_tx_1"] == 300
+    assert feat.day_moments(tx.withColumn("tx_date", F.to_date("tx_datetime"))).filter("customer_id = 1").count() == 1
+    assert by_id(feat.feature_table(tx, per_one=100))[7]["cust_cnt_tx_1"] == 300
 
 
 def test_unknown_amounts_leave_the_average_open(spark):
     tx = make(spark, [(1, 0, 5, 1, 1, 2, 0), (2, 0, 6, 1, 1, 4, 0), (3, 0, 7, 1, 1, 6, 0), (9, 2, 0, 2, 1, 1, 0)])
     tx = tx.withColumn("tx_amount", F.when(F.col("transaction_id") != 2, F.col("tx_amount")))
     tx = tx.withColumn("tx_amount", F.when(F.col("transaction_id") != 1, F.col("tx_amount")))
-    for hot_rows in (1, 10**6):
-        got = by_id(feat.feature_table(tx, per_one=100, hot_rows=hot_rows))
-        assert got[1]["cust_avg_amount_1"] is None and got[2]["cust_avg_amount_1"] is None
-        assert got[3]["cust_avg_amount_1"] == pytest.approx(2.0) and got[3]["cust_cnt_tx_1"] == 3
+    got = by_id(feat.feature_table(tx, per_one=100))
+    assert got[1]["cust_avg_amount_1"] is None and got[2]["cust_avg_amount_1"] is None
+    assert got[3]["cust_avg_amount_1"] == pytest.approx(2.0) and got[3]["cust_cnt_tx_1"] == 3
 
 
 def test_sparse_windows_equal_dense_ones(spark, skewed):

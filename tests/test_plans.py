@@ -41,15 +41,13 @@ def test_no_pairwise_join_and_no_unbounded_single_task(no_broadcast, name):
 
 
 def test_feature_table_moves_transactions_twice(no_broadcast):
-    """Apart from the hot branch, only two exchanges carry transaction ids."""
+    """Only two exchanges carry transaction ids: to their moment and to their terminal-day."""
     tx = SampleTables(no_broadcast, FOLDER).transactions()
     text = plan_text(feature_table(tx, per_one=100))
     details = text.split("\n\n")
     wide = [d for d in details if "Exchange\n" in d and "transaction_id" in d]
     by = [d.split("hashpartitioning(")[1].split(")")[0] for d in wide]
-    assert sorted(b.split("#")[0] for b in by) == ["customer_id", "customer_id", "terminal_id"]
-    hot = [b for b in by if b.startswith("customer_id") and "tx_datetime" in b]
-    assert len(hot) == 1
+    assert sorted(b.split("#")[0] for b in by) == ["__moment", "terminal_id"]
 
 
 def test_scans_read_only_what_is_needed(spark):

@@ -7,9 +7,8 @@ over windows that end ``delay`` days ago, because frauds become known that late.
 The features are defined on a dense calendar (one row per entity and day).  No such calendar is
 built here: transactions are aggregated to the days that occur, and windows run over day numbers,
 which gives the same values because absent days add nothing.  Whole transactions are exchanged
-twice: by customer-day for the running totals, where days too large for one task go another way,
-and by terminal-day for the risk, a plain equi-join that adaptive execution splits when one
-terminal holds a large part of the data.  All other exchanges carry aggregated rows.
+twice: by moment, to meet the customer's totals up to it, and by terminal-day, to meet the risk.  All
+other exchanges carry aggregated rows.
 """
 
 from __future__ import annotations
@@ -21,11 +20,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.functions import from_units, is_night, is_weekend, whole_units
 from tidemark.operators.joins import calendar_spine, spine_bounds, spine_totals
 from tidemark.operators.running import running_totals
+from tidemark.operators.skew import heavy_keys, skew_join
 
 WINDOWS = (1, 7, 30)
 DELAY = 7
-HOT_ROWS = 1_000_000       # rows of one customer-day that one task may sort
-MAX_HOT_DAYS = 100_000
 CUSTOMER_DAY = ["customer_id", "tx_date"]
 
 KEYS = ["transaction_id", "tx_datetime", "customer_id", "terminal_id"]
@@ -121,34 +119,21 @@ def terminal_day_windows(
     return dense.select("*", *[c.alias(n) for n, c in columns.items()])
 
 
-def hot_customer_days(tx: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Customer-days with too many transactions for one task.
+def day_moments(tx: DataFrame, per_one: int | None = None) -> DataFrame:
+    """Number and amount of a customer's transactions of the day up to each moment that occurs.
 
-    A day counts as hot above ``hot_rows`` rows and above a 1/MAX_HOT_DAYS share of the data, so
-    there are fewer than MAX_HOT_DAYS of them however large the data is.
-    """
-    limit = F.greatest(F.lit(hot_rows), tx.agg(F.count(F.lit(1))).scalar() / F.lit(MAX_HOT_DAYS))
-    return (
-        tx.groupBy("customer_id", F.to_date("tx_datetime").alias("tx_date"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > limit)
-        .select("customer_id", "tx_date")
-    )
-
-
-def _hot_moments(tx: DataFrame, per_one: int | None) -> DataFrame:
-    """Day totals up to each distinct timestamp of hot customer-days.
-
-    Transactions at one timestamp are added up first, so a second holds at most a million
-    rows, and the totals of earlier seconds are carried over: no task sees a whole day.
+    ``tx`` has ``tx_date``.  Transactions of one moment are added up first, then the moments of one second
+    and last the seconds of a day, so a task sees at most the moments of one second or the seconds of
+    one customer-day, however many transactions share a customer, a day or a moment.  A null customer is
+    a customer of its own without a number of transactions, as ``customer_id`` is what is counted.
     """
     second = F.hour("tx_datetime") * 3600 + F.minute("tx_datetime") * 60 + F.second("tx_datetime")
-    moments = tx.groupBy(*CUSTOMER_DAY, "tx_datetime", second.alias("second")).agg(
+    moments = tx.groupBy(*CUSTOMER_DAY, "tx_datetime").agg(
         F.count("customer_id").alias("n"),
         F.count("tx_amount").alias("known"),
         F.coalesce(F.sum(whole_units("tx_amount", per_one)), F.lit(0)).alias("amount"),
     )
-    totals = running_totals(moments, "tx_datetime", ["n", "known", "amount"], CUSTOMER_DAY, "second")
+    totals = running_totals(moments.withColumn("second", second), "tx_datetime", ["n", "known", "amount"], CUSTOMER_DAY, "second")
     return totals.select(
         *CUSTOMER_DAY, "tx_datetime", F.col("running_n").alias("cur_day_trx"),
         F.when(F.col("running_known") > 0, F.col("running_amount")).alias("cur_day_amt"),
@@ -156,36 +141,23 @@ def _hot_moments(tx: DataFrame, per_one: int | None) -> DataFrame:
 
 
 def with_day_so_far(
-    tx: DataFrame, day_features: DataFrame | None = None, hot_rows: int = HOT_ROWS,
-    per_one: int | None = None,
+    tx: DataFrame, day_features: DataFrame | None = None, per_one: int | None = None
 ) -> DataFrame:
     """Add the number and amount of a customer's transactions of the day up to each one.
 
-    Transactions at the same moment count each other.  Ordinary customer-days are one window
-    partition each.  Hot ones take another way: their totals are worked out per moment and
-    joined back, an equi-join that adaptive execution can split; without hot days that branch
-    is empty and drops out at run time.  ``day_features`` (one row per customer and day) are
-    joined on the way, which drops transactions of days they lack.
+    Transactions at the same moment count each other.  Totals are worked out per moment
+    (``day_moments``) and joined back, an equi-join that adaptive execution can split.
+    ``day_features`` (one row per customer and day) are joined to the moments on the way, which
+    drops transactions of days they lack and those without a customer.
     """
     dated = tx.withColumn("tx_date", F.to_date("tx_datetime"))
-    # Fewer than MAX_HOT_DAYS rows, so the broadcast is bounded.
-    hot = F.broadcast(hot_customer_days(tx, hot_rows))
-    hot_tx = dated.join(hot, CUSTOMER_DAY, "left_semi")
-    moments = _hot_moments(hot_tx, per_one)
-
-    until_now = Window.partitionBy(*CUSTOMER_DAY).orderBy("tx_datetime").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ordinary = dated.join(hot, CUSTOMER_DAY, "left_anti").withColumns(
-        {
-            "cur_day_trx": F.count("customer_id").over(until_now),
-            "cur_day_amt": F.sum(whole_units("tx_amount", per_one)).over(until_now),
-        }
-    )
+    moments = day_moments(dated, per_one)
     if day_features is not None:
-        ordinary = ordinary.join(day_features, CUSTOMER_DAY)
         moments = moments.join(day_features, CUSTOMER_DAY)
-    return ordinary.unionByName(hot_tx.join(moments, [*CUSTOMER_DAY, "tx_datetime"]))
+    # Structs of equal fields are equal, nulls included.
+    key = F.struct(*CUSTOMER_DAY, "tx_datetime").alias("__moment")
+    added = moments.select(key, *[c for c in moments.columns if c not in (*CUSTOMER_DAY, "tx_datetime")])
+    return dated.withColumn("__moment", key).join(added, "__moment").drop("__moment")
 
 
 def customer_days(
@@ -204,11 +176,10 @@ def customer_days(
 
 
 def with_customer_behaviour(
-    rows: DataFrame, history: DataFrame, windows: Sequence[int] = WINDOWS, hot_rows: int = HOT_ROWS,
-    per_one: int | None = None,
+    rows: DataFrame, history: DataFrame, windows: Sequence[int] = WINDOWS, per_one: int | None = None
 ) -> DataFrame:
     """Add the behaviour features to ``rows``; ``history`` holds all transactions."""
-    current = with_day_so_far(rows, customer_days(history, windows, per_one), hot_rows, per_one)
+    current = with_day_so_far(rows, customer_days(history, windows, per_one), per_one)
     features = {}
     for w in windows:
         count = F.col(f"prev_n_{w}") + F.col("cur_day_trx")
@@ -254,7 +225,6 @@ def feature_table(
     delay: int = DELAY,
     include_last_day: bool = True,
     literal_reference: bool = False,
-    hot_rows: int = HOT_ROWS,
     per_one: int | None = None,
 ) -> DataFrame:
     """Transactions with time flags, customer behaviour and terminal risk.
@@ -268,7 +238,10 @@ def feature_table(
     if not include_last_day:
         rows = rows.filter(F.col("tx_datetime") < last_day.cast("timestamp_ntz"))
     risk = terminal_days(tx, windows, delay, literal_reference)
-    joined = with_customer_behaviour(rows, tx, windows, hot_rows, per_one).join(risk, ["terminal_id", "tx_date"])
+    terminal_day = ["terminal_id", "tx_date"]
+    # The risk already lies by terminal, so days of a terminal with very many transactions are salted.
+    heavy = heavy_keys(tx.select("terminal_id", F.to_date("tx_datetime").alias("tx_date")), terminal_day)
+    joined = skew_join(with_customer_behaviour(rows, tx, windows, per_one), risk, terminal_day, heavy=heavy)
     return joined.select(
         *KEYS, "tx_time_seconds", "tx_time_days", F.col("tx_amount").cast("double").alias("tx_amount"),
         "tx_fraud", "tx_fraud_scenario", "tx_during_weekend", "tx_during_night",
