@@ -3,14 +3,15 @@
 import datetime as dt
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import materialise as mat
-from tidemark.plans import learning, regression as reg
-from tidemark.plans.features import feature_table
+from tidemark.plans import learning, regression as reg, trees
+from tidemark.plans.features import INPUT_FEATURES, feature_table
 from tidemark.plans.metrics import ranking_metrics
 from tidemark.plans.splits import delayed_split, study_window
 from tidemark.plans.trips import daily_rollup
@@ -39,6 +40,30 @@ def test_loaded_forest_equals_the_model(fitted, tmp_path):
     assert rows(learning.score_frame(loaded, table).select(columns)) == rows(learning.score_frame(model, table).select(columns))
 
 
+def test_compiled_forest_equals_the_model(spark, fitted, tmp_path):
+    """The trained forest as column expressions, against the library that trained it."""
+    model, table, _ = fitted
+    ensemble = trees.forest_ensemble(spark, learning.save_forest(model, str(tmp_path / "forest")), INPUT_FEATURES)
+    assert len(ensemble["trees"]) == 30 and set(trees.inputs_of(ensemble)) <= set(INPUT_FEATURES)
+    part = table.filter("transaction_id % 7 = 0")
+    both = trees.score_by_trees(learning.score_frame(model, part), ensemble, "compiled")
+    assert both.count() > 1000 and both.filter(~(F.abs(F.col("score") - F.col("compiled")) < 1e-12)).count() == 0
+
+
+def test_compiled_trees_by_hand(spark):
+    ensemble = {"trees": [
+        {"input": "a", "most": 1.5, "low": {"score": 0.25}, "high": {"input": "b", "most": 0, "low": {"score": 1}, "high": {"score": 0}}},
+        {"score": 0.5},
+    ]}
+    df = spark.createDataFrame([(1, 1.5, 7), (2, 1.6, 0), (3, 2.0, 1), (4, None, None), (5, 9.0, None)], "i int, a double, b int")
+    want = [(1, 0.375), (2, 0.75), (3, 0.25), (4, 0.375), (5, 0.75)]
+    assert rows(trees.score_by_trees(df, ensemble).select("i", "score")) == want
+    assert rows(df.select("i", trees.ensemble_score(ensemble))) == want
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT * FROM (VALUES (1, 1.5, 7), (2, 1.6, 0), (3, 2.0, 1), (4, NULL, NULL), (5, 9.0, NULL)) v(i, a, b)")
+    assert con.execute(f"SELECT i, {trees.ensemble_sql(ensemble)} FROM t ORDER BY i").fetchall() == want
+
+
 def test_shipped_thresholds_by_frame_and_by_sql(spark, tmp_path):
     path = tmp_path / "steps-test.json"
     path.write_text('{"base": 0.25, "steps": [{"input": "a", "above": 1, "weight": 0.5}, {"input": "b", "above": 0, "weight": 0.125}]}')

@@ -12,7 +12,7 @@ from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 from tidemark.functions import as_bound
 
@@ -36,6 +36,10 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
+def text_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+
+
 @dataclass(frozen=True)
 class FilterSpec:
     """One optional filter of a report: a range on a number or a flag to match."""

@@ -91,11 +91,22 @@ def checkpoint_frame(df: DataFrame, path: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate results that all executors can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``.  Without that setting, in any mode, the results
-    go below the warehouse folder (``spark.sql.warehouse.dir``), which is shared as well.
+    A cluster names it in ``spark.checkpoint.dir``.  Without that setting, in local mode, the results go
+    below the warehouse folder (``spark.sql.warehouse.dir``).  On a cluster that folder may be one of the
+    driver's machine, so there the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return folder or posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_stored")
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_stored")
+
+
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any store that Spark can write to; false if there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 _STORED: dict[str, list[str]] = {}
@@ -121,6 +132,5 @@ def release_stored(spark: SparkSession) -> int:
     """
     paths = _STORED.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete_folder(spark, path)
     return len(paths)

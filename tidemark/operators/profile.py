@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.filters import numeric_columns
+from tidemark.operators.filters import numeric_columns, text_columns
 
 CORRELATION_BLOCK = 8
 
@@ -97,8 +97,9 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return square.select(names[F.col("i")].alias("column_name"), *columns)
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Frequency of every value of several text columns, in one pass."""
+def category_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Frequency of every value of several columns (by default all text columns), in one pass."""
+    columns = list(columns or text_columns(df))
     long = df.select(
         F.inline(
             F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category")) for c in columns])
@@ -107,12 +108,13 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("column_name", "category").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFrame:
-    """Equal-width histogram per numeric column; empty bins are listed, the last bin is closed.
+def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 10) -> DataFrame:
+    """Equal-width histogram per column (by default all numeric ones); empty bins are listed, the last is closed.
 
     One pass finds the ranges, a second counts; both aggregate before they shuffle.  Nulls and NaN
     lie in no bin and do not widen the range.
     """
+    columns = list(columns or numeric_columns(df))
     number = lambda c: F.col(c).cast("double")
     wide = df.select(*[F.when(~F.isnan(number(c)), number(c)).alias(c) for c in columns])
     ranges = wide.agg(
@@ -150,8 +152,8 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 10) -> DataFram
 def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid over the value range, bandwidth by Scott's rule.
 
-    Every row adds to each of the ``points`` grid values; a task folds its rows into ``points``
-    partial sums before anything is shuffled.
+    Equal values are counted first, so each distinct value adds to the ``points`` grid values once; a task
+    folds its values into ``points`` partial sums before anything is shuffled again.
     """
     x = df.select(F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull())
     stats = x.agg(
@@ -164,12 +166,13 @@ def density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
     at = F.col("s.low") + (F.col("s.high") - F.col("s.low")) * F.col("grid_point") / (points - 1)
     z = (F.col("position") - F.col("x")) / F.col("s.h")
     return (
-        x.select("x", stats.alias("s"))
-        .select("x", "s", grid.alias("grid_point"))
+        x.groupBy("x").agg(F.count(F.lit(1)).alias("times"))
+        .select("x", "times", stats.alias("s"))
+        .select("x", "times", "s", grid.alias("grid_point"))
         .withColumn("position", at)
         .groupBy("grid_point")
         .agg(
             F.max("position").alias("position"),
-            (F.sum(F.exp(-z * z / 2)) / F.max(F.col("s.n") * F.col("s.h") * F.sqrt(2 * F.pi()))).alias("density"),
+            (F.sum(F.col("times") * F.exp(-z * z / 2)) / F.max(F.col("s.n") * F.col("s.h") * F.sqrt(2 * F.pi()))).alias("density"),
         )
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import posixpath
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -67,18 +68,24 @@ def ship_model(spark: SparkSession, path: str) -> str:
     return posixpath.basename(path)
 
 
+@lru_cache(maxsize=8)
+def shipped_model(shipped: str) -> dict:
+    """A shipped model file, read once in each worker process; only the last few are kept."""
+    with open(SparkFiles.get(shipped), encoding="utf-8") as file:
+        return json.load(file)
+
+
 def thresholds_udf(shipped: str):
     """A vectorised function (struct of inputs -> score) on a shipped file of weighted thresholds.
 
     The file is JSON: ``base`` and a list of ``steps`` (``input``, ``above``, ``weight``); a score is the base
-    plus the weights of all steps whose input lies above its threshold.  It is read once per task and
-    serves all its batches.
+    plus the weights of all steps whose input lies above its threshold.  A worker process reads it once
+    and serves all batches of all its tasks from it.
     """
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        with open(SparkFiles.get(shipped), encoding="utf-8") as file:
-            model = json.load(file)
+        model = shipped_model(shipped)
         for batch in batches:
             total = pd.Series(model["base"], index=batch.index, dtype=float)
             for step in model["steps"]:

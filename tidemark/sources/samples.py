@@ -15,6 +15,21 @@ ORIGIN = dt.date(2024, 1, 1)          # day 0 of the transaction clock
 BOOKING_CUT = dt.date(1998, 7, 1)     # first booking day of the second booking relation
 FRAUD_AMOUNT = 100
 
+# Categories that a customer's key decides: name, customers per step, values in turn.
+CREDIT_CATEGORIES = (
+    ("other_parties", 1, ("none", "none", "none", "guarantor", "co applicant")),
+    ("assets", 2, ("real estate", "life insurance", "car", "no known property")),
+    ("qualification", 3, ("skilled", "unskilled", "high qualif/self emp/mgmt")),
+    ("sex", 5, ("female", "male")),
+    ("marital_status", 7, ("single", "married", "divorced")),
+    ("other_payment_plans", 11, ("None", "bank", "stores", "None")),
+)
+# Whole numbers that a customer's key decides: name, smallest value, factor, number of values.
+CREDIT_NUMBERS = (
+    ("credit_duration", 6, 13, 55), ("installment_commitment", 1, 1, 4), ("credit_score", 300, 7919, 551),
+    ("existing_credits", 1, 3, 5), ("job_history", 0, 17, 31), ("num_dependents", 0, 5, 4), ("residence_since", 1, 7, 12),
+)
+
 
 class SampleTables:
     """Lazy relations over one data folder."""
@@ -104,18 +119,23 @@ class SampleTables:
         )
 
     def credit_files(self) -> DataFrame:
-        """Credit requests with categories: customers with their nation and region."""
+        """Credit requests, one per customer: nine categories and twelve numbers.
+
+        Nation, region and segment are categories as they are; the others follow from the customer's key.
+        """
+        key = F.col("c_custkey")
+        derived = [F.get(F.array(*map(F.lit, values)), (key / step).cast("long") % len(values)).alias(name) for name, step, values in CREDIT_CATEGORIES]
         return (
             self.table("customer")
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(
-                F.col("c_custkey").alias("credit_request_id"),
-                F.col("c_acctbal").alias("credit_amount"),
-                F.col("c_nationkey").alias("age"),
-                F.col("c_mktsegment").alias("purpose"),
-                F.col("r_name").alias("credit_standing"),
-                F.col("n_name").alias("housing"),
+                key.alias("credit_request_id"), F.col("c_acctbal").alias("credit_amount"),
+                *[(F.lit(low) + key * factor % width).cast("int").alias(name) for name, low, factor, width in CREDIT_NUMBERS],
+                F.col("c_nationkey").alias("age"), (F.col("c_acctbal") - 500).alias("checking_balance"),
+                (F.abs("c_acctbal") / 2).alias("savings_balance"),
+                F.col("c_mktsegment").alias("purpose"), F.col("r_name").alias("credit_standing"), F.col("n_name").alias("housing"),
+                *derived,
             )
         )
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import posixpath
+import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame, functions as F
+
+from tidemark.operators.materialise import cut_lineage, shared_folder
 from tidemark.operators.running import order_key, with_position
 from tidemark.plans import bookings as book
-from tidemark.plans.models import run_models
+from tidemark.plans.models import run_changed, run_models
 from tidemark.sources.samples import SampleTables
 from tidemark.suite.base import query
 from tidemark.suite.sqltext import BOOKINGS
@@ -70,3 +75,35 @@ def booking_row_numbers(t: SampleTables) -> DataFrame:
 def booking_model_run(t: SampleTables) -> DataFrame:
     seeds = {**t.bookings(), "customers": t.booking_customers()}
     return run_models(t.spark, book.booking_models(), seeds, "tidemark_")["thirty_day_avg_cost"]
+
+
+_SHARED = "combined_bookings prepped_data hotel_count_by_day thirty_day_avg_cost".split()
+_CHANGED_SQL = " UNION ALL ".join(
+    f"""SELECT {run}::INTEGER AS run, '{model}' AS model, {built} AS built, (SELECT COUNT(*) FROM {source}{where}) AS row_count"""
+    for run, rebuilt in ((1, [*_SHARED, "customer"]), (2, []), (3, _SHARED))
+    for model, source in (
+        ("combined_bookings", "combined"), ("customer", "customers"), ("prepped_data", "prepped"), ("thirty_day_avg_cost", "prepped"),
+        ("hotel_count_by_day", "(SELECT DISTINCT booking_date, hotel FROM prepped WHERE {})"),
+    )
+    for built in ("true" if model in rebuilt else "false",)
+    for late in ("booking_date < DATE '1998-07-01'" if run == 3 else "true",)
+    for source, where in ((source.format(late), "") if "{}" in source else (source, "" if source == "customers" else f" WHERE {late}"),)
+)
+
+
+@query("booking_models_rebuilt", f"WITH {BOOKINGS} {_CHANGED_SQL}")
+def booking_models_rebuilt(t: SampleTables) -> DataFrame:
+    """Which models three runs build: a first one, one without changes, and one after the second seed was emptied."""
+    folder = posixpath.join(shared_folder(t.spark), f"tidemark_models_{uuid.uuid4().hex}")
+    seeds = {**{n: cut_lineage(df) for n, df in t.bookings().items()}, "customers": cut_lineage(t.booking_customers())}
+    emptied = {**seeds, "bookings_2": cut_lineage(seeds["bookings_2"].limit(0))}
+    found = []
+    for run, given in enumerate((seeds, seeds, emptied), 1):
+        frames, built = run_changed(t.spark, book.booking_models(), given, folder)
+        found += [
+            df.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(run).alias("run"), F.lit(name).alias("model"), F.lit(name in built).alias("built"), "row_count"
+            )
+            for name, df in frames.items()
+        ]
+    return reduce(DataFrame.unionAll, found)

@@ -10,10 +10,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import calendar_days, from_units, ratio_to_report
+from tidemark.operators.distinct import count_ids, id_parts
 from tidemark.operators.joins import calendar_spine
 from tidemark.operators.materialise import cut_lineage, shared_folder
 from tidemark.operators.profile import correlation_matrix, describe
-from tidemark.operators.sets import union_distinct
 from tidemark.operators.topk import top_k, top_k_per_group
 from tidemark.plans import features as feat
 from tidemark.plans.learning import (
@@ -21,7 +21,8 @@ from tidemark.plans.learning import (
     thresholds_udf,
 )
 from tidemark.plans.metrics import card_precision, performance_table, ranking_metrics
-from tidemark.plans.splits import delayed_split, study_window
+from tidemark.plans.splits import delayed_split, known_customers, study_window
+from tidemark.plans.trees import ensemble_sql, load_ensemble, score_by_trees
 from tidemark.sources.samples import SampleTables
 from tidemark.suite.base import query
 from tidemark.suite.sqltext import CUST_DAY, DAYS, TX, days, features, split_by_loop, term_day
@@ -87,6 +88,29 @@ def frauds_by_day(t: SampleTables) -> DataFrame:
     )
 
 
+_FRAUD_PARTS_SQL = f"""WITH {TX} SELECT CAST(date_trunc('{{unit}}', tx_datetime) AS DATE) AS {{unit}}, CAST(SUM(tx_fraud) AS BIGINT) AS nbr_fraud_trx,
+    COUNT(DISTINCT customer_id) AS nbr_fraud_card FROM tx WHERE tx_fraud = 1 GROUP BY 1"""
+
+
+def _frauds_from_days(t: SampleTables, unit: str) -> DataFrame:
+    """Frauds and fraud cards of longer periods, from stored days: counts and bitmaps of cards."""
+    frauds = t.transactions().filter(F.col("tx_fraud") == 1).withColumn("tx_date", F.to_date("tx_datetime"))
+    counts = cut_lineage(frauds.groupBy("tx_date").agg(F.sum("tx_fraud").alias("n")))
+    cards = cut_lineage(id_parts(frauds, ["tx_date"], "customer_id"))
+    period = F.to_date(F.date_trunc(unit, "tx_date")).alias(unit)
+    return counts.groupBy(period).agg(F.sum("n").alias("nbr_fraud_trx")).join(count_ids(cards, [period], "nbr_fraud_card"), unit)
+
+
+@query("frauds_by_week_from_days", _FRAUD_PARTS_SQL.format(unit="week"))
+def frauds_by_week_from_days(t: SampleTables) -> DataFrame:
+    return _frauds_from_days(t, "week")
+
+
+@query("frauds_by_month_from_days", _FRAUD_PARTS_SQL.format(unit="month"))
+def frauds_by_month_from_days(t: SampleTables) -> DataFrame:
+    return _frauds_from_days(t, "month")
+
+
 @query(
     "transaction_period",
     f"""WITH {TX} SELECT min(tx_datetime) AS end_date,
@@ -228,10 +252,7 @@ def split_summary(t: SampleTables) -> DataFrame:
     f"""WITH {TX}, {split_by_loop('tx', START_SQL)} SELECT DISTINCT customer_id FROM known_6""",
 )
 def known_defrauded_customers(t: SampleTables) -> DataFrame:
-    study_rows = study_window(t.transactions(), START).filter(F.col("tx_fraud") == 1)
-    train, _ = delayed_split(study_rows, START)
-    later = study_rows.filter(F.to_date("tx_datetime").between(F.lit(dt.date(2024, 1, 14)), F.lit(dt.date(2024, 1, 20))))
-    return union_distinct(train.select("customer_id"), later.select("customer_id"))
+    return known_customers(study_window(t.transactions(), START), START).select("customer_id")
 
 
 _CORR = [*feat.INPUT_FEATURES, "tx_fraud"]
@@ -319,11 +340,11 @@ def constant_score_metrics(t: SampleTables) -> DataFrame:
     return out.withColumns({c: F.round(c, 9) for c in ("auc_roc", "average_precision")})
 
 
-def _card_loop(days: int, k: int) -> str:
+def _card_loop(days: int, k: int, score: str = SCORE_SQL, source: str = "test") -> str:
     """Day after day: leave out cards found before, take the k best, note the frauds among them."""
     parts = [
-        f"""cards AS (SELECT tx_time_days, customer_id, max({SCORE_SQL}) AS score, max(tx_fraud) AS label
-          FROM test GROUP BY tx_time_days, customer_id)"""
+        f"""cards AS (SELECT tx_time_days, customer_id, max({score}) AS score, max(tx_fraud) AS label
+          FROM {source} GROUP BY tx_time_days, customer_id)"""
     ]
     found = "SELECT CAST(NULL AS BIGINT) AS customer_id WHERE false"
     for day in range(days):
@@ -398,6 +419,42 @@ def forest_performance(t: SampleTables) -> DataFrame:
     return performance_table(cut_lineage(scored), top_k=(K, 100))
 
 
+ENSEMBLE = load_ensemble(str(Path(__file__).with_name("tree_ensemble.json")))
+_SCORED_SQL = f"""{features(False)}, {split_by_loop('features', START_SQL)},
+    scored AS (SELECT transaction_id, tx_datetime, customer_id, terminal_id, tx_time_days, tx_fraud, {ensemble_sql(ENSEMBLE)} AS score FROM test)"""
+
+
+def _ensemble_test(t: SampleTables) -> DataFrame:
+    """Test rows of the delayed split with the score of the fixed ensemble."""
+    _, test = _split(t, cut_lineage(study_window(_features(t), START)))
+    return score_by_trees(test, ENSEMBLE)
+
+
+@query(
+    "ensemble_scores",
+    f"WITH {_SCORED_SQL} SELECT transaction_id, tx_datetime, customer_id, terminal_id, tx_fraud, round(score, 9) AS score FROM scored",
+)
+def ensemble_scores(t: SampleTables) -> DataFrame:
+    return _ensemble_test(t).select(*feat.KEYS, "tx_fraud", F.round("score", 9).alias("score"))
+
+
+@query(
+    "ensemble_performance",
+    f"""WITH {_SCORED_SQL}, {_card_loop(7, K, "score", "scored")},
+    g AS (SELECT score, SUM(tx_fraud) AS pos, COUNT(*) - SUM(tx_fraud) AS neg FROM scored GROUP BY score),
+    c AS (SELECT *, SUM(pos) OVER (ORDER BY score DESC) AS tp, SUM(neg) OVER (ORDER BY score DESC) AS fp,
+                 COALESCE(SUM(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,
+                 SUM(pos) OVER () AS p, SUM(neg) OVER () AS n FROM g)
+    SELECT round(SUM(CAST(pos AS DOUBLE) * (below + neg / 2.0)) / (max(CAST(p AS DOUBLE)) * max(n)), 3) AS auc_roc,
+           round(SUM(CAST(pos AS DOUBLE) / p * tp / (tp + fp)), 3) AS average_precision,
+           (SELECT round(avg(card_precision), 3) FROM ({_CARD_DAYS})) AS card_precision_{K}
+    FROM c""",
+)
+def ensemble_performance(t: SampleTables) -> DataFrame:
+    scored = _ensemble_test(t).select("customer_id", "tx_time_days", "tx_fraud", "score")
+    return performance_table(cut_lineage(scored), top_k=(K,))
+
+
 _RECENT_SQL = "tx_datetime > TIMESTAMP '2024-01-20 00:00:00'"
 
 

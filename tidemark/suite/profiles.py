@@ -8,12 +8,13 @@ from tidemark.operators import profile
 from tidemark.operators.running import group_quantiles
 from tidemark.plans import regression as reg
 from tidemark.plans.metrics import regression_metrics
-from tidemark.sources.samples import SampleTables
+from tidemark.sources.samples import CREDIT_CATEGORIES, CREDIT_NUMBERS, SampleTables
 from tidemark.suite.base import query
 from tidemark.suite.sqltext import CREDIT, SPEND
 
-CATEGORIES = ["purpose", "credit_standing", "housing"]
-NUMBERS = ["credit_amount", "age"]
+CATEGORIES = ["purpose", "credit_standing", "housing", *[name for name, *_ in CREDIT_CATEGORIES]]
+COUNTS = [name for name, *_ in CREDIT_NUMBERS]
+NUMBERS = ["credit_request_id", "credit_amount", *COUNTS, "age", "checking_balance", "savings_balance"]
 PREDICTORS = ["session_length", "time_on_app", "time_on_website", "membership_length"]
 FIVE = {"low": 0.0, "lower_quartile": 0.25, "median": 0.5, "upper_quartile": 0.75, "high": 1.0}
 FIXED_SQL = "(1500.0::DOUBLE * session_length + 100.0::DOUBLE * membership_length + 12.5::DOUBLE)"
@@ -24,8 +25,10 @@ def _fixed_line() -> Column:
     return F.col("session_length") * 1500.0 + F.col("membership_length") * 100.0 + 12.5
 
 
-_TYPES = {"credit_request_id": "bigint", "credit_amount": "double", "age": "int", "purpose": "string",
-          "credit_standing": "string", "housing": "string"}
+_TYPES = {
+    "credit_request_id": "bigint", "credit_amount": "double", **dict.fromkeys(COUNTS, "int"), "age": "int",
+    "checking_balance": "double", "savings_balance": "double", **dict.fromkeys(CATEGORIES, "string"),
+}
 
 
 @query(
@@ -44,7 +47,7 @@ def credit_table_profile(t: SampleTables) -> DataFrame:
     f"WITH {CREDIT} " + " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, COUNT({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
         CAST(min({c}) AS DOUBLE) AS min, CAST(max({c}) AS DOUBLE) AS max FROM credit"""
-        for c in ("credit_request_id", "credit_amount", "age")
+        for c in NUMBERS
     ),
 )
 def credit_statistics(t: SampleTables) -> DataFrame:
@@ -58,7 +61,8 @@ def credit_statistics(t: SampleTables) -> DataFrame:
     ),
 )
 def credit_category_counts(t: SampleTables) -> DataFrame:
-    return profile.category_counts(t.credit_files(), CATEGORIES)
+    """Every category column, found by its type."""
+    return profile.category_counts(t.credit_files())
 
 
 def _histogram_sql(table: str, columns: list[str], bins: int) -> str:
@@ -80,7 +84,8 @@ def _rounded(h: DataFrame) -> DataFrame:
 
 @query("credit_histograms", f"WITH {CREDIT} " + _histogram_sql("credit", NUMBERS, 10))
 def credit_histograms(t: SampleTables) -> DataFrame:
-    return _rounded(profile.histogram(t.credit_files(), NUMBERS))
+    """Every numeric column, found by its type."""
+    return _rounded(profile.histogram(t.credit_files()))
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidemark.sources.samples import CREDIT_CATEGORIES, CREDIT_NUMBERS
+
 TX = """tx AS (
   SELECT event_id AS transaction_id, ts AS tx_datetime, user_id AS customer_id,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS terminal_id,
@@ -153,9 +155,19 @@ prepped AS (
   SELECT a.id, first_name, last_name, birthdate, booking_reference, hotel, booking_date, cost
   FROM customers a JOIN combined b ON a.id = b.id)"""
 
-CREDIT = """credit AS (
-  SELECT c_custkey AS credit_request_id, c_acctbal AS credit_amount, c_nationkey AS age,
-         c_mktsegment AS purpose, r_name AS credit_standing, n_name AS housing
+_CREDIT_NUMBERS = ", ".join(
+    f"CAST({low} + c_custkey * {factor} % {width} AS INTEGER) AS {name}" for name, low, factor, width in CREDIT_NUMBERS
+)
+_CREDIT_CATEGORIES = ", ".join(
+    "CASE c_custkey // {} % {} {} END AS {}".format(
+        step, len(values), " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)), name
+    )
+    for name, step, values in CREDIT_CATEGORIES
+)
+CREDIT = f"""credit AS (
+  SELECT c_custkey AS credit_request_id, c_acctbal AS credit_amount, {_CREDIT_NUMBERS}, c_nationkey AS age,
+         c_acctbal - 500 AS checking_balance, abs(c_acctbal) / 2 AS savings_balance,
+         c_mktsegment AS purpose, r_name AS credit_standing, n_name AS housing, {_CREDIT_CATEGORIES}
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 MEMBERS = """members AS (

@@ -5,6 +5,7 @@ Files and tables get new names under the session's shared folder on every run.
 
 from __future__ import annotations
 
+import datetime as dt
 import posixpath
 import uuid
 
@@ -15,13 +16,15 @@ from tidemark.operators import materialise as mat, quality
 from tidemark.operators.filters import apply_filters
 from tidemark.plans.features import feature_table
 from tidemark.plans.models import SqlModel, publish_views
+from tidemark.plans.rollups import Rollup, month_counts, stored_months, temperature_counts, weekday_counts
 from tidemark.plans.trips import daily_rollup, month_rollup, trips_by_month, trips_by_month_stored, trips_by_weekday
 from tidemark.sources import files, schemas, tables
+from tidemark.sources.filestore import copy_store, query_store
 from tidemark.sources.samples import SampleTables
-from tidemark.streaming.refresh import read_rollup, refresh_daily_rollup
+from tidemark.streaming.refresh import compact, read_rollup, refresh_daily_rollup, refresh_rollup
 from tidemark.suite.base import query
 from tidemark.suite.reports import _WORKOUT, FILTERS
-from tidemark.suite.sqltext import BOOKINGS, MEMBERS, TX, features
+from tidemark.suite.sqltext import BOOKINGS, MEMBERS, TX, WEATHER, features
 
 
 def _new(t: SampleTables, name: str) -> tuple[str, str]:
@@ -201,12 +204,97 @@ def trips_by_month_from_stored_months(t: SampleTables) -> DataFrame:
     return trips_by_month_stored(mat.overwrite_table(month_rollup(t.trips()), name, path=folder))
 
 
+def _rollups(t: SampleTables, trips: DataFrame, **complete) -> list[Rollup]:
+    """Stored months and days of the trips; the months are added up from the days."""
+    name, folder = _new(t, "days")
+    days = mat.overwrite_table(daily_rollup(trips), name, path=folder)
+    name, folder = _new(t, "months")
+    return [Rollup("month", mat.overwrite_table(stored_months(days), name, path=folder), **complete), Rollup("day", days, **complete)]
+
+
+_BY_MONTH = "SELECT COUNT(*) AS trip_count, strftime({ts}, '%b') AS month FROM {table} {where} GROUP BY month({ts}), 2"
+_LONG_RANGE = ("1994-02-17 00:00:01", "1998-11-30 23:59:59")
+_TIMED_RANGE = ("2024-01-03 07:13:21.5", "2024-01-27 18:45:09.25")
+
+
+def _between(column: str, bounds: tuple[str, str]) -> str:
+    return f"WHERE {column} BETWEEN TIMESTAMP '{bounds[0]}' AND TIMESTAMP '{bounds[1]}'"
+
+
+@query("trips_by_month_cover", _BY_MONTH.format(ts="o_orderdate", table="orders", where=_between("o_orderdate", _LONG_RANGE)))
+def trips_by_month_cover(t: SampleTables) -> DataFrame:
+    """Whole months, the days around them and two raw edges; no rollup is named."""
+    return month_counts(t.trips(), _rollups(t, t.trips()), *_LONG_RANGE)
+
+
+@query("trips_by_month_cover_all", _BY_MONTH.format(ts="o_orderdate", table="orders", where=""))
+def trips_by_month_cover_all(t: SampleTables) -> DataFrame:
+    return month_counts(t.trips(), _rollups(t, t.trips()))
+
+
+@query("trips_by_month_cover_stale", _BY_MONTH.format(ts="o_orderdate", table="orders", where=_between("o_orderdate", _LONG_RANGE)))
+def trips_by_month_cover_stale(t: SampleTables) -> DataFrame:
+    """The rollups were stored in the middle of June 1997; later times come from the trips."""
+    stored = dt.datetime(1997, 6, 15, 11)
+    known = t.trips().filter(F.col("starttime") < F.lit(str(stored)).cast("timestamp_ntz"))
+    return month_counts(t.trips(), _rollups(t, known, complete_to=stored), *_LONG_RANGE)
+
+
+@query("timed_trips_by_month_cover", _BY_MONTH.format(ts="ts", table="events", where=_between("ts", _TIMED_RANGE)))
+def timed_trips_by_month_cover(t: SampleTables) -> DataFrame:
+    return month_counts(t.timed_trips(), _rollups(t, t.timed_trips()), *_TIMED_RANGE)
+
+
+@query(
+    "trips_by_weekday_cover",
+    f"SELECT COUNT(*) AS trip_count, strftime(ts, '%a') AS day_of_week FROM events {_between('ts', _TIMED_RANGE)} GROUP BY 2",
+)
+def trips_by_weekday_cover(t: SampleTables) -> DataFrame:
+    return weekday_counts(t.timed_trips(), _rollups(t, t.timed_trips()), *_TIMED_RANGE)
+
+
+@query(
+    "trips_by_temperature_cover",
+    f"""WITH {WEATHER} SELECT round(temp_avg_f, -1) AS temp, COUNT(*) AS trip_count
+    FROM orders JOIN weather ON date_trunc('day', o_orderdate) = observation_date {_between("o_orderdate", _LONG_RANGE)} GROUP BY 1""",
+)
+def trips_by_temperature_cover(t: SampleTables) -> DataFrame:
+    return temperature_counts(t.trips(), t.weather(), _rollups(t, t.trips()), *_LONG_RANGE)
+
+
 @query("stored_feature_table", f"WITH {features(False)} SELECT * FROM features")
 def stored_feature_table(t: SampleTables) -> DataFrame:
     name, folder = _new(t, "features")
     return mat.write_sorted(feature_table(t.transactions(), per_one=100), name, "tx_datetime", path=folder)
 
 
+_STORE_SQL = """SELECT o_orderkey, o_orderdate, o_orderpriority, o_totalprice FROM {source}
+    WHERE o_orderdate >= TIMESTAMP_NTZ'1996-03-01 00:00:00' AND o_orderdate < TIMESTAMP_NTZ'1996-06-01 00:00:00'
+    AND o_orderstatus IN ('F', 'P') AND o_totalprice > 1000"""
+_STORE_CHECK = _STORE_SQL.replace("TIMESTAMP_NTZ", "TIMESTAMP ").replace("{source}", "orders")
+
+
+def _order_store(t: SampleTables) -> tuple[str, StructType]:
+    """All orders as a store outside the catalog, laid out by date."""
+    _, folder = _new(t, "store")
+    orders = t.table("orders")
+    laid = orders.repartitionByRange(8, "o_orderdate", "o_orderkey").sortWithinPartitions("o_orderdate")
+    laid.write.option("parquet.block.size", 1 << 20).parquet(folder)
+    return folder, orders.schema
+
+
+@query("store_pushed_query", _STORE_CHECK)
+def store_pushed_query(t: SampleTables) -> DataFrame:
+    """A connector read whose filters the source answers."""
+    return query_store(t.spark, *_order_store(t), _STORE_SQL)
+
+
+@query("store_copy", _STORE_CHECK)
+def store_copy(t: SampleTables) -> DataFrame:
+    name, folder = _new(t, "copied")
+    return copy_store(t.spark, *_order_store(t), _STORE_SQL, name, folder)
+
+
 @query("table_snapshot", "SELECT * FROM customer")
 def table_snapshot(t: SampleTables) -> DataFrame:
     name, folder = _new(t, "customers")
@@ -252,3 +340,20 @@ def incremental_trip_rollup(t: SampleTables) -> DataFrame:
         part.write.mode("append").parquet(f"{folder}/in")
         refresh_daily_rollup(t.spark, f"{folder}/in", trips.schema, f"{folder}/rollup", f"{folder}/progress")
     return read_rollup(t.spark, f"{folder}/rollup")
+
+
+@query(
+    "incremental_month_rollup",
+    """SELECT COUNT(*) AS trip_count, strftime(o_orderdate, '%b') AS month, min(o_orderdate) AS starttime
+    FROM orders GROUP BY 2""",
+)
+def incremental_month_rollup(t: SampleTables) -> DataFrame:
+    """Trips arrive with the latest years first; the rollup is compacted after the second of three loads."""
+    _, folder = _new(t, "month_arrivals")
+    trips, year = t.trips(), F.year("starttime")
+    for number, part in enumerate((year >= 1997, year.between(1994, 1996), F.coalesce(year < 1994, F.lit(True)))):
+        trips.filter(part).write.mode("append").parquet(f"{folder}/in")
+        refresh_rollup(t.spark, f"{folder}/in", trips.schema, f"{folder}/rollup", f"{folder}/progress", "month")
+        if number == 1:
+            compact(t.spark, f"{folder}/rollup", "month")
+    return read_rollup(t.spark, f"{folder}/rollup", "month").select("trip_count", "month", "starttime")

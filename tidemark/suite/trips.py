@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.functions import day_of_week, day_start
+from tidemark.functions import day_of_week, day_start, random_day_range, random_days
+from tidemark.operators.distinct import count_ids, id_parts, numbered
 from tidemark.operators.joins import join_by_day
+from tidemark.operators.materialise import cut_lineage
 from tidemark.plans import trips as trip
 from tidemark.sources.samples import SampleTables
 from tidemark.suite.base import query
@@ -137,3 +141,64 @@ def trip_days_and_counts(t: SampleTables) -> DataFrame:
     return t.timed_trips().groupBy(
         day_start("starttime").alias("day"), day_of_week("starttime").alias("weekday")
     ).agg(F.count(F.lit(1)).alias("trip_count"))
+
+
+@query(
+    "riders_by_month_from_days",
+    "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(DISTINCT o_custkey) AS riders FROM orders GROUP BY 1",
+)
+def riders_by_month_from_days(t: SampleTables) -> DataFrame:
+    """Distinct bikes per month, from bitmaps stored per day."""
+    days = cut_lineage(id_parts(t.trips(), [F.to_date("starttime").alias("day")], "bikeid"))
+    return count_ids(days, [F.to_date(F.date_trunc("month", "day")).alias("month")], "riders")
+
+
+@query(
+    "rider_names_by_year_from_months",
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(DISTINCT c_name) AS riders
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
+)
+def rider_names_by_year_from_months(t: SampleTables) -> DataFrame:
+    """Distinct texts per year, numbered once, from bitmaps stored per month."""
+    names = t.table("customer").select(F.col("c_custkey").alias("bikeid"), F.col("c_name").alias("name"))
+    numbers = cut_lineage(numbered(names, "name"))
+    named = t.trips().join(names, "bikeid").join(numbers, "name")
+    months = cut_lineage(id_parts(named, [F.trunc(F.to_date("starttime"), "month").alias("month")], "number"))
+    return count_ids(months, [F.year("month").alias("year")], "riders")
+
+
+# Random ranges: days drawn by (seed, request), the earlier one first ------------------------
+
+SEED, EARLIEST, LATEST = 2020, dt.date(1995, 5, 1), dt.date(1998, 5, 1)
+
+
+def _drawn_sql(key: str, draw: int) -> str:
+    digits = f"('0x' || substr(md5('{SEED}|{draw}|' || {key}), 1, 13))::BIGINT"
+    return f"CAST(DATE '{EARLIEST}' + CAST(floor({digits} / 4503599627370496.0::DOUBLE * {(LATEST - EARLIEST).days + 1}) AS INTEGER) AS DATE)"
+
+
+@query(
+    "random_request_ranges",
+    f"""SELECT c_custkey AS request, strftime(least({_drawn_sql("c_custkey", 0)}, {_drawn_sql("c_custkey", 1)}), '%m/%d/%Y') AS start_range,
+    strftime(greatest({_drawn_sql("c_custkey", 0)}, {_drawn_sql("c_custkey", 1)}), '%m/%d/%Y') AS end_range FROM customer""",
+)
+def random_request_ranges(t: SampleTables) -> DataFrame:
+    """One random range per request, as a user would type it."""
+    requests = t.table("customer").select(F.col("c_custkey").alias("request"))
+    drawn = requests.withColumn("r", random_days(SEED, EARLIEST, LATEST, "request"))
+    return drawn.select(
+        "request", F.date_format("r.start_day", "MM/dd/yyyy").alias("start_range"), F.date_format("r.end_day", "MM/dd/yyyy").alias("end_range")
+    )
+
+
+@query(
+    "trips_by_month_random_range",
+    _MONTHS.format(
+        count="COUNT(*)", ts="o_orderdate", table="orders",
+        where=f"""WHERE o_orderdate BETWEEN least({_drawn_sql("'7'", 0)}, {_drawn_sql("'7'", 1)})
+        AND greatest({_drawn_sql("'7'", 0)}, {_drawn_sql("'7'", 1)})""",
+    ),
+)
+def trips_by_month_random_range(t: SampleTables) -> DataFrame:
+    """The counts of request 7, whose bounds are drawn before the scan."""
+    return trip.trips_by_month(t.trips(), *random_day_range(SEED, EARLIEST, LATEST, 7))
