@@ -29,8 +29,8 @@ from tidemark.operators.materialise import cut_lineage
 
 WINDOW = 4096
 END = 2
-#: Parts of texts remembered by a worker; only a cache, emptied when it is full.
-REMEMBERED = 800_000
+#: Bytes that a worker's remembered parts may take, and what a part takes besides its letters and ids.
+REMEMBERED_BYTES, PART_BYTES = 64 << 20, 200
 
 #: The parts that the vocabulary's own pattern finds in a lower-cased chunk of plain letters.
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
@@ -38,19 +38,53 @@ _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-
 _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 
 
+class Parts(dict):
+    """Ids of parts as bytes, worked out when first asked for.
+
+    When half of ``most`` bytes are held, they become the older half, and the half before them is
+    forgotten; what is asked for again moves to the younger half.  So memory is bounded and frequent
+    parts stay.
+    """
+
+    def __init__(self, ids_of, most: int):
+        super().__init__()
+        self.ids_of, self.most, self.held, self.older = ids_of, most, 0, {}
+
+    def __missing__(self, part: str) -> bytes:
+        found = self.older.get(part)
+        if found is None:
+            found = self.ids_of(part)
+        if 2 * self.held > self.most:
+            self.older = dict(self)
+            self.clear()
+            self.held = 0
+        self[part] = found
+        self.held += len(part) + len(found) + PART_BYTES
+        return found
+
+
 class Tokens:
     """Ids of texts as little-endian 32-bit bytes, by the ``tokenizers`` library, part by part.
 
     The vocabulary splits at white space and then by its pattern before anything else, so a text's
-    ids are those of its parts, and distinct parts are encoded once.  Texts with other letters, and
-    chunks that may hold a special token, are left to the library in blank-separated chunks.
+    ids are those of its parts, and a part goes straight to the library's model, its letters written
+    as that model spells bytes.  Texts with other letters, and chunks that may hold a special token, are
+    left to the whole library in blank-separated chunks.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = REMEMBERED_BYTES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        spelt = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.letters = {ord(c): spelt(c)[0][0] for c in map(chr, range(33, 256)) if _PLAIN.fullmatch(c)}
+        self.parts = Parts(self._ids, most)
+
+    def _ids(self, part: str) -> bytes:
+        if "<|" not in part and _PLAIN.fullmatch(part):
+            return array("I", [t.id for t in self.model.tokenize(part.translate(self.letters))]).tobytes()
+        return array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
 
     def split(self, text: str | None) -> list[str]:
         if not text:
@@ -68,15 +102,8 @@ class Tokens:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
-        split = [self.split(t) for t in texts]
-        wanted = set().union(*split)
-        if len(self.parts) > REMEMBERED:
-            self.parts = {}
-        new = list(wanted.difference(self.parts))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.parts.update((p, array("I", e.ids).tobytes()) for p, e in zip(new, found))
         get = self.parts.__getitem__
-        return [b"".join(map(get, own)) for own in split]
+        return [b"".join(map(get, self.split(t))) for t in texts]
 
 
 _tokens: dict[str, Tokens] = {}
