@@ -32,6 +32,12 @@ def test_filters_in_order(members):
     assert rows(filters.apply_filters(members, SPEC)) == [(True, 2), (True, 4)]
 
 
+def test_statement_texts_run_as_they_are(spark, members):
+    steps = filters.statement_texts("{members}", SPEC)
+    assert [(number, label) for number, label, _ in steps] == [(1, "Original data"), (2, "Filter: 'Current'"), (3, "Filter: 'Tenure'")]
+    assert [spark.sql(text, members=members).count() for _, _, text in steps] == [6, 4, 2]
+
+
 def test_funnel_equals_counting_each_step(members):
     got = filters.filter_funnel(members, SPEC).orderBy("step").collect()
     steps = [filters.apply_filters(members, SPEC[:n]).count() for n in (0, 1, 3)]

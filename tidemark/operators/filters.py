@@ -60,6 +60,12 @@ class FilterSpec:
             return F.col(self.column).between(low, high)
         return F.col(self.column) == F.lit(self.value)
 
+    def text(self) -> str:
+        """The predicate as SQL text."""
+        if self.kind == "range":
+            return "{} BETWEEN {!r} AND {!r}".format(self.column.lower(), *self.value)
+        return f"{self.column.lower()} = {str(self.value).lower()}"
+
 
 def enabled_filters(filters: Sequence[FilterSpec]) -> list[FilterSpec]:
     return [f for f in filters if f.enabled]
@@ -131,3 +137,16 @@ def statement_sequence(df: DataFrame, filters: Sequence[FilterSpec]) -> list[tup
         (i + 1, label, plan_text(step))
         for i, (label, step) in enumerate(zip(step_labels(filters), steps))
     ]
+
+
+def statement_texts(relation: str, filters: Sequence[FilterSpec]) -> list[tuple[int, str, str]]:
+    """(number, label, SQL text) for the table after each step, each built on the one before.
+
+    The texts run as they are where ``relation`` names a table, or as ``{relation}`` where a frame is passed.
+    """
+    text, out = f"SELECT * FROM {relation}", []
+    for number, (label, spec) in enumerate(zip(step_labels(filters), [None, *enabled_filters(filters)]), 1):
+        if spec is not None:
+            text = f"SELECT * FROM ({text}) WHERE {spec.text()}"
+        out.append((number, label, text))
+    return out
