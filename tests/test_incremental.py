@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import random_day_range, random_days, uniform, uniform_value
 from tidemark.operators.distinct import count_ids, id_parts, merge_parts, numbered
-from tidemark.operators.materialise import delete_folder, shared_folder
+from tidemark.operators.materialise import cut_lineage, delete_folder, release_stored, shared_folder, stored_so_far
 from tidemark.plans.models import Model, input_fingerprint, plan_fingerprint, run_changed
 from tidemark.plans.trips import daily_rollup, month_rollup
 from tidemark.streaming import refresh
@@ -177,6 +177,16 @@ def test_random_ranges_are_ordered_and_within_bounds(spark):
 # -- intermediate results ----------------------------------------------------------------------
 
 
+def test_release_leaves_what_is_needed(spark):
+    before = cut_lineage(spark.range(3))
+    mark = stored_so_far(spark)
+    cut_lineage(spark.range(4)), cut_lineage(spark.range(6))
+    result = cut_lineage(spark.range(5))
+    assert release_stored(spark, mark, keep=result) == 2
+    assert before.count() == 3 and result.count() == 5
+    assert release_stored(spark, mark) == 1 and before.count() == 3
+
+
 def test_a_cluster_needs_a_shared_folder():
     class Conf:
         def get(self, key, default=None):

@@ -125,12 +125,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_stored(spark: SparkSession) -> int:
+def stored_so_far(spark: SparkSession) -> int:
+    """How many frames ``cut_lineage`` has stored for this application; a mark for ``release_stored``."""
+    return len(_STORED.get(spark.sparkContext.applicationId, []))
+
+
+def release_stored(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> int:
     """Delete what ``cut_lineage`` has stored for this application; the number of folders.
 
-    Call it when the results that were built on them have been written.
+    Call it when the results that were built on them have been written.  ``since`` (see ``stored_so_far``)
+    leaves what was stored before a job began, ``keep`` the frame that the job returns.
     """
-    paths = _STORED.pop(spark.sparkContext.applicationId, [])
-    for path in paths:
+    paths = _STORED.get(spark.sparkContext.applicationId, [])
+    needed = set() if keep is None else {posixpath.basename(posixpath.dirname(f)) for f in keep.inputFiles()}
+    gone = [p for p in paths[since:] if posixpath.basename(p) not in needed]
+    _STORED[spark.sparkContext.applicationId] = [p for p in paths if p not in set(gone)]
+    for path in gone:
         delete_folder(spark, path)
-    return len(paths)
+    return len(gone)
