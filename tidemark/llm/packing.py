@@ -238,7 +238,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end: int = END, with_
         rows, "length bigint, rank_from bigint, rank_to bigint, first_sequence bigint, each bigint, base bigint"
     )
     ranked = (
-        pieces.join(per_task.drop("n"), ["whole", "length", "task"])
+        # The counts grow with the tasks, so they are shuffled; a key has the pieces of one task at most.
+        pieces.join(per_task.drop("n").hint("merge"), ["whole", "length", "task"])
         .withColumn("place", F.col("before") + F.col("rank"))
     )
     output = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *["ids"] * with_ids]
