@@ -4,7 +4,8 @@ Everything is a column expression.  Per kind, one regular expression cuts the te
 between its matches (``split``) and gives the matches (``regexp_extract_all``); running lengths turn
 them into code-point positions.  Patterns are written so that they never scan a run of characters
 twice: possessive groups, and a look-behind that lets a match begin only at the start of a run or
-where the previous match ended.
+where the previous match ended.  Running lengths are added up in blocks, and the context of a span is put
+together from the pieces around it, so the time for one text follows its length and its matches.
 """
 
 from __future__ import annotations
@@ -16,8 +17,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 #: Characters around a span that are searched for context words.
 CONTEXT = 40
+#: Pieces on either side that hold the context for sure: a match and the gap before it have 3 characters or more.
+NEAR_PIECES = CONTEXT // 3 + 1
 #: Extra kinds need this score; base kinds stay at any score.
 LEAST_SCORE = 0.5
+#: Elements whose running sums are worked out together, and characters of a text that are cut off at a time.
+BLOCK, CHUNK = 64, 1024
 
 
 @dataclass(frozen=True)
@@ -88,41 +93,61 @@ KINDS = (
 _SPAN = "struct<kind:string,place:int,start:int,end:int,score:double,base:boolean>"
 
 
-def _positions(text: Column, kind: Kind) -> Column:
-    """Array of (start, value) of all matches of the kind's pattern; start in code points from 0."""
-    values = F.regexp_extract_all(text, F.lit(kind.pattern), 0)
-    between = F.split(text, kind.pattern, -1)
-    found = F.aggregate(
-        F.arrays_zip(F.transform(between, F.length).alias("gap"), values.alias("value")),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,value:string>>").alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + F.coalesce(F.length(x["value"]), F.lit(0))).alias("at"),
-            F.when(x["value"].isNull(), a["out"]).otherwise(
-                F.concat(a["out"], F.array(F.struct((a["at"] + x["gap"]).alias("start"), x["value"].alias("value"))))
-            ).alias("out"),
-        ),
-        lambda a: a["out"],
-    )
-    return found
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(numbers: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each element all elements before it combined, from 0 on; in blocks, so never all pairs of elements."""
+    fold = lambda part: F.aggregate(part, F.lit(0), combine)
+
+    def of_blocks(blocks: Column) -> Column:
+        return _let(F.transform(blocks, fold), lambda sums: F.flatten(F.transform(blocks, lambda block, i: _let(
+            fold(F.slice(sums, F.lit(1), i)),
+            lambda start: F.transform(block, lambda x, j: combine(start, fold(F.slice(block, F.lit(1), j)))),
+        ))))
+
+    def of_all(every: Column) -> Column:
+        last = F.floor((F.size(every) - 1) / BLOCK).cast("int")
+        return of_blocks_once(F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda b: F.slice(every, b * BLOCK + 1, F.lit(BLOCK))
+        ))
+
+    of_blocks_once = lambda blocks: _let(blocks, of_blocks)
+    return _let(numbers, of_all)
 
 
 def _spans(text: Column, place: int, kind: Kind) -> Column:
     none = F.array().cast(f"array<{_SPAN}>")
-
-    def span(x: Column) -> Column:
-        start, length = x["start"], F.length(x["value"])
-        first = F.greatest(start - CONTEXT, F.lit(0))
-        before = F.substr(text, first + 1, start - first)
-        after = F.substr(text, start + length + 1, F.lit(CONTEXT))
-        near = F.lower(F.concat(before, F.lit(" "), after)).rlike(kind.context)
-        return F.struct(
+    keep = F.lit(CONTEXT)
+
+    def of_pieces(pieces: Column) -> Column:
+        """``pieces``: (gap, value) in order; the last gap has no value."""
+        size = lambda x: F.coalesce(F.length(x["value"]), F.lit(0))
+        lengths = F.transform(pieces, lambda x: F.length(x["gap"]) + size(x))
+        return _let(_running(lengths, lambda a, b: a + b), lambda before: F.filter(
+            F.transform(pieces, lambda x, i: span(pieces, x, i, F.get(before, i) + F.length(x["gap"]))),
+            lambda s: s.isNotNull(),
+        ))
+
+    def span(pieces: Column, x: Column, i: Column, start: Column) -> Column:
+        first = F.greatest(i - NEAR_PIECES, F.lit(0))
+        left = F.transform(F.slice(pieces, first + 1, i - first), lambda p: F.concat(F.right(p["gap"], keep), p["value"]))
+        right = F.transform(
+            F.slice(pieces, i + 2, F.lit(NEAR_PIECES)), lambda p: F.concat(F.left(p["gap"], keep), F.coalesce(p["value"], F.lit("")))
+        )
+        before = F.right(F.concat(F.array_join(left, ""), F.right(x["gap"], keep)), keep)
+        near = F.lower(F.concat(before, F.lit(" "), F.left(F.array_join(right, ""), keep))).rlike(kind.context)
+        found = F.struct(
             F.lit(kind.name).alias("kind"), F.lit(place).alias("place"), start.alias("start"),
-            (start + length).alias("end"), (F.lit(kind.score) + F.when(near, 0.2).otherwise(0.0)).alias("score"),
+            (start + F.length(x["value"])).alias("end"), (F.lit(kind.score) + F.when(near, 0.2).otherwise(0.0)).alias("score"),
             F.lit(kind.base).alias("base"),
         ).cast(_SPAN)
+        return F.when(x["value"].isNotNull() & kind.valid(x["value"]), found)
 
-    valid = F.filter(_positions(text, kind), lambda x: kind.valid(x["value"]))
-    spans = F.transform(valid, span)
+    values = F.regexp_extract_all(text, F.lit(kind.pattern), 0)
+    spans = _let(F.arrays_zip(F.split(text, kind.pattern, -1).alias("gap"), values.alias("value")), of_pieces)
     if not kind.base:
         spans = F.filter(spans, lambda s: s["score"] >= LEAST_SCORE)
     return F.when(text.rlike(kind.hint), spans).otherwise(none)
@@ -178,15 +203,21 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "<{}>") -> DataFrame
     found = personal_data(docs, text, "__pii")
     body = F.col(text)
     label = lambda s: F.element_at(F.array(*[F.lit(mark.format(k.upper())) for k in kinds]), s["place"] + 1)
-    done = F.aggregate(
-        "__pii", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
-        lambda a, s: F.when(s["end"] <= a["at"], a).otherwise(F.struct(
-            s["end"].alias("at"),
-            F.concat(a["out"], F.array(
-                F.substr(body, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))), label(s)
-            )).alias("out"),
-        )),
-        lambda a: F.concat(F.array_join(a["out"], ""), F.substr(body, a["at"] + 1, F.length(body))),
-    )
-    changed = F.when(F.size("__pii") > 0, done).otherwise(body)
-    return found.withColumn(text, changed).select(*docs.columns)
+
+    def done(spans: Column, chunks: Column, ends: Column) -> Column:
+        """``ends``: for each span how far the spans before it reach."""
+        def part(low: Column, high: Column) -> Column:
+            first = F.floor(low / CHUNK).cast("int")
+            own = F.slice(chunks, first + 1, F.floor((high - 1) / CHUNK).cast("int") - first + 1)
+            return F.when(high <= low, F.lit("")).otherwise(F.substr(F.array_join(own, ""), low - first * CHUNK + 1, high - low))
+
+        marked = F.transform(spans, lambda s, i: _let(F.get(ends, i), lambda at: F.when(
+            s["end"] > at, F.concat(part(at, F.greatest(s["start"], at)), label(s))
+        ).otherwise(F.lit(""))))
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(marked, ""), part(last, F.length(body)))
+
+    changed = _let(F.regexp_extract_all(body, F.lit(f"(?s).{{1,{CHUNK}}}"), 0), lambda chunks: _let(
+        _running(F.transform("__pii", lambda s: s["end"]), lambda a, b: F.greatest(a, b)), lambda ends: done(F.col("__pii"), chunks, ends)
+    ))
+    return found.withColumn(text, F.when(F.size("__pii") > 0, changed).otherwise(body)).select(*docs.columns)
