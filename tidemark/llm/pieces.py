@@ -8,12 +8,15 @@ merges its leftmost non-overlapping occurrences at once, and compacts the array.
 
 Merging several occurrences at once equals merging one by one unless the new symbol could form a
 pair that scores at least as well; for those pairs (a table, made from the vocabulary) a round
-merges the leftmost occurrence only.
+merges the leftmost occurrence only.  A run of many letters without a cut could take a round for each of
+its pairs; segments of more than LONG symbols are merged pair by pair from a queue instead, in the same
+order, so the time for any text follows its length.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from itertools import chain
 
@@ -28,6 +31,8 @@ _NONE = np.int32(np.iinfo(np.int32).max)
 #: Segments remembered between slices; only a cache, emptied when it is full.
 REMEMBERED = 150_000
 SLICE = 1 << 22
+#: Symbols of a segment that merge rounds take on; longer ones are merged from a queue.
+LONG = 256
 
 
 class Vocabulary:
@@ -66,7 +71,7 @@ class Vocabulary:
         for part in (keys >> 32, keys & 0xFFFFFFFF):
             np.minimum.at(best, part, rank[merged])
         self.alone = best <= rank  # merge one occurrence at a time when this piece arises
-        self.rank, self.size = rank, n
+        self.rank, self.ranks, self.size, self.pairs = rank, rank.tolist(), n, pairs
         self._table(keys, merged)
 
     def _table(self, keys: np.ndarray, merged: np.ndarray) -> None:
@@ -116,6 +121,14 @@ class Vocabulary:
         symbol = known[back].astype(np.int32) if len(back) else np.empty(0, np.int32)
         owner = np.repeat(np.arange(n), lengths)
         done_symbols, done_owners = [], []
+        long, ends = np.flatnonzero(lengths > LONG), np.cumsum(lengths)
+        for i in long.tolist():
+            merged = self._merge_long(symbol[ends[i] - lengths[i]:ends[i]].tolist())
+            done_symbols.append(np.array(merged, np.int32))
+            done_owners.append(np.full(len(merged), i))
+        if len(long):
+            rest = lengths[owner] <= LONG
+            symbol, owner = symbol[rest], owner[rest]
         while len(symbol):
             inside = np.flatnonzero((owner[1:] == owner[:-1]) & (symbol[1:] < self.size) & (symbol[:-1] < self.size))
             merged = self.merge_of(symbol[inside], symbol[inside + 1])
@@ -151,6 +164,33 @@ class Vocabulary:
         order = np.argsort(owner, kind="stable")
         return self._with_bytes(symbol[order], owner[order], chars, n)
 
+    def _merge_long(self, symbols: list[int]) -> list[int]:
+        """The symbols of one segment after all merges, best pair first and of equal ones the leftmost."""
+        n, pairs, rank = len(symbols), self.pairs, self.ranks
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        queue: list[tuple[int, int, int, int]] = []
+
+        def offer(left: int, right: int) -> None:
+            merged = pairs.get(symbols[left] << 32 | symbols[right])
+            if merged is not None:
+                heapq.heappush(queue, (rank[merged], left, right, merged))
+
+        for i in range(n - 1):
+            offer(i, i + 1)
+        while queue:
+            _, left, right, merged = heapq.heappop(queue)
+            # The entry may be old: either symbol may have been merged away or changed since.
+            if symbols[left] < 0 or after[left] != right or pairs.get(symbols[left] << 32 | symbols[right]) != merged:
+                continue
+            symbols[left], symbols[right] = merged, -1
+            after[left] = follow = after[right]
+            if follow < n:
+                before[follow] = left
+                offer(left, follow)
+            if before[left] >= 0:
+                offer(before[left], left)
+        return [s for s in symbols if s >= 0]
+
     def _with_bytes(self, symbol, owner, chars, n) -> tuple[np.ndarray, np.ndarray]:
         """Replace characters without a piece by the pieces of their UTF-8 bytes."""
         odd = np.flatnonzero(symbol >= self.size)
