@@ -60,24 +60,25 @@ def _covered(twice: Column, window: int) -> Column:
     )
 
 
-def statistics(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def statistics(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id and the statistics of each whole text; null texts count as empty.
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words as counts, and the shares of FEATURES.
-    Runs of words are compared by 64-bit hashes.  Repeated rows get equal rows; other columns go.
+    Runs of words are compared by 64-bit hashes.  Repeated rows get equal rows; of the other columns those
+    in ``carry`` stay, whose names must differ from all these.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     words = F.array_remove(F.split(text, BLANK), "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     without = lambda chars: F.length("__text") - F.length(F.regexp_replace("__text", chars, ""))
-    parted = docs.select("doc_id", text.alias("__text"), words.alias("__words"), lines.alias("__lines"))
+    parted = docs.select("doc_id", *carry, text.alias("__text"), words.alias("__words"), lines.alias("__lines"))
     # One step per column that an expression reads more than once, so that each is computed once.
     runs = parted.withColumn("__runs", _runs(F.col("__words"), window))
     repeated = F.size(F.array_distinct("__runs")) < F.size("__runs")
     pairs = F.transform("__runs", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
     parted = runs.withColumn("__placed", F.when(repeated, F.array_sort(pairs)))
     counted = parted.select(
-        "doc_id",
+        "doc_id", *carry,
         F.size("__words").cast("bigint").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("bigint").alias("word_chars"),
         without(r"[#*$%&|<>]").cast("bigint").alias("n_symbols"),
@@ -163,46 +164,59 @@ def _prune(conditions: tuple, rows: list[dict], good: bool) -> tuple:
     return best
 
 
+def _candidate(left: list[dict], cuts: dict[str, list[float]], good: bool) -> tuple[float, Rule] | None:
+    """The next rule for one class and what it gains (in bits); None if there is no rule sure enough."""
+    grown_on, other = [r for r in left if r["part"] < 2], [r for r in left if r["part"] == 2]
+    all_right, all_wrong = _weight(left, good)
+    if _weight(grown_on, good)[0] < SUPPORT:
+        return None
+    conditions = _grow(grown_on, cuts, good)
+    for own in dict.fromkeys((_prune(conditions, other, good), conditions) if conditions else ()):
+        right, wrong = _weight([r for r in left if Rule(own, good).covers(r)], good)
+        # Sure enough: right nearly always, and wrong at most half as often as the class is among what is left.
+        sure = right >= PRECISION * (right + wrong) and 2 * wrong * (all_right + all_wrong) <= all_wrong * (right + wrong)
+        if right >= SUPPORT and sure:
+            return right * (math.log2(right / (right + wrong)) - math.log2(all_right / (all_right + all_wrong))), Rule(own, good)
+    return None
+
+
 def cover(rows: Sequence[dict], cuts: dict[str, list[float]]) -> list[Rule]:
-    """Rules that reject, in order, by sequential covering; what no rule covers is kept.
+    """An ordered list of rules by sequential covering; the first that covers a text decides, the rest is kept.
 
-    ``rows`` hold the statistics, ``cell`` (grid cell per statistic), ``label`` (good or not), ``n``
-    (how many texts), and ``part`` (0 to 2; part 2 is not grown on).
+    Each step grows a rule for either class and takes the one that gains more, so a rule that keeps can
+    stand before one that would reject too much.  ``rows`` hold the statistics, ``cell`` (grid cell per
+    statistic), ``label`` (good or not), ``n`` (how many texts), and ``part`` (0 to 2; part 2 is not grown on).
+    Rules that keep at the end of the list change nothing and are left out.
     """
     rules: list[Rule] = []
     left = list(rows)
     while len(rules) < MAX_RULES:
-        grown_on, other = [r for r in left if r["part"] < 2], [r for r in left if r["part"] == 2]
-        if _weight(grown_on, False)[0] < SUPPORT:
-            break
-        conditions = _grow(grown_on, cuts, False)
-        if not conditions:
-            break
-        rule = Rule(_prune(conditions, other, False), False)
-        right, wrong = _weight([r for r in left if rule.covers(r)], False)
-        if right < PRECISION * (right + wrong):
-            rule = Rule(conditions, False)
-            right, wrong = _weight([r for r in left if rule.covers(r)], False)
-        if right < SUPPORT or right < PRECISION * (right + wrong):
+        found = [c for c in (_candidate(left, cuts, good) for good in (False, True)) if c]
+        if not found:
             break
+        rule = max(found, key=lambda c: c[0])[1]
         rules.append(rule)
         left = [r for r in left if not rule.covers(r)]
+    while rules and rules[-1].good:
+        rules.pop()
     return rules
 
 
+def _known(labels: DataFrame, label: str) -> DataFrame:
+    """The ids with a label 0 or 1; of several labels the smallest counts."""
+    return labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id").agg(F.min(label).alias("__label"))
+
+
 def learn(measured: DataFrame, labels: DataFrame, label: str = "quality", most: int = LEARN_ROWS) -> list[Rule]:
     """Learn from ``measured`` (doc_id and statistics) where ``labels`` (doc_id, ``label`` 0 or 1) knows
-    the row.  At most ``most`` rows, with the smallest hashes of the id, reach the driver, already
-    reduced to statistics.  Unknown labels and null ids are left out; without rows there are no rules.
+    the row.  Of the rows that are known, at most ``most``, with the smallest hashes of the id, reach the
+    driver, already reduced to statistics; of rows that share an id the smallest statistics count.
+    Unknown labels and null ids are left out; without rows there are no rules.
     """
-    known = (
-        labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).groupBy("doc_id")
-        .agg(F.min(label).alias("__label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    )
-    # ``known`` has at most ``most`` rows at any input size, so it may be broadcast.
+    own = measured.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.struct(*FEATURES)).alias("s"))
     sample = cut_lineage(
-        measured.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
-        .select("doc_id", "__label", *FEATURES)
+        own.join(_known(labels, label), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        .select("doc_id", "__label", "s.*")
     )
     points = [k / (CUTS + 1) for k in range(1, CUTS + 1)]
     # Quantiles of either class: what marks the rare class lies far out among all texts.
@@ -224,25 +238,30 @@ def verdict(rules: Sequence[Rule]) -> Column:
     return F.lit(True) if out is None else out.otherwise(F.lit(True))
 
 
-def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, the statistics, base_failed and kept for each row of ``docs``.
+def judge(docs: DataFrame, labels: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, the columns in ``carry``, the statistics, base_failed and kept for each row of ``docs``.
 
     ``base_failed``: fewer than 20 words, or over 30 % of the words in repeated runs.  ``kept`` is false
-    if the base fails, else what the learned list says; texts that no rule covers are kept.
+    if the base fails, else what the learned list says; texts that no rule covers are kept.  Every row
+    is judged by its own text, whatever its id; an empty table gives no rows.
     """
     rules = learn_from(docs, labels)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     # Stored, so that a caller's filter on the verdict is not pushed into the array expressions, where each
     # of them would be computed again wherever it is read.
-    measured = cut_lineage(statistics(docs))
+    measured = cut_lineage(statistics(docs, carry=carry))
     return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & verdict(rules))
 
 
-def learn_from(docs: DataFrame, labels: DataFrame) -> list[Rule]:
-    """Learn from whole documents: only the statistics of the labelled sample are computed."""
-    known = (
-        labels.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(LEARN_ROWS)
+def learn_from(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = LEARN_ROWS) -> list[Rule]:
+    """Learn from whole documents: only the statistics of the labelled sample are computed.
+
+    The bound is on documents that have a label, so labels of other documents take no place in it.
+    """
+    known = _known(labels, label)
+    # At most ``most`` ids at any input size, so they may be broadcast.
+    ids = cut_lineage(
+        docs.select("doc_id").join(known, "doc_id", "left_semi").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
-    chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left_semi")
-    return learn(statistics(chosen), labels)
+    chosen = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
+    return learn(statistics(chosen), known.join(F.broadcast(ids), "doc_id", "left_semi").withColumnRenamed("__label", label), label, most)
