@@ -9,11 +9,13 @@ shapes, which then scores every whole text, also where no labeller speaks.  No g
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.llm.common import lists, text_slices
 from tidemark.llm.words import FlatWords, flat_words, mix
@@ -172,15 +174,22 @@ def fit_scorer(
     return weights.astype(np.float32), float(bias)
 
 
-def classify(docs: DataFrame, threshold: float = 0.5, per_side: int = TEXTS_PER_SIDE) -> DataFrame:
+def classify(
+    docs: DataFrame, threshold: float = 0.5, per_side: int = TEXTS_PER_SIDE, carry: Sequence[str] = ()
+) -> DataFrame:
     """doc_id, n_votes, posterior (of the labellers), score (of the scorer) and kept, for every row.
 
     ``kept`` is score >= threshold.  Null and empty texts have no features; they get the score of the
-    bias, but as texts without a word they are not kept.  Repeated rows get equal answers, other
-    columns are ignored, and an empty table gives no rows.
+    bias, but as texts without a word they are not kept.  Every row is judged by its own text; of rows that
+    share an id one trains.  Of the other columns (and ``text``) those in ``carry`` stay, whose names must
+    differ from the ones above.  An empty table gives no rows.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
+        *[c for c in carry if c != "text"],
+    )
+    carried = [f for f in plain.schema.fields if f.name in carry]
 
     def vote(batches):
         for ids, texts in lists(batches, "doc_id", "text"):
@@ -188,7 +197,8 @@ def classify(docs: DataFrame, threshold: float = 0.5, per_side: int = TEXTS_PER_
                 pattern = pattern_of(votes(texts[low:high]))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[low:high], pa.int64()), pa.array(pattern)], names=["doc_id", "pattern"])
 
-    voted = cut_lineage(plain.mapInArrow(vote, "doc_id bigint, pattern bigint"))
+    texts_only = plain.select("doc_id", "text")
+    voted = cut_lineage(texts_only.mapInArrow(vote, "doc_id bigint, pattern bigint"))
     # At most 3 ** labellers rows, whatever the size of the corpus.
     counted = voted.groupBy("pattern").agg(F.count("*").alias("n")).orderBy("pattern").collect()
     patterns = np.array([r["pattern"] for r in counted], np.int64)
@@ -203,7 +213,7 @@ def classify(docs: DataFrame, threshold: float = 0.5, per_side: int = TEXTS_PER_
     )
     # Bounded by 2 * per_side rows.
     chosen = cut_lineage(side(True).union(side(False)).dropDuplicates(["doc_id"]))
-    sample = plain.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    sample = texts_only.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
     def features(batches):
         for ids, texts, own in lists(batches, "doc_id", "text", "pattern"):
@@ -228,7 +238,9 @@ def classify(docs: DataFrame, threshold: float = 0.5, per_side: int = TEXTS_PER_
 
     def score(batches):
         weights, bias, known_posterior = shared.value
-        for ids, texts in lists(batches, "doc_id", "text"):
+        for batch in batches:
+            ids, texts = next(lists([batch], "doc_id", "text"))
+            others = [batch.column(batch.schema.get_field_index(f.name)) for f in carried]
             for low, high in text_slices(texts):
                 part = texts[low:high]
                 ballot = votes(part)
@@ -238,8 +250,12 @@ def classify(docs: DataFrame, threshold: float = 0.5, per_side: int = TEXTS_PER_
                 value = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
                 some = np.bincount(who, minlength=len(part)) > 0
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[low:high], pa.int64()), pa.array(np.abs(ballot).sum(1)), pa.array(own, pa.float64()), pa.array(value), pa.array((value >= threshold) & some)],
-                    names=["doc_id", "n_votes", "posterior", "score", "kept"],
+                    [
+                        pa.array(ids[low:high], pa.int64()), pa.array(np.abs(ballot).sum(1)), pa.array(own, pa.float64()), pa.array(value),
+                        pa.array((value >= threshold) & some), *[c.slice(low, high - low) for c in others],
+                    ],
+                    names=["doc_id", "n_votes", "posterior", "score", "kept", *[f.name for f in carried]],
                 )
 
-    return plain.mapInArrow(score, "doc_id bigint, n_votes bigint, posterior double, score double, kept boolean")
+    answers = StructType.fromDDL("doc_id bigint, n_votes bigint, posterior double, score double, kept boolean")
+    return plain.mapInArrow(score, StructType([*answers.fields, *carried]))
