@@ -33,8 +33,8 @@ def text_slices(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[
         yield first, len(texts)
 
 
-def join_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
-    """Semi or anti join with a stored list of ids; broadcast only when it is counted to be short.
+def join_ids(df: DataFrame, ids: DataFrame, key: str | list[str], how: str) -> DataFrame:
+    """Join with a stored list of ids (a few numbers a row); broadcast only when it is counted to be short.
 
     The list is stored, so counting it costs little.  The broadcast side must not hold null ids
     for an anti join to keep rows whose key is null, which it does.

@@ -17,6 +17,8 @@ a pair whose bound lies below the threshold cannot be a link.  Links are confirm
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -31,12 +33,12 @@ BANDS = 32
 ROWS = 4
 #: Bands of the first round, which settles large groups with few comparisons.
 FIRST_BANDS = 4
-#: Each round takes this many times the centres of the round before.
-MORE_CENTRES = 8
+#: Each round takes this many times the centres of the round before; few rounds, as each takes several exchanges.
+MORE_CENTRES = 64
 #: 64-bit words of a set's bitmap.  Long sets fill it, which loosens the bound but never makes it wrong.
 MARK_WORDS = 16
 
-_SIGNATURE = "doc_id bigint, n_shingles bigint, print_a bigint, print_b bigint, bands array<bigint>"
+_SIGNATURE = "doc_id bigint, text_key bigint, n_shingles bigint, print_a bigint, print_b bigint, bands array<bigint>"
 _SETS = "node bigint, own array<bigint>, marks array<bigint>"
 
 
@@ -86,7 +88,7 @@ def _signed(values) -> pa.Array:
 
 def _signatures(width: int, bands: int, rows: int):
     def work(batches):
-        for ids, texts in lists(batches, "doc_id", "text"):
+        for ids, texts, keys_of_texts in lists(batches, "doc_id", "text", "text_key"):
             for low, high in text_slices(texts):
                 sets = shingles(texts[low:high], width)
                 sizes = np.array([len(s) for s in sets], np.int64)
@@ -103,10 +105,10 @@ def _signatures(width: int, bands: int, rows: int):
                 offsets[1:] = np.cumsum((sizes > 0) * bands)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(ids[low:high], pa.int64()), pa.array(sizes), _signed(prints[0]), _signed(prints[1]),
-                        pa.ListArray.from_arrays(pa.array(offsets), _signed(keys.ravel())),
+                        pa.array(ids[low:high], pa.int64()), pa.array(keys_of_texts[low:high], pa.int64()), pa.array(sizes),
+                        _signed(prints[0]), _signed(prints[1]), pa.ListArray.from_arrays(pa.array(offsets), _signed(keys.ravel())),
                     ],
-                    names=["doc_id", "n_shingles", "print_a", "print_b", "bands"],
+                    names=["doc_id", "text_key", "n_shingles", "print_a", "print_b", "bands"],
                 )
 
     return work
@@ -123,7 +125,7 @@ def set_marks(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sets(width: int):
     def work(batches):
-        for ids, texts in lists(batches, "doc_id", "text"):
+        for ids, texts in lists(batches, "node", "text"):
             for low, high in text_slices(texts):
                 sets = shingles(texts[low:high], width)
                 offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
@@ -165,29 +167,42 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _rounds():
     """(all bands?, centres per bucket) for each round."""
     yield False, 1
-    centres = 1
+    centres = MORE_CENTRES
     while True:
         yield True, centres
         centres *= MORE_CENTRES
 
 
+def _joined(edges: DataFrame) -> DataFrame:
+    """(node, label) for the nodes of ``edges``; nodes with equal labels are connected, and those of one star
+    have equal labels.
+
+    Two steps, so parts of a component may still differ: that costs comparisons, never a link.
+    """
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = cut_lineage(both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")))
+    far = both.join(near.withColumnsRenamed({"a": "b"}), "b").groupBy("a").agg(F.min("low").alias("label"))
+    return cut_lineage(far.select(F.col("a").alias("node"), F.least("a", "label").alias("label")))
+
+
 def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame | None:
-    """Components (node, label) of nodes (node, n, bands) that have links; None without any candidate."""
+    """Components (node, label) of nodes (node, doc_id, text_key, n, bands) that have links; None without any
+    candidate.  ``docs`` has doc_id, text_key and text; a node's text is that of its doc_id and text_key."""
     spread = nodes.select("node", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = cut_lineage(spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"))
     met = cut_lineage(spread.join(shared, "bucket"))
     candidates = cut_lineage(met.groupBy("node").agg(F.sum("size").alias("weight")))
     if candidates.isEmpty():
         return None
-    texts = join_ids(
-        docs.select(F.col("doc_id").alias("node"), "text"), candidates.select("node"), "node", "left_semi"
-    ).withColumnRenamed("node", "doc_id")
+    largest = shared.agg(F.max("size")).first()[0]
+    wanted = cut_lineage(nodes.select("node", "doc_id", "text_key").join(candidates.select("node"), "node"))
+    texts = join_ids(docs, wanted, ["doc_id", "text_key"], "inner").select("node", "text")
     sets = cut_lineage(texts.mapInArrow(_sets(width), _SETS).dropDuplicates(["node"]))
 
     turn = F.struct((-F.col("weight")).alias("weight"), F.xxhash64("node").alias("place"), "node")
     members = cut_lineage(met.drop("size").join(candidates, "node").withColumn("turn", turn).drop("weight"))
 
-    labels, live, compared = None, members, None
+    labels, live, compared, every = None, members, None, []
     for all_bands, centres in _rounds():
         live = live if all_bands else live.filter(F.col("band") < FIRST_BANDS)
         if labels is None:
@@ -202,7 +217,7 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
         live = cut_lineage(known.join(open_, "bucket").join(sets.select("node", "marks"), "node"))
         if live.isEmpty():
             if all_bands:
-                return labels
+                break
             live = members
             continue
         first = Window.partitionBy("bucket").orderBy("turn")
@@ -223,14 +238,18 @@ def links(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFr
         compared = pairs if compared is None else compared.union(pairs)
         found = cut_lineage(_confirmed(pairs, sets, percent))
         if not found.isEmpty():
-            if labels is not None:  # what is known already, as one star per component
+            every.append(found)
+            if labels is not None:  # what is known already, as stars
                 found = found.union(labels.filter("label <> node").select("label", "node"))
-            labels = cut_lineage(components(found))
-        if all_bands:
+            labels = _joined(found)
+        if not all_bands:
+            live = members
+        elif centres >= largest:    # every member has been a centre
+            break
+        else:
             gone = heads.select("bucket", F.col("head").alias("node"))
             live = live.join(gone, ["bucket", "node"], "left_anti").drop("label", "marks")
-        else:
-            live = members
+    return cut_lineage(components(reduce(DataFrame.union, every))) if every else None
 
 
 def near_duplicates(
@@ -241,27 +260,48 @@ def near_duplicates(
     Documents are linked when 100 * |A and B| >= percent * |A or B| for their sets of ``width``-word
     shingles; ``component_id`` is the smallest doc_id that links reach, ``kept`` marks it.  Null and
     empty texts and texts without words have an empty set and link with nothing.  A row without
-    doc_id is never linked: its component is null and it is kept.  Repeated rows get equal answers.
+    doc_id is never linked: its component is null and it is kept.  Repeated rows get equal answers.  Rows
+    that share an id are one document with all their texts: links of each of them are links of the id.
     With 32 bands of 4 rows a pair at similarity 0.75 shares no bucket with probability 5e-6.
     Other columns are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("text_key", F.xxhash64("text"))
     signed = cut_lineage(docs.mapInArrow(_signatures(width, bands, rows), _SIGNATURE))
     prints = ["print_a", "print_b", "n_shingles"]
     full = signed.filter("n_shingles > 0 and doc_id is not null")
-    groups = cut_lineage(full.groupBy(*prints).agg(F.min("doc_id").alias("node")))
-    heads = full.select("doc_id", *prints, "bands").join(
-        groups.withColumnRenamed("node", "doc_id"), ["doc_id", *prints], "left_semi"
+    # Rows with equal sets are one node, under a number of its own: one id may have several texts.
+    groups = cut_lineage(
+        full.groupBy(*prints).agg(F.min("doc_id").alias("low")).withColumn("node", F.monotonically_increasing_id())
+    )
+    heads = full.select(F.col("doc_id").alias("low"), "text_key", *prints, "bands").join(groups, ["low", *prints])
+    nodes = cut_lineage(
+        heads.select("node", F.col("low").alias("doc_id"), "text_key", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node"])
     )
-    nodes = cut_lineage(heads.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bands"))
     labels = links(nodes, docs, width, percent)
+    shared = _several_texts(full.select("doc_id", *prints), groups, prints)
+    if shared is not None:
+        known = [] if labels is None else [labels.select(F.col("node").alias("a"), F.col("label").alias("b")).filter("a <> b")]
+        labels = cut_lineage(components(reduce(DataFrame.union, [shared, *known])))
     if labels is not None:
-        groups = cut_lineage(
-            groups.join(labels, "node", "left").select(*prints, F.coalesce("label", "node").alias("node"))
-        )
-    judged = signed.drop("bands").join(groups, prints, "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("node", "doc_id"))
+        placed = groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        lowest = placed.groupBy("label").agg(F.min("low").alias("lowest"))
+        groups = cut_lineage(placed.join(lowest, "label").select(*prints, F.col("lowest").alias("low")))
+    judged = signed.drop("bands").join(groups.select(*prints, "low"), prints, "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("low", "doc_id"))
     return judged.select(
         "doc_id", "n_shingles", own.alias("component_id"),
         F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"),
     )
+
+
+def _several_texts(full: DataFrame, groups: DataFrame, prints: list[str]) -> DataFrame | None:
+    """Stars (a, b) over the nodes of ids that have several; None if no id has."""
+    own = F.xxhash64(*prints)
+    ids = full.groupBy("doc_id").agg(F.min(own).alias("low"), F.max(own).alias("high")).filter("low < high")
+    ids = cut_lineage(ids.select("doc_id"))
+    if ids.isEmpty():
+        return None
+    members = cut_lineage(full.join(ids, "doc_id").join(groups, prints).select("doc_id", "node").distinct())
+    centres = members.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return members.join(centres, "doc_id").filter("node <> a").select("a", F.col("node").alias("b"))
