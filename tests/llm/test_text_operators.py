@@ -7,6 +7,7 @@ import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -96,6 +97,16 @@ def test_near_duplicates_of_hard_cases(docs):
             assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+def test_one_id_with_several_texts(spark):
+    """Links of either text are links of the id, and reach on through it."""
+    a, b, c = ([f"{n}{k}" for k in range(60)] for n in "abc")
+    near = lambda t: " ".join(t[:-1] + ["end"])
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (5, " ".join(b)), (6, near(a)), (9, near(b)), (7, " ".join(c)), (9, " ".join(c)), (8, "other text"), (None, near(a))]
+    for texts, want in ((rows, {5: 5, 6: 5, 9: 5, 7: 5, 8: 8, None: None}), (rows[:5], {5: 5, 6: 5, 9: 5}), ([(3, near(b)), *rows[:4]], {3: 3, 5: 3, 6: 3})):
+        got = neardup.near_duplicates(spark.createDataFrame(texts, "doc_id bigint, text string").repartition(2)).collect()
+        assert len(got) == len(texts) and {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_near_duplicates_of_copy_groups(spark):
     """Groups of random edits, some below the threshold, so that buckets hold several components."""
     rng = np.random.default_rng(5)
@@ -150,6 +161,17 @@ def test_pieces_equal_the_library(text):
     assert ids == model.encode(text) and own.decode(np.array(ids, np.int64)) == model.decode(ids)
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "the", "中文字é😀x"])
+def test_long_unbroken_text_equals_the_library(letters):
+    rng = np.random.default_rng(6)
+    text = "".join(rng.choice(list(letters), 80_000))
+    own = pieces.Vocabulary(PIECES)
+    started = time.perf_counter()
+    ids, _ = own.encode(["▁" + text])
+    assert time.perf_counter() - started < 10     # well under a second here; minutes if rounds grew with the text
+    assert ids.tolist() == sentencepiece.SentencePieceProcessor(model_file=PIECES).encode(text)
+
+
 def test_piece_round_trip(docs):
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     texts = dict(TEXTS)
@@ -290,6 +312,49 @@ def test_judged_documents(docs, labels):
         assert r["base_failed"] == failed and not (failed and r["kept"])
 
 
+def test_verdict_is_that_of_the_first_rule_that_covers(spark):
+    """Row by row: the expression against ``Rule.covers``, with a list that rejects and keeps in turn."""
+    listed = [
+        quality_rules.Rule((("symbol_share", ">=", 0.5), ("words_log", "<", 4.0)), False),
+        quality_rules.Rule((("word_length", "<", 4.0),), True), quality_rules.Rule((("word_length", "<", 6.0),), False),
+    ]
+    texts = ["# $ a b " * 9, "a b c d " * 9, "fives fives " * 9, "sevenly sevenly " * 9, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = quality_rules.statistics(df).withColumn("kept", quality_rules.verdict(listed)).collect()
+    want = lambda r: next((rule.good for rule in listed if rule.covers(r)), True)
+    assert all(r["kept"] == want(r) for r in got) and {r["kept"] for r in got} == {True, False}
+
+
+def test_rules_keep_what_a_later_rule_would_reject():
+    """Class and statistic overlap: only an ordered list with both classes tells them apart."""
+    rng = np.random.default_rng(3)
+    cuts = {f: [] for f in quality_rules.FEATURES} | {"word_length": [3.0, 5.0], "symbol_share": [0.1, 0.2]}
+    rows = []
+    for i in range(900):
+        row = dict.fromkeys(quality_rules.FEATURES, 0.0) | {"word_length": float(rng.choice([2, 4, 6])), "symbol_share": float(rng.choice([0.0, 0.15, 0.3]))}
+        row |= {"label": not (row["word_length"] > 5 and row["symbol_share"] > 0.12), "part": i % 3, "n": 1}
+        row["cell"] = {f: sum(t <= row[f] for t in cuts[f]) for f in cuts}
+        rows.append(row)
+    rules = quality_rules.cover(rows, cuts)
+    decide = lambda r: next((rule.good for rule in rules if rule.covers(r)), True)
+    assert rules and all(decide(r) == r["label"] for r in rows)
+
+
+def test_labels_of_other_documents_take_no_place(spark):
+    rng = np.random.default_rng(5)
+    junk = [(i, "# $ % & " * int(rng.integers(6, 20))) for i in range(60)]
+    clean = [(100 + i, " ".join(f"word{rng.integers(500)}" for _ in range(60))) for i in range(200)]
+    docs = spark.createDataFrame(junk + clean, "doc_id bigint, text string")
+    own = spark.createDataFrame([(i, int(i >= 100)) for i, _ in junk + clean], "doc_id bigint, quality int")
+    other = spark.range(10_000, 60_000).selectExpr("id", "CAST(id % 2 AS INT)").union(
+        spark.createDataFrame([(None, 1), (3, None), (4, 7)], "doc_id bigint, quality int"))
+    alone, among = (quality_rules.learn_from(docs, labels, most=500) for labels in (own, own.union(other)))
+    assert alone and alone == among
+    judged = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs, own.union(other)).collect()}
+    assert not any(judged[i] for i, _ in junk) and all(judged[i] for i, _ in clean)
+    assert quality_rules.learn_from(docs.limit(0), own) == [] == quality_rules.learn_from(docs, own.limit(0))
+
+
 def test_label_model_recovers_accuracies():
     rng = np.random.default_rng(4)
     good = rng.random(20_000) < 0.85
