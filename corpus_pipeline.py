@@ -1,7 +1,8 @@
 """The corpus pipeline: stages over documents, each written and read again.
 
 Each stage works on all that its predecessor kept.  The first four return the columns of the documents
-they get, the last one the pieces of the packed sequences.
+they get, the last one the pieces of the packed sequences.  Stages judge rows, not ids: rows that repeat an
+id, or have none, get the verdict of their own text.  Every stage gives an empty result for an empty table.
 """
 
 from __future__ import annotations
@@ -11,28 +12,38 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import neardup, packing, pii, quality_rules, weak_labels
 from tidemark.llm.common import join_ids, table
-from tidemark.operators.materialise import cut_lineage
-
-
-def _without(docs: DataFrame, judged: DataFrame) -> DataFrame:
-    """The documents that were not rejected; rows without an id stay."""
-    gone = cut_lineage(judged.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct())
-    return join_ids(docs, gone, "doc_id", "left_anti").select(*docs.columns)
+from tidemark.operators.materialise import cut_lineage, release_stored, stored_so_far
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the learned decision list reject go."""
-    return _without(docs, quality_rules.judge(docs, table(spark, sf_dir, "labels")))
+    # A row's verdict follows from its text, so id and hash of the text name it; a struct may hold a null id.
+    key = F.struct("doc_id", F.xxhash64("text").alias("text")).alias("__key")
+    judged = quality_rules.judge(docs.select("doc_id", "text", key), table(spark, sf_dir, "labels"), carry=["__key"])
+    gone = cut_lineage(judged.filter("NOT kept").select("__key").distinct())
+    return join_ids(docs.withColumn("__key", key), gone, "__key", "left_anti").select(*docs.columns)
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly trained classifier rejects go."""
-    return _without(docs, weak_labels.classify(docs))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(f"__own_{c}") for c in others])
+    kept = weak_labels.classify(rows, carry=["text", *[f"__own_{c}" for c in others]]).filter("kept")
+    return kept.select(*[F.col(f"__own_{c}" if c in others else c).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest id."""
-    return _without(docs, neardup.near_duplicates(docs))
+    """One document of each group of near duplicates stays, the one with the smallest id (null last).
+
+    Rows are numbered, so repeated ids and rows without an id are documents of their own; of equal ids in a
+    group any one stays.  Documents without words have no duplicates.
+    """
+    rows = cut_lineage(docs.withColumn("__row", F.monotonically_increasing_id()))
+    groups = neardup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
+    member = groups.select(F.col("doc_id").alias("__row"), "component_id").join(rows.select("__row", "doc_id"), "__row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("__row").alias("row")))
+    stays = cut_lineage(member.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("__row")))
+    return join_ids(rows, stays, "__row", "left_semi").select(*docs.columns)
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +70,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages applied to ``documents``; what a stage stored on the way goes once its result is written."""
+    docs, mark = table(spark, sf_dir, "documents"), stored_so_far(spark)
     for _, stage in STAGES:
         docs = cut_lineage(stage(spark, docs, sf_dir))
+        release_stored(spark, mark, keep=docs)
     return docs
