@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.operators.materialise import cut_lineage
@@ -70,6 +73,20 @@ def components(edges: DataFrame) -> DataFrame:
         labels = jumped.select("node", "label")
 
 
+def text_parts(batches: Iterable[pa.RecordBatch], size: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """The rows of each Arrow batch in parts whose ``text`` takes about ``size`` bytes; a longer text ends its part.
+
+    Parts share the batch's memory, so only one part at a time need become Python objects.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+        cuts = np.flatnonzero(np.diff(ends // size)) + 1
+        for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+            if low < high:
+                yield batch.slice(low, high - low)
+
+
 def lists(batches: Iterable, *names: str) -> Iterator[list[list]]:
     """The named columns of each Arrow batch as Python lists."""
     for batch in batches:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.llm.common import components, join_ids, lists, text_slices
+from tidemark.llm.common import components, join_ids, lists, text_parts
 from tidemark.llm.words import mix, shingles
 from tidemark.operators.materialise import cut_lineage
 
@@ -88,28 +88,27 @@ def _signed(values) -> pa.Array:
 
 def _signatures(width: int, bands: int, rows: int):
     def work(batches):
-        for ids, texts, keys_of_texts in lists(batches, "doc_id", "text", "text_key"):
-            for low, high in text_slices(texts):
-                sets = shingles(texts[low:high], width)
-                sizes = np.array([len(s) for s in sets], np.int64)
-                some = np.flatnonzero(sizes)
-                prints = np.zeros((2, len(sets)), np.uint64)
-                keys = np.zeros((len(some), bands), np.uint64)
-                if len(some):
-                    own = [sets[i] for i in some]
-                    flat, at = np.concatenate(own), np.cumsum([0, *sizes[some][:-1]])
-                    prints[0, some] = np.add.reduceat(mix(flat), at)
-                    prints[1, some] = np.bitwise_xor.reduceat(mix(flat + np.uint64(77)), at)
-                    keys = band_keys(densify(*bin_minima(own, bands * rows)), bands, rows)
-                offsets = np.zeros(len(sets) + 1, np.int32)
-                offsets[1:] = np.cumsum((sizes > 0) * bands)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[low:high], pa.int64()), pa.array(keys_of_texts[low:high], pa.int64()), pa.array(sizes),
-                        _signed(prints[0]), _signed(prints[1]), pa.ListArray.from_arrays(pa.array(offsets), _signed(keys.ravel())),
-                    ],
-                    names=["doc_id", "text_key", "n_shingles", "print_a", "print_b", "bands"],
-                )
+        for ids, texts, keys_of_texts in lists(text_parts(batches), "doc_id", "text", "text_key"):
+            sets = shingles(texts, width)
+            sizes = np.array([len(s) for s in sets], np.int64)
+            some = np.flatnonzero(sizes)
+            prints = np.zeros((2, len(sets)), np.uint64)
+            keys = np.zeros((len(some), bands), np.uint64)
+            if len(some):
+                own = [sets[i] for i in some]
+                flat, at = np.concatenate(own), np.cumsum([0, *sizes[some][:-1]])
+                prints[0, some] = np.add.reduceat(mix(flat), at)
+                prints[1, some] = np.bitwise_xor.reduceat(mix(flat + np.uint64(77)), at)
+                keys = band_keys(densify(*bin_minima(own, bands * rows)), bands, rows)
+            offsets = np.zeros(len(sets) + 1, np.int32)
+            offsets[1:] = np.cumsum((sizes > 0) * bands)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()), pa.array(keys_of_texts, pa.int64()), pa.array(sizes),
+                    _signed(prints[0]), _signed(prints[1]), pa.ListArray.from_arrays(pa.array(offsets), _signed(keys.ravel())),
+                ],
+                names=["doc_id", "text_key", "n_shingles", "print_a", "print_b", "bands"],
+            )
 
     return work
 
@@ -125,20 +124,19 @@ def set_marks(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sets(width: int):
     def work(batches):
-        for ids, texts in lists(batches, "node", "text"):
-            for low, high in text_slices(texts):
-                sets = shingles(texts[low:high], width)
-                offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                every = (np.arange(len(sets) + 1) * MARK_WORDS).astype(np.int32)
-                flat = np.concatenate([*sets, np.empty(0, np.uint64)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[low:high], pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets), _signed(flat)),
-                        pa.ListArray.from_arrays(pa.array(every), _signed(set_marks(sets).ravel())),
-                    ],
-                    names=["node", "own", "marks"],
-                )
+        for ids, texts in lists(text_parts(batches), "node", "text"):
+            sets = shingles(texts, width)
+            offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+            every = (np.arange(len(sets) + 1) * MARK_WORDS).astype(np.int32)
+            flat = np.concatenate([*sets, np.empty(0, np.uint64)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(offsets), _signed(flat)),
+                    pa.ListArray.from_arrays(pa.array(every), _signed(set_marks(sets).ravel())),
+                ],
+                names=["node", "own", "marks"],
+            )
 
     return work
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import lists, text_slices
+from tidemark.llm.common import lists, text_parts
 from tidemark.operators.materialise import cut_lineage
 
 WINDOW = 4096
@@ -185,25 +185,24 @@ def _cut(path: str, window: int, end: int, with_ids: bool):
     def work(batches):
         task, wholes, ranks = TaskContext.get().partitionId(), 0, Counter()
         closing = np.array([end], "<u4").tobytes()
-        for keys, texts in lists(batches, "doc_id", "text"):
-            for low, high in text_slices(texts, 1 << 22):
-                rows = []
-                for key, raw in zip(keys[low:high], tokens(path).encode(texts[low:high])):
-                    raw += closing
-                    n = len(raw) // 4
-                    for start in range(0, n, window):
-                        part = raw[4 * start: 4 * (start + window)]
-                        size = len(part) // 4
-                        if size == window:
-                            rank, wholes = wholes, wholes + 1
-                        else:
-                            rank = ranks[size]
-                            ranks[size] += 1
-                        rows.append((key, start, size, zlib.crc32(part), n, task, size == window, rank, part if with_ids else None))
-                kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int64(), pa.binary()]
-                names = [x.split()[0] for x in _PIECES.split(", ")]
-                columns = list(zip(*rows)) or [[]] * len(kinds)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        for keys, texts in lists(text_parts(batches, 1 << 20), "doc_id", "text"):
+            rows = []
+            for key, raw in zip(keys, tokens(path).encode(texts)):
+                raw += closing
+                n = len(raw) // 4
+                for start in range(0, n, window):
+                    part = raw[4 * start: 4 * (start + window)]
+                    size = len(part) // 4
+                    if size == window:
+                        rank, wholes = wholes, wholes + 1
+                    else:
+                        rank = ranks[size]
+                        ranks[size] += 1
+                    rows.append((key, start, size, zlib.crc32(part), n, task, size == window, rank, part if with_ids else None))
+            kinds = [pa.int64()] * 6 + [pa.bool_(), pa.int64(), pa.binary()]
+            names = [x.split()[0] for x in _PIECES.split(", ")]
+            columns = list(zip(*rows)) or [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return work
 

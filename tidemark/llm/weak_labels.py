@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import lists, text_slices
+from tidemark.llm.common import lists, text_parts
 from tidemark.llm.words import FlatWords, flat_words, mix
 from tidemark.operators.materialise import cut_lineage
 
@@ -174,6 +174,12 @@ def fit_scorer(
     return weights.astype(np.float32), float(bias)
 
 
+def vote(batches):
+    """The number of the labellers' votes on each row of Arrow batches (doc_id, text)."""
+    for ids, texts in lists(text_parts(batches), "doc_id", "text"):
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(pattern_of(votes(texts)))], names=["doc_id", "pattern"])
+
+
 def classify(
     docs: DataFrame, threshold: float = 0.5, per_side: int = TEXTS_PER_SIDE, carry: Sequence[str] = ()
 ) -> DataFrame:
@@ -191,12 +197,6 @@ def classify(
     )
     carried = [f for f in plain.schema.fields if f.name in carry]
 
-    def vote(batches):
-        for ids, texts in lists(batches, "doc_id", "text"):
-            for low, high in text_slices(texts):
-                pattern = pattern_of(votes(texts[low:high]))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[low:high], pa.int64()), pa.array(pattern)], names=["doc_id", "pattern"])
-
     texts_only = plain.select("doc_id", "text")
     voted = cut_lineage(texts_only.mapInArrow(vote, "doc_id bigint, pattern bigint"))
     # At most 3 ** labellers rows, whatever the size of the corpus.
@@ -216,15 +216,14 @@ def classify(
     sample = texts_only.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
     def features(batches):
-        for ids, texts, own in lists(batches, "doc_id", "text", "pattern"):
-            for low, high in text_slices(texts):
-                who, bucket, value = shape_features(texts[low:high])
-                ends = np.searchsorted(who, np.arange(high - low + 1))
-                cut = lambda a, t: [a[i:j].astype(t).tobytes() for i, j in zip(ends[:-1], ends[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[low:high], pa.int64()), pa.array(own[low:high], pa.int64()), pa.array(cut(bucket, np.int32), pa.binary()), pa.array(cut(value, np.float32), pa.binary())],
-                    names=["doc_id", "pattern", "bucket", "value"],
-                )
+        for ids, texts, own in lists(text_parts(batches), "doc_id", "text", "pattern"):
+            who, bucket, value = shape_features(texts)
+            ends = np.searchsorted(who, np.arange(len(texts) + 1))
+            cut = lambda a, t: [a[i:j].astype(t).tobytes() for i, j in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(own, pa.int64()), pa.array(cut(bucket, np.int32), pa.binary()), pa.array(cut(value, np.float32), pa.binary())],
+                names=["doc_id", "pattern", "bucket", "value"],
+            )
 
     rows = [
         (posterior[r["pattern"]], np.frombuffer(r["bucket"], np.int32), np.frombuffer(r["value"], np.float32))
@@ -238,24 +237,21 @@ def classify(
 
     def score(batches):
         weights, bias, known_posterior = shared.value
-        for batch in batches:
-            ids, texts = next(lists([batch], "doc_id", "text"))
-            others = [batch.column(batch.schema.get_field_index(f.name)) for f in carried]
-            for low, high in text_slices(texts):
-                part = texts[low:high]
-                ballot = votes(part)
-                own = [known_posterior[p] for p in pattern_of(ballot).tolist()]
-                who, bucket, value = shape_features(part)
-                margin = np.bincount(who, weights[bucket] * np.sqrt(value), len(part)) + bias
-                value = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
-                some = np.bincount(who, minlength=len(part)) > 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids[low:high], pa.int64()), pa.array(np.abs(ballot).sum(1)), pa.array(own, pa.float64()), pa.array(value),
-                        pa.array((value >= threshold) & some), *[c.slice(low, high - low) for c in others],
-                    ],
-                    names=["doc_id", "n_votes", "posterior", "score", "kept", *[f.name for f in carried]],
-                )
+        for part in text_parts(batches):
+            ids, texts = next(lists([part], "doc_id", "text"))
+            ballot = votes(texts)
+            own = [known_posterior[p] for p in pattern_of(ballot).tolist()]
+            who, bucket, value = shape_features(texts)
+            margin = np.bincount(who, weights[bucket] * np.sqrt(value), len(texts)) + bias
+            value = 1 / (1 + np.exp(-np.clip(margin, -500, 500)))
+            some = np.bincount(who, minlength=len(texts)) > 0
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(ids, pa.int64()), pa.array(np.abs(ballot).sum(1)), pa.array(own, pa.float64()), pa.array(value),
+                    pa.array((value >= threshold) & some), *[part.column(part.schema.get_field_index(f.name)) for f in carried],
+                ],
+                names=["doc_id", "n_votes", "posterior", "score", "kept", *[f.name for f in carried]],
+            )
 
     answers = StructType.fromDDL("doc_id bigint, n_votes bigint, posterior double, score double, kept boolean")
     return plain.mapInArrow(score, StructType([*answers.fields, *carried]))
